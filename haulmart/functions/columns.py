@@ -27,20 +27,16 @@ def flag(condition: Column) -> Column:
 
 def count_if(condition: Column) -> Column:
     """Rows for which the condition is true; 0 over no rows."""
-    return F.count(F.when(condition, F.lit(1)))
+    return F.count_if(condition)
 
 
 def null_cells(*columns: str) -> Column:
     """Null values summed over several columns; 0 over no rows."""
-    per_row = sum((flag(F.col(c).isNull()) for c in columns), F.lit(0))
-    return F.coalesce(F.sum(per_row), F.lit(0))
+    return F.expr(" + ".join(f"count_if(`{c}` IS NULL)" for c in columns))
 
 
 def any_null(*columns: str) -> Column:
-    condition = F.col(columns[0]).isNull()
-    for c in columns[1:]:
-        condition = condition | F.col(c).isNull()
-    return condition
+    return F.expr(" OR ".join(f"`{c}` IS NULL" for c in columns))
 
 
 def none_null(*columns: str) -> Column:

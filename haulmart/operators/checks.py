@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from haulmart.functions.columns import count_if, flag
 from haulmart.operators.integrity import orphan_count
 from haulmart.operators.keys import duplicate_groups
+from haulmart.operators.shape import literal_rows, long_form, looked_up
 
 Tables = Callable[[str], DataFrame]
 
@@ -124,14 +125,14 @@ def check_report(
             parts.append(check.bad_rows(tables).withColumn("check_id", F.lit(check.key)))
     for table, group in by_table.items():
         totals = tables(table).agg(*[c.measure().alias(c.key) for c in group])
-        parts.append(_as_rows(totals, [c.key for c in group]))
+        parts.append(long_form(totals, [c.key for c in group], "check_id", "bad_rows"))
 
     counted = reduce(
         DataFrame.unionByName,
         [p.select("check_id", F.col("bad_rows").cast("long").alias("bad_rows")) for p in parts],
     )
     check_id, bad_rows = F.col("check_id"), F.col("bad_rows")
-    severity = _choose(check_id, {k: severities.get(k, default_severity) for k in titles})
+    severity = looked_up("check_id", {k: severities.get(k, default_severity) for k in titles})
     status = (
         F.when(F.lit(not enabled), F.lit("SKIPPED"))
         .when(bad_rows == 0, F.lit("PASS"))
@@ -142,7 +143,7 @@ def check_report(
     return report.select(
         F.lit(layer).alias("layer"),
         check_id,
-        _choose(check_id, titles).alias("check_name"),
+        looked_up("check_id", titles).alias("check_name"),
         "bad_rows",
         severity.alias("severity"),
         status.alias("status"),
@@ -151,27 +152,8 @@ def check_report(
 
 def _unread(titles: Mapping[str, str], counted: DataFrame) -> DataFrame:
     """One row per check without a count, so a disabled gate reads no table."""
-    return counted.sparkSession.createDataFrame(
-        [(k, None) for k in titles], "check_id string, bad_rows bigint"
-    )
-
-
-def _as_rows(totals: DataFrame, keys: list[str]) -> DataFrame:
-    return totals.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(k).alias("check_id"), F.col(k).cast("long").alias("bad_rows"))
-                    for k in keys
-                ]
-            )
-        )
-    )
-
-
-def _choose(value: Column, mapping: Mapping[str, str]) -> Column:
-    pairs = [F.lit(x) for item in mapping.items() for x in item]
-    return F.create_map(*pairs)[value]
+    rows = [(k, None) for k in titles]
+    return literal_rows(counted.sparkSession, rows, "check_id string, bad_rows bigint")
 
 
 class GateFailed(Exception):

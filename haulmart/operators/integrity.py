@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulmart.contracts import Contract
+from haulmart.operators.shape import long_form, quoted, text_literal
 
 
 def orphan_rows(child: DataFrame, parent: DataFrame, column: str) -> DataFrame:
@@ -41,25 +42,14 @@ def reference_orphans(
     the keys of all dimensions in one join.
     """
     references = [fk for fk in contract.foreign_keys if fk.column in columns]
-    pairs = fact.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(fk.column).alias("fact_column"),
-                        F.col(fk.column).cast("int").alias("_ref"),
-                    )
-                    for fk in references
-                ]
-            )
-        )
-    )
+    names = [fk.column for fk in references]
+    pairs = long_form(fact.select(*names), names, "fact_column", "_ref")
     counted = pairs.groupBy("fact_column", "_ref").agg(F.count(F.lit(1)).alias("_rows"))
     known = reduce(
-        DataFrame.unionByName,
+        DataFrame.union,
         [
-            dims(fk.ref_table).select(
-                F.lit(fk.column).alias("_column"), F.col(fk.ref_column).alias("_key")
+            dims(fk.ref_table).selectExpr(
+                f"{text_literal(fk.column)} AS _column", f"{quoted(fk.ref_column)} AS _key"
             )
             for fk in references
         ],
@@ -70,25 +60,13 @@ def reference_orphans(
         "left",
     )
     # A conditional sum per column keeps a row for every key, also over no fact rows.
-    missing = F.col("_key").isNull()
     sums = matched.agg(
         *[
-            F.coalesce(
-                F.sum(F.when(missing & (F.col("fact_column") == fk.column), F.col("_rows"))),
-                F.lit(0),
-            ).alias(fk.column)
-            for fk in references
-        ]
-    )
-    return sums.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(fk.column).alias("fact_column"), F.col(fk.column).alias("bad_rows")
-                    )
-                    for fk in references
-                ]
+            F.expr(
+                "coalesce(sum(CASE WHEN _key IS NULL AND fact_column = "
+                f"{text_literal(n)} THEN _rows END), 0) AS {quoted(n)}"
             )
-        )
+            for n in names
+        ]
     )
+    return long_form(sums, names, "fact_column", "bad_rows")

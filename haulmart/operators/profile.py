@@ -9,46 +9,32 @@ from pyspark.sql import functions as F
 
 from haulmart.functions.columns import count_if, decimal_average, percent_of
 from haulmart.operators.checks import Tables
+from haulmart.operators.shape import long_form, quoted, text_literal
 
 # Fixed value: share of nulls above which a column is critical, in percent.
 CRITICAL_PERCENT = 20
 
 
 def column_nulls(df: DataFrame, schema_name: str, table: str) -> DataFrame:
-    """SchemaName, TableName, ColumnName, NullCount, TotalRows, NullPct."""
+    """SchemaName, TableName, ColumnName, NullCount, TotalRows."""
     columns = df.columns
     totals = df.agg(
-        F.count(F.lit(1)).alias("_total"),
-        *[count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(columns)],
+        F.expr("count(1) AS _total"),
+        *[F.expr(f"count_if({quoted(c)} IS NULL) AS {quoted(c)}") for c in columns],
     )
-    long = totals.select(
-        F.lit(schema_name).alias("SchemaName"),
-        F.lit(table).alias("TableName"),
-        F.col("_total").alias("TotalRows"),
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("ColumnName"), F.col(f"_n{i}").alias("NullCount"))
-                    for i, c in enumerate(columns)
-                ]
-            )
-        ),
-    )
-    return long.select(
-        "SchemaName",
-        "TableName",
+    return long_form(totals, columns, "ColumnName", "NullCount", keep=["_total"]).selectExpr(
+        f"{text_literal(schema_name)} AS SchemaName",
+        f"{text_literal(table)} AS TableName",
         "ColumnName",
         "NullCount",
-        "TotalRows",
-        percent_of(F.col("NullCount"), F.col("TotalRows")).alias("NullPct"),
+        "_total AS TotalRows",
     )
 
 
 def null_profile(tables: Tables, names: list[tuple[str, str]]) -> DataFrame:
-    """Profile of many tables; ``names`` holds (schema, table)."""
-    return reduce(
-        DataFrame.unionByName, [column_nulls(tables(t), schema, t) for schema, t in names]
-    )
+    """The same with NullPct, over many tables given as (schema, table)."""
+    counts = reduce(DataFrame.union, [column_nulls(tables(t), schema, t) for schema, t in names])
+    return counts.withColumn("NullPct", percent_of(F.col("NullCount"), F.col("TotalRows")))
 
 
 def with_nulls(profile: DataFrame) -> DataFrame:

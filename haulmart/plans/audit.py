@@ -11,6 +11,7 @@ from haulmart.contracts import FACTS, STAGING, WAREHOUSE, Contract
 from haulmart.functions.columns import decimal_average
 from haulmart.operators.checks import Tables
 from haulmart.operators.keys import duplicate_groups
+from haulmart.operators.shape import looked_up
 from haulmart.plans.gates import AUDIT_REFERENCES, reference_report
 
 STORED = [(c.layer, c.name) for c in STAGING + WAREHOUSE]
@@ -31,11 +32,11 @@ def row_counts(tables: Tables, names: list[str]) -> DataFrame:
 
 def layer_row_counts(tables: Tables, names: list[tuple[str, str]]) -> DataFrame:
     """(SchemaName, TableName, RowCount) ordered by schema, dimensions first."""
-    schemas = F.create_map(*[F.lit(x) for s, t in names for x in (t, s)])
+    schemas = looked_up("TableName", {table: schema for schema, table in names})
     name = F.col("TableName")
     return (
         row_counts(tables, [t for _, t in names])
-        .select(schemas[name].alias("SchemaName"), "TableName", "RowCount")
+        .select(schemas.alias("SchemaName"), "TableName", "RowCount")
         .orderBy("SchemaName", F.when(name.like("dim%"), 0).otherwise(1), "TableName")
     )
 

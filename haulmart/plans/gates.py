@@ -24,6 +24,7 @@ from haulmart.operators.checks import (
     row_check,
 )
 from haulmart.operators.integrity import reference_orphans
+from haulmart.operators.shape import long_form, looked_up
 from haulmart.plans.clean import LATE, is_overdue
 
 # The error number each gate raises, and the first plausible date.
@@ -295,9 +296,9 @@ def warehouse_checks() -> list[Check]:
 
 def _named_orphans(c: Contract, columns: Sequence[str], tables: Tables, name) -> DataFrame:
     """(check_id, bad_rows) per foreign key, one pass over the fact."""
-    names = [F.lit(x) for fk in c.foreign_keys for x in (fk.column, name(c, fk))]
+    names = {fk.column: name(c, fk) for fk in c.foreign_keys}
     return reference_orphans(tables(c.name), c, columns, tables).select(
-        F.create_map(*names)[F.col("fact_column")].alias("check_id"), "bad_rows"
+        looked_up("fact_column", names).alias("check_id"), "bad_rows"
     )
 
 
@@ -345,20 +346,6 @@ def null_detail(tables: Tables) -> DataFrame:
     parts = []
     for table, fields in STAGING_KEY_FIELDS.items():
         totals = tables(table).agg(*[null_cells(f).alias(f) for f in fields])
-        parts.append(
-            totals.select(
-                F.lit(table).alias("TableName"),
-                F.inline(
-                    F.array(
-                        *[
-                            F.struct(
-                                F.lit(f).alias("ColumnName"),
-                                F.col(f).cast("long").alias("NullCount"),
-                            )
-                            for f in fields
-                        ]
-                    )
-                ),
-            )
-        )
+        counts = long_form(totals, fields, "ColumnName", "NullCount")
+        parts.append(counts.select(F.lit(table).alias("TableName"), "ColumnName", "NullCount"))
     return reduce(DataFrame.unionByName, parts)

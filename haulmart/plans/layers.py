@@ -10,9 +10,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from haulmart.contracts import DIMENSIONS, FACTS
+from haulmart.contracts import DIMENSIONS, FACTS, STAGING, contract
 from haulmart.plans.clean import CLEAN_VIEWS
-from haulmart.plans.dims import build_dimension
+from haulmart.plans.dims import VALUE_DIMENSIONS, build_dimension
 from haulmart.plans.facts import FACT_PLANS
 from haulmart.plans.reporting import REPORTS
 from haulmart.sources.workspace import Workspace
@@ -21,6 +21,24 @@ from haulmart.sources.workspace import Workspace
 CONCURRENT_LOADS = 4
 
 
+def concurrently(work: Callable[[str], object], names: Iterable[str]) -> dict[str, object]:
+    """Run independent Spark jobs side by side; the first error is raised."""
+    with ThreadPoolExecutor(CONCURRENT_LOADS) as pool:
+        futures = {n: pool.submit(work, n) for n in names}
+    return {n: f.result() for n, f in futures.items()}
+
+
+def _stored_inputs(name: str) -> list[str]:
+    """Stored tables a load reads; they can be loaded side by side."""
+    if name in FACT_PLANS:
+        return sorted({fk.ref_table for fk in contract(name).foreign_keys})
+    if name == "dim_date":
+        return ["staging_sales", "staging_deliveries", "staging_exceptions"]
+    if name in VALUE_DIMENSIONS:
+        return [CLEAN_VIEWS[view][0] for view in VALUE_DIMENSIONS[name].views]
+    return []
+
+
 class Layers:
     """Calling it with a table name returns that table.
 
@@ -53,6 +71,7 @@ class Layers:
             return plan(self(source))
         if name in REPORTS:
             return REPORTS[name](self)
+        self.load(_stored_inputs(name))
         if name in FACT_PLANS:
             return self._stored(name, FACT_PLANS[name](self, self, self.load_ts))
         if name.startswith("dim_"):
@@ -70,11 +89,10 @@ class Layers:
 
     def load(self, names: Iterable[str]) -> None:
         """Store several tables that do not depend on each other."""
-        with ThreadPoolExecutor(CONCURRENT_LOADS) as pool:
-            for future in [pool.submit(self, n) for n in names]:
-                future.result()
+        concurrently(self, names)
 
     def load_warehouse(self) -> None:
-        """Dimensions first, since the facts join them as stored."""
+        """Dimensions before facts, since the facts join them as stored."""
+        self.load(c.name for c in STAGING)
         self.load(c.name for c in DIMENSIONS)
         self.load(c.name for c in FACTS)

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, Row, SparkSession
 
-from haulmart.contracts import DIMENSIONS, FACTS, STAGING, contract
+from haulmart.contracts import DIMENSIONS, FACTS, STAGING, Contract, contract
 from haulmart.operators.checks import FAIL, enforce
+from haulmart.plans.audit import row_counts
 from haulmart.plans.clean import CLEAN_VIEWS
 from haulmart.plans.gates import (
     CLEAN_FAILED,
@@ -20,7 +21,7 @@ from haulmart.plans.gates import (
     gate_staging,
     gate_warehouse,
 )
-from haulmart.plans.layers import Layers
+from haulmart.plans.layers import Layers, concurrently
 from haulmart.plans.reporting import REPORTS
 from haulmart.runlog import RunLog, utc_now
 from haulmart.sources.feeds import MODES, Ingested, ingest, require_no_rejects
@@ -78,8 +79,7 @@ class Pipeline:
         workspace = Workspace(self.spark, f"{self.root}/runs/{run_id}")
         ingested = self._stage(run_id, feeds, workspace)
         layers = Layers(workspace, lambda table: ingested[table].good, utc_now())
-        for c in STAGING:
-            self._step(run_id, f"Load {c.name}", lambda n=c.name: layers(n).count())
+        self._load_tables(run_id, layers, STAGING)
         self.snapshots.publish("staging", run_id, _paths(layers, STAGING))
 
         result = LoadResult(run_id, layers)
@@ -89,25 +89,25 @@ class Pipeline:
         )
         self._gate(result, "Clean gate", CLEAN_FAILED, gate_clean(layers, **options))
 
-        # Concurrent writes first, then one cheap footer count per table for the log.
-        started = utc_now()
-        layers.load_warehouse()
-        self.log.log_step(run_id, "Load warehouse", started)
-        for c in DIMENSIONS + FACTS:
-            self._step(run_id, f"Load {c.name}", lambda n=c.name: layers(n).count())
+        # Dimensions before facts, since the facts join them as stored.
+        self._load_tables(run_id, layers, DIMENSIONS)
+        self._load_tables(run_id, layers, FACTS)
         # Checked before it is published: readers never see a bad load.
         self._gate(result, "Warehouse gate", WAREHOUSE_FAILED, gate_warehouse(layers, **options))
         self.snapshots.publish("dw", run_id, _paths(layers, DIMENSIONS + FACTS))
-        self._step(run_id, "Publish views", lambda: len(publish_views(layers)))
+        started = utc_now()
+        views = publish_views(layers)
+        self.log.log_step(run_id, "Publish views", started, len(views))
         return result
 
     def _stage(
         self, run_id: str, feeds: Mapping[str, str], workspace: Workspace
     ) -> dict[str, Ingested]:
         """Parse all four feeds; in strict mode one bad row stops the load."""
-        ingested = {
-            c.name: ingest(self.spark, feeds[c.name], c, workspace) for c in STAGING
-        }
+        ingested = concurrently(
+            lambda table: ingest(self.spark, feeds[table], contract(table), workspace),
+            [c.name for c in STAGING],
+        )
         rejects = reduce(DataFrame.unionByName, [i.rejects for i in ingested.values()])
         started = utc_now()
         stored = self.spark.read.schema(rejects.schema).parquet(
@@ -133,14 +133,24 @@ class Pipeline:
         self.log.log_step(result.run_id, step, started, len(rows), status)
         result.reports[step] = rows
 
-    def _step(self, run_id: str, step: str, work: Callable[[], int]) -> None:
+    def _load_tables(self, run_id: str, layers: Layers, contracts: Sequence[Contract]) -> None:
+        """Store independent tables and log the rows that landed in each."""
         started = utc_now()
         try:
-            rows = work()
+            layers.load(c.name for c in contracts)
+            rows = stored_rows(layers, [c.name for c in contracts])
         except Exception as error:
-            self.log.log_step(run_id, step, started, None, "FAILED", str(error))
+            names = ", ".join(c.name for c in contracts)
+            self.log.log_step(run_id, f"Load {names}", started, None, "FAILED", str(error))
             raise
-        self.log.log_step(run_id, step, started, rows)
+        self.log.log_steps(
+            run_id, [(f"Load {n}", started, count, "SUCCESS", None) for n, count in rows.items()]
+        )
+
+
+def stored_rows(tables: Callable[[str], DataFrame], names: list[str]) -> dict[str, int]:
+    """Rows per stored table, read from the file footers by one job."""
+    return {r["TableName"]: r["RowCount"] for r in row_counts(tables, names).collect()}
 
 
 def _paths(layers: Layers, contracts) -> dict[str, str]:

@@ -17,6 +17,7 @@ from haulmart.functions.columns import (
     share,
 )
 from haulmart.operators.checks import Tables
+from haulmart.operators.shape import long_form
 from haulmart.operators.integrity import orphan_count, orphan_rows
 from haulmart.plans.clean import CLEAN_VIEWS, LATE, is_overdue
 
@@ -77,20 +78,9 @@ def layer_row_counts(tables: Tables) -> DataFrame:
 def required_nulls(tables: Tables, view: str) -> DataFrame:
     """(NullCount, FieldName) for every required field, one pass over the view."""
     fields = REQUIRED_FIELDS[view]
-    totals = tables(view).agg(*[null_cells(f).alias(f) for f in fields])
-    return totals.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.col(f).cast("long").alias("NullCount"),
-                        F.lit(f"{view}.{f}").alias("FieldName"),
-                    )
-                    for f in fields
-                ]
-            )
-        )
-    )
+    totals = tables(view).agg(*[null_cells(f).alias(f"{view}.{f}") for f in fields])
+    names = [f"`{view}.{f}`" for f in fields]
+    return long_form(totals, names, "FieldName", "NullCount")
 
 
 def count_rows(tables: Tables, table: str, name: str, condition: Column) -> DataFrame:

@@ -43,6 +43,17 @@ def _on_layers(plan: Callable[[Tables], DataFrame]) -> Query:
     return lambda spark, sf_dir: comparable(plan(bound(spark, sf_dir).layers))
 
 
+def _on_warehouse(plan: Callable[[Tables], DataFrame]) -> Query:
+    """For queries that touch most tables: load them side by side first."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        layers = bound(spark, sf_dir).layers
+        layers.load_warehouse()
+        return comparable(plan(layers))
+
+    return query
+
+
 def _on_bound(plan: Callable[[BoundTables], DataFrame]) -> Query:
     return lambda spark, sf_dir: comparable(plan(bound(spark, sf_dir)))
 
@@ -92,16 +103,16 @@ def _truncate_reload(b: BoundTables) -> DataFrame:
     return reload_table(b.layers("staging_routes"), path)
 
 
-def _published_counts(layer: str, contracts) -> Callable[[BoundTables], DataFrame]:
+def _published_counts(contracts) -> Callable[[BoundTables], DataFrame]:
     def plan(b: BoundTables) -> DataFrame:
         pipeline, _ = b.load()
-        store = pipeline.snapshots
-        return audit.row_counts(lambda t: store.read(layer, t), [c.name for c in contracts])
+        return audit.row_counts(published(pipeline.snapshots), [c.name for c in contracts])
 
     return plan
 
 
 def _publish_views(b: BoundTables) -> DataFrame:
+    b.layers.load_warehouse()
     publish_views(b.layers)
     names = [*CLEAN_VIEWS, *REPORTS]
     return audit.row_counts(b.spark.table, names)
@@ -118,7 +129,7 @@ def _run_log(b: BoundTables) -> DataFrame:
 def _step_log(b: BoundTables) -> DataFrame:
     pipeline, result = b.load()
     steps = pipeline.log.steps().filter(F.col("RunID") == result.run_id)
-    return steps.filter(F.col("StepName").like("Load %") & F.col("RowsProcessed").isNotNull()).select(
+    return steps.filter(F.col("StepName").like("Load %")).select(
         "StepName", "RowsProcessed", "Status"
     )
 
@@ -139,9 +150,9 @@ SOURCES: dict[str, Query] = {
     "ingest_rejects": _on_bound(_ingest_rejects),
     "ingest_notnull_quarantine": _on_bound(_null_rejects),
     "ingest_pk_quarantine": _on_bound(_key_rejects),
-    "staging_atomic_load": _on_bound(_published_counts("staging", STAGING)),
+    "staging_atomic_load": _on_bound(_published_counts(STAGING)),
     "truncate_reload": _on_bound(_truncate_reload),
-    "dw_atomic_publish": _on_bound(_published_counts("dw", DIMENSIONS + FACTS)),
+    "dw_atomic_publish": _on_bound(_published_counts(DIMENSIONS + FACTS)),
     "published_snapshot": _on_bound(
         lambda b: measures.sales_by_region_product_month(published(b.load()[0].snapshots))
     ),
@@ -170,7 +181,7 @@ LAYER_TABLES: dict[str, Query] = {
     **{name: _fact(name) for name in FACT_PLANS},
     **{name: _table(name) for name in REPORTS},
     "orphan_rows": _on_layers(
-        lambda t: orphan_rows(t("staging_sales"), t("staging_deliveries"), "DeliveryID")
+        lambda t: orphan_rows(t("staging_sales"), t("clean_deliveries"), "DeliveryID")
     ),
 }
 
@@ -190,17 +201,17 @@ GATES: dict[str, Query] = {
     },
     "gate_staging": _on_layers(lambda t: gates.gate_staging(t, AS_OF)),
     "gate_clean": _on_layers(gates.gate_clean),
-    "gate_dw": _on_layers(gates.gate_warehouse),
+    "gate_dw": _on_warehouse(gates.gate_warehouse),
     "stg_row_counts": _on_layers(lambda t: audit.row_counts(t, [c.name for c in STAGING])),
     "stg_null_detail": _on_layers(gates.null_detail),
-    "dw_not_empty": _on_layers(
+    "dw_not_empty": _on_warehouse(
         lambda t: _union(
             c.result(t) for c in gates.warehouse_checks() if c.key.startswith("dw_not_empty_")
         )
     ),
-    "dw_fk_all": _on_layers(gates.reference_report),
+    "dw_fk_all": _on_warehouse(gates.reference_report),
     "dw_fact_vs_clean": _on_layers(audit.fact_versus_clean),
-    "dw_row_counts": _on_layers(
+    "dw_row_counts": _on_warehouse(
         lambda t: audit.layer_row_counts(t, [(c.layer, c.name) for c in DIMENSIONS + FACTS])
     ),
     "dw_sales_metric_summary": _on_layers(audit.sales_metrics),
@@ -277,12 +288,12 @@ def _duplicate_keys(b: BoundTables) -> DataFrame:
         audit.duplicate_keys(b.feed(c.name), c, c.name.replace("staging_", "feed."))
         for c in STAGING
     ]
+    b.layers.load_warehouse()
     return _union([audit.all_duplicate_keys(b.layers), *feeds])
 
 
 def _storage(b: BoundTables) -> DataFrame:
-    for _, table in audit.STORED:
-        b.layers(table)
+    b.layers.load_warehouse()
     return audit.storage(b.layers, audit.STORED, b.layers.paths)
 
 
@@ -293,30 +304,30 @@ def _freshness(tables: Tables) -> DataFrame:
 
 
 AUDITS: dict[str, Query] = {
-    "aud_row_counts": _on_layers(lambda t: audit.layer_row_counts(t, audit.STORED)),
+    "aud_row_counts": _on_warehouse(lambda t: audit.layer_row_counts(t, audit.STORED)),
     "aud_dup_keys": _on_bound(_duplicate_keys),
     "aud_dup_keys_routes": _on_layers(
         lambda t: audit.duplicate_keys(t("fact_routes"), contract("fact_routes"))
     ),
-    "aud_null_counts": _on_layers(
+    "aud_null_counts": _on_warehouse(
         lambda t: profile.most_null_first(profile.with_nulls(_null_profile(t)))
     ),
-    "aud_null_over_20": _on_layers(
+    "aud_null_over_20": _on_warehouse(
         lambda t: profile.most_null_first(profile.critical(_null_profile(t)))
     ),
     "aud_storage": _on_bound(_storage),
     "aud_freshness": _on_layers(_freshness),
     "aud_fact_sizes": _on_layers(audit.fact_sizes),
-    "aud_orphans": _on_layers(audit.orphans),
-    "col_row_counts": _on_layers(
+    "aud_orphans": _on_warehouse(audit.orphans),
+    "col_row_counts": _on_warehouse(
         lambda t: _null_profile(t)
         .groupBy("SchemaName", "TableName")
         .agg(F.max("TotalRows").alias("RowCount"))
         .orderBy("SchemaName", "TableName")
     ),
-    "col_null_profile": _on_layers(lambda t: profile.most_null_first(_null_profile(t))),
-    "col_scorecard": _on_layers(lambda t: profile.scorecard(_null_profile(t))),
-    "col_critical": _on_layers(
+    "col_null_profile": _on_warehouse(lambda t: profile.most_null_first(_null_profile(t))),
+    "col_scorecard": _on_warehouse(lambda t: profile.scorecard(_null_profile(t))),
+    "col_critical": _on_warehouse(
         lambda t: profile.most_null_first(profile.critical(_null_profile(t)))
     ),
 }

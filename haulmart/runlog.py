@@ -13,6 +13,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from haulmart.operators.shape import empty_frame, literal_rows
+
 # The statuses a run or step may have.
 STATUSES = ("RUNNING", "SUCCESS", "FAILED", "SKIPPED")
 
@@ -36,8 +38,9 @@ class RunLog:
         self.run_path = f"{root.rstrip('/')}/run_events"
         self.step_path = f"{root.rstrip('/')}/step_events"
 
-    def _append(self, path: str, schema: str, row: tuple) -> None:
-        self.spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(path)
+    def _append(self, path: str, schema: str, rows: list[tuple]) -> None:
+        """One file per append, however many rows."""
+        literal_rows(self.spark, rows, schema).write.mode("append").parquet(path)
 
     def _read(self, path: str, schema: str) -> DataFrame:
         try:
@@ -45,16 +48,16 @@ class RunLog:
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)
+            return empty_frame(self.spark, schema)
 
     def start_run(self, pipeline: str) -> str:
         run_id = uuid.uuid4().hex
-        self._append(self.run_path, RUN_EVENTS, (run_id, 0, pipeline, utc_now(), "RUNNING", None))
+        self._append(self.run_path, RUN_EVENTS, [(run_id, 0, pipeline, utc_now(), "RUNNING", None)])
         return run_id
 
     def end_run(self, run_id: str, status: str, error: str | None = None) -> None:
         self._check(status)
-        self._append(self.run_path, RUN_EVENTS, (run_id, 1, None, utc_now(), status, error))
+        self._append(self.run_path, RUN_EVENTS, [(run_id, 1, None, utc_now(), status, error)])
 
     def log_step(
         self,
@@ -66,9 +69,20 @@ class RunLog:
         error: str | None = None,
     ) -> None:
         """Record a finished step; it ends at the time of the call."""
-        self._check(status)
-        entry = (uuid.uuid4().hex, run_id, step, started, utc_now(), rows, status, error)
-        self._append(self.step_path, STEP_EVENTS, entry)
+        self.log_steps(run_id, [(step, started, rows, status, error)])
+
+    def log_steps(
+        self, run_id: str, steps: list[tuple[str, datetime, int | None, str, str | None]]
+    ) -> None:
+        """Record steps that ended together: (step, started, rows, status, error)."""
+        ended = utc_now()
+        entries = []
+        for step, started, rows, status, error in steps:
+            self._check(status)
+            entries.append(
+                (uuid.uuid4().hex, run_id, step, started, ended, rows, status, error)
+            )
+        self._append(self.step_path, STEP_EVENTS, entries)
 
     @staticmethod
     def _check(status: str) -> None:

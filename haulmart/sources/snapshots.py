@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulmart.contracts import contract
+from haulmart.operators.shape import empty_frame, literal_rows
 
 MANIFEST_SCHEMA = "layer string, run_id string, published_at timestamp, table_name string, path string"
 
@@ -29,8 +30,8 @@ class SnapshotStore:
     def publish(self, layer: str, run_id: str, paths: Mapping[str, str]) -> None:
         now = datetime.now(timezone.utc)
         entries = [(layer, run_id, now, table, path) for table, path in paths.items()]
-        manifest = self.spark.createDataFrame(entries, MANIFEST_SCHEMA)
-        manifest.coalesce(1).write.mode("append").parquet(self.manifest_path)
+        manifest = literal_rows(self.spark, entries, MANIFEST_SCHEMA)
+        manifest.write.mode("append").parquet(self.manifest_path)
 
     def manifest(self) -> DataFrame:
         """Every publication; empty before the first one."""
@@ -39,7 +40,7 @@ class SnapshotStore:
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], MANIFEST_SCHEMA)
+            return empty_frame(self.spark, MANIFEST_SCHEMA)
 
     def current(self, layer: str) -> dict[str, str]:
         """Paths of the newest publication of a layer, a dozen rows at most."""

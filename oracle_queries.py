@@ -488,7 +488,7 @@ LAYERS = {
     ),
     "orphan_rows": q(
         f"SELECT {INGEST_COLUMNS['sales']} FROM staging_sales s WHERE NOT EXISTS "
-        "(SELECT 1 FROM staging_deliveries d WHERE d.DeliveryID = s.DeliveryID)"
+        "(SELECT 1 FROM clean_deliveries d WHERE d.DeliveryID = s.DeliveryID)"
     ),
 }
 
