@@ -17,21 +17,21 @@ from haulmart.sources.workspace import Workspace  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(cores=4, memory="4g")
-    session.conf.set("spark.sql.shuffle.partitions", "4")
+    session.conf.set("spark.sql.shuffle.partitions", "2")
     return session
 
 
-@pytest.fixture
-def workspace(spark, tmp_path):
-    return Workspace(spark, str(tmp_path))
+@pytest.fixture(scope="session")
+def workspace(spark, tmp_path_factory):
+    return Workspace(spark, str(tmp_path_factory.mktemp("work")))
 
 
-@pytest.fixture
+@pytest.fixture(scope="session")
 def staged(spark):
     """Build a staging frame from tuples in contract order."""
 
     def build(table: str, rows: list[tuple]):
-        return spark.createDataFrame(rows, contract(table).schema())
+        return spark.createDataFrame(rows, contract(table).schema()).coalesce(1)
 
     return build
 
@@ -70,7 +70,7 @@ STAGED_ROWS = {
 }
 
 
-@pytest.fixture
+@pytest.fixture(scope="session")
 def small_tables(spark, staged):
     """Lookup over small valid staging frames with the clean views on top."""
     from haulmart.plans.clean import CLEAN_VIEWS
