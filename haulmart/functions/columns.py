@@ -48,11 +48,19 @@ def date_key(d: Column) -> Column:
     return F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)
 
 
+def whole_part(number: Column, divisor: int) -> Column:
+    """Whole-number quotient of an int; subtracting the remainder makes it exact."""
+    return ((number - number % divisor) / divisor).cast("int")
+
+
 def date_of_key(k: Column) -> Column:
     """Inverse of ``date_key``; spares a lookup in the date dimension."""
-    year = F.floor(k / 10000).cast("int")
-    month = F.floor((k % 10000) / 100).cast("int")
-    return F.make_date(year, month, (k % 100).cast("int"))
+    return F.make_date(whole_part(k, 10000), whole_part(k % 10000, 100), k % 100)
+
+
+def month_of_key(k: Column) -> Column:
+    """YYYYMM of a YYYYMMDD key."""
+    return whole_part(k, 100)
 
 
 def in_calendar(d: Column) -> Column:

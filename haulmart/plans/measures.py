@@ -14,7 +14,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulmart.functions.columns import count_if, date_of_key, share
+from haulmart.functions.columns import (
+    count_if,
+    date_of_key,
+    month_of_key,
+    share,
+    whole_part,
+)
 from haulmart.operators.checks import Tables
 from haulmart.plans.clean import LATE
 from haulmart.plans.dims import VALUE_DIMENSIONS
@@ -94,17 +100,16 @@ def date_corrected(tables: Tables) -> DataFrame:
 
 
 def sales_by_region_product_month(tables: Tables) -> DataFrame:
-    month = F.floor(F.col("DateKey") / 100).cast("int")
     groups = (
         tables("fact_sales")
-        .groupBy("RegionID", "ProductTypeID", month.alias("_month"))
+        .groupBy("RegionID", "ProductTypeID", month_of_key(F.col("DateKey")).alias("_month"))
         .agg(_rows().alias("Transactions"), F.sum("SalesAmount").alias("TotalRevenue"))
     )
     named = _names(_names(groups, tables, "dim_region"), tables, "dim_product_type")
     return named.select(
         "Region",
         "ProductType",
-        F.floor(F.col("_month") / 100).cast("int").alias("SaleYear"),
+        whole_part(F.col("_month"), 100).alias("SaleYear"),
         (F.col("_month") % 100).alias("SaleMonth"),
         "Transactions",
         "TotalRevenue",
@@ -234,16 +239,15 @@ def priority_by_region(tables: Tables) -> DataFrame:
 
 
 def exception_trend(tables: Tables) -> DataFrame:
-    month = F.floor(F.col("DateKey") / 100).cast("int")
     groups = (
         tables("fact_exceptions")
-        .groupBy(month.alias("_month"), "ExceptionTypeID")
+        .groupBy(month_of_key(F.col("DateKey")).alias("_month"), "ExceptionTypeID")
         .agg(*_resolution_columns())
     )
     return (
         _names(groups, tables, "dim_exception_type")
         .select(
-            F.floor(F.col("_month") / 100).cast("int").alias("ReportYear"),
+            whole_part(F.col("_month"), 100).alias("ReportYear"),
             (F.col("_month") % 100).alias("ReportMonth"),
             "ExceptionType",
             "Exceptions",

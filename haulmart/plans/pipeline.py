@@ -25,7 +25,7 @@ from haulmart.plans.layers import Layers, concurrently
 from haulmart.plans.reporting import REPORTS
 from haulmart.runlog import RunLog, utc_now
 from haulmart.sources.feeds import MODES, Ingested, ingest, require_no_rejects
-from haulmart.sources.snapshots import SnapshotStore
+from haulmart.sources.snapshots import Published, SnapshotStore
 from haulmart.sources.workspace import Workspace
 
 
@@ -79,8 +79,8 @@ class Pipeline:
         workspace = Workspace(self.spark, f"{self.root}/runs/{run_id}")
         ingested = self._stage(run_id, feeds, workspace)
         layers = Layers(workspace, lambda table: ingested[table].good, utc_now())
-        self._load_tables(run_id, layers, STAGING)
-        self.snapshots.publish("staging", run_id, _paths(layers, STAGING))
+        staged = self._load_tables(run_id, layers, STAGING)
+        self.snapshots.publish("staging", run_id, staged)
 
         result = LoadResult(run_id, layers)
         options = self.gate_options
@@ -90,11 +90,11 @@ class Pipeline:
         self._gate(result, "Clean gate", CLEAN_FAILED, gate_clean(layers, **options))
 
         # Dimensions before facts, since the facts join them as stored.
-        self._load_tables(run_id, layers, DIMENSIONS)
-        self._load_tables(run_id, layers, FACTS)
+        loaded = self._load_tables(run_id, layers, DIMENSIONS)
+        loaded |= self._load_tables(run_id, layers, FACTS)
         # Checked before it is published: readers never see a bad load.
         self._gate(result, "Warehouse gate", WAREHOUSE_FAILED, gate_warehouse(layers, **options))
-        self.snapshots.publish("dw", run_id, _paths(layers, DIMENSIONS + FACTS))
+        self.snapshots.publish("dw", run_id, loaded)
         started = utc_now()
         views = publish_views(layers)
         self.log.log_step(run_id, "Publish views", started, len(views))
@@ -133,7 +133,9 @@ class Pipeline:
         self.log.log_step(result.run_id, step, started, len(rows), status)
         result.reports[step] = rows
 
-    def _load_tables(self, run_id: str, layers: Layers, contracts: Sequence[Contract]) -> None:
+    def _load_tables(
+        self, run_id: str, layers: Layers, contracts: Sequence[Contract]
+    ) -> dict[str, Published]:
         """Store independent tables and log the rows that landed in each."""
         started = utc_now()
         try:
@@ -146,6 +148,7 @@ class Pipeline:
         self.log.log_steps(
             run_id, [(f"Load {n}", started, count, "SUCCESS", None) for n, count in rows.items()]
         )
+        return {n: Published(layers.paths[n], count) for n, count in rows.items()}
 
 
 def stored_rows(tables: Callable[[str], DataFrame], names: list[str]) -> dict[str, int]:
@@ -153,10 +156,6 @@ def stored_rows(tables: Callable[[str], DataFrame], names: list[str]) -> dict[st
     return {r["TableName"]: r["RowCount"] for r in row_counts(tables, names).collect()}
 
 
-def _paths(layers: Layers, contracts) -> dict[str, str]:
-    return {c.name: layers.paths[c.name] for c in contracts}
-
-
 def publish_views(tables: Callable[[str], DataFrame]) -> list[str]:
     """Create or replace one view per table and per clean and reporting frame."""
     names = [c.name for c in STAGING + DIMENSIONS + FACTS] + [*CLEAN_VIEWS, *REPORTS]
@@ -169,6 +168,6 @@ def published(store: SnapshotStore) -> Layers:
     """The layers of the newest published snapshot, ready to query."""
     layers = Layers(Workspace(store.spark), lambda table: store.read("staging", table), utc_now())
     for layer in ("staging", "dw"):
-        for table, path in store.current(layer).items():
-            layers.adopt(table, path, contract(table).schema())
+        for table, stored in store.current(layer).items():
+            layers.adopt(table, stored.path, stored.rows)
     return layers

@@ -9,6 +9,7 @@ this point leaves the previous tables readable.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
@@ -18,7 +19,16 @@ from pyspark.sql import functions as F
 from haulmart.contracts import contract
 from haulmart.operators.shape import empty_frame, literal_rows
 
-MANIFEST_SCHEMA = "layer string, run_id string, published_at timestamp, table_name string, path string"
+MANIFEST_SCHEMA = (
+    "layer string, run_id string, published_at timestamp, table_name string, path string, "
+    "row_count bigint"
+)
+
+
+@dataclass(frozen=True)
+class Published:
+    path: str
+    rows: int
 
 
 class SnapshotStore:
@@ -27,9 +37,9 @@ class SnapshotStore:
         self.root = root.rstrip("/")
         self.manifest_path = f"{self.root}/manifest"
 
-    def publish(self, layer: str, run_id: str, paths: Mapping[str, str]) -> None:
+    def publish(self, layer: str, run_id: str, tables: Mapping[str, Published]) -> None:
         now = datetime.now(timezone.utc)
-        entries = [(layer, run_id, now, table, path) for table, path in paths.items()]
+        entries = [(layer, run_id, now, name, t.path, t.rows) for name, t in tables.items()]
         manifest = literal_rows(self.spark, entries, MANIFEST_SCHEMA)
         manifest.write.mode("append").parquet(self.manifest_path)
 
@@ -42,15 +52,15 @@ class SnapshotStore:
                 raise
             return empty_frame(self.spark, MANIFEST_SCHEMA)
 
-    def current(self, layer: str) -> dict[str, str]:
-        """Paths of the newest publication of a layer, a dozen rows at most."""
+    def current(self, layer: str) -> dict[str, Published]:
+        """Tables of the newest publication of a layer, a dozen rows at most."""
         published = self.manifest().filter(F.col("layer") == layer)
         newest = published.agg(F.max_by("run_id", "published_at").alias("run_id"))
         rows = published.join(F.broadcast(newest), "run_id").collect()
-        return {r["table_name"]: r["path"] for r in rows}
+        return {r["table_name"]: Published(r["path"], r["row_count"]) for r in rows}
 
     def read(self, layer: str, table: str) -> DataFrame:
-        path = self.current(layer)[table]
+        path = self.current(layer)[table].path
         return self.spark.read.schema(contract(table).schema()).parquet(path)
 
 

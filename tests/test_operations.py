@@ -12,7 +12,7 @@ from haulmart.plans import catalog, measures
 from haulmart.plans.pipeline import Pipeline, publish_views, published
 from haulmart.runlog import RunLog, utc_now
 from haulmart.sources.feeds import RejectedRows
-from haulmart.sources.snapshots import SnapshotStore, reload_table
+from haulmart.sources.snapshots import Published, SnapshotStore, reload_table
 
 from tests.conftest import dec
 
@@ -145,11 +145,12 @@ def test_unknown_mode(spark, tmp_path):
 def test_snapshots(spark, tmp_path):
     store = SnapshotStore(spark, str(tmp_path))
     assert store.current("dw") == {}
-    store.publish("dw", "a", {"t": "path-a"})
-    store.publish("staging", "a", {"t": "path-s"})
-    store.publish("dw", "b", {"t": "path-b", "u": "path-u"})
-    assert store.current("dw") == {"t": "path-b", "u": "path-u"}
-    assert store.current("staging") == {"t": "path-s"}
+    store.publish("dw", "a", {"t": Published("path-a", 1)})
+    store.publish("staging", "a", {"t": Published("path-s", 2)})
+    newest = {"t": Published("path-b", 3), "u": Published("path-u", 0)}
+    store.publish("dw", "b", newest)
+    assert store.current("dw") == newest
+    assert store.current("staging") == {"t": Published("path-s", 2)}
     assert store.manifest().count() == 4
 
 
