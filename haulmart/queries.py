@@ -298,8 +298,9 @@ def _storage(b: BoundTables) -> DataFrame:
 
 
 def _freshness(tables: Tables) -> DataFrame:
+    utc = F.to_utc_timestamp("LastLoad", F.current_timezone())
     return audit.freshness(tables).select(
-        "TableName", F.date_format(F.to_date("LastLoad"), "yyyy-MM-dd").alias("LastLoad")
+        "TableName", F.date_format(utc, "yyyy-MM-dd").alias("LastLoad")
     )
 
 
