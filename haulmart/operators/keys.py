@@ -67,7 +67,10 @@ def split_by_key(
         duplicate_groups(df, keys).select(*key_names), "duplicate_keys"
     )
     keyed = df.select("*", *key_columns(df, keys))
-    if clashes.count() <= broadcast_limit:
+    clashing = clashes.count()
+    if clashing == 0:
+        return KeySplit(df, df.withColumn("copies", F.lit(0).cast("long")).filter(F.lit(False)))
+    if clashing <= broadcast_limit:
         clash_keys = F.broadcast(clashes)
         matched = [keyed[k].eqNullSafe(clash_keys[k]) for k in key_names]
         contested = keyed.join(clash_keys, _all(matched), "left_semi")

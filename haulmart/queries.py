@@ -14,6 +14,8 @@ from haulmart.contracts import DIMENSIONS, FACTS, STAGING, contract
 from haulmart.operators import profile
 from haulmart.operators.checks import Check, Tables
 from haulmart.operators.integrity import orphan_rows
+from haulmart.operators.keys import assign_surrogate_key
+from haulmart.operators.shape import looked_up
 from haulmart.plans import audit, gates, measures, profiling
 from haulmart.plans.clean import CLEAN_VIEWS
 from haulmart.plans.facts import FACT_PLANS
@@ -136,8 +138,29 @@ def _step_log(b: BoundTables) -> DataFrame:
 
 def _log_constraints(b: BoundTables) -> DataFrame:
     pipeline, _ = b.load()
-    return pipeline.log.violations().groupBy("table_name", "problem").agg(
-        F.count(F.lit(1)).alias("violations")
+    return pipeline.log.constraint_report()
+
+
+def _surrogate_keys(b: BoundTables) -> DataFrame:
+    """Dense keys for every order that has lines, in order of its number."""
+    orders = scan(b.spark, b.sf_dir, "lineitem").select("l_orderkey").distinct()
+    return assign_surrogate_key(orders, "l_orderkey", "OrderID", b.workspace)
+
+
+def _contract_columns(tables: Tables) -> DataFrame:
+    """Every NOT NULL column of the stored tables with the nulls found in it."""
+    declared = {
+        f"{c.name}.{f.name}": f.sql_type
+        for c in STAGING + DIMENSIONS + FACTS
+        for f in c.fields
+        if not f.nullable
+    }
+    return (
+        _null_profile(tables)
+        .withColumn("_name", F.concat_ws(".", "TableName", "ColumnName"))
+        .withColumn("SqlType", looked_up("_name", declared))
+        .filter(F.col("SqlType").isNotNull())
+        .select("TableName", "ColumnName", "SqlType", "NullCount")
     )
 
 
@@ -160,6 +183,8 @@ SOURCES: dict[str, Query] = {
     "etl_run_log": _on_bound(_run_log),
     "etl_step_log": _on_bound(_step_log),
     "log_constraints": _on_bound(_log_constraints),
+    "assign_surrogate_key": _on_bound(_surrogate_keys),
+    "table_contracts": _on_warehouse(_contract_columns),
 }
 
 

@@ -140,3 +140,20 @@ class RunLog:
             F.lit("no such run").alias("problem"),
         )
         return bad_run.unionByName(bad_step).unionByName(orphan)
+
+    def constraint_report(self) -> DataFrame:
+        """(table_name, problem, violations) for every constraint, also when kept."""
+        constraints = literal_rows(
+            self.spark,
+            [
+                ("etl_run_log", "unknown status"),
+                ("etl_step_log", "unknown status"),
+                ("etl_step_log", "no such run"),
+            ],
+            "table_name string, problem string",
+        )
+        return (
+            constraints.join(self.violations(), ["table_name", "problem"], "left")
+            .groupBy("table_name", "problem")
+            .agg(F.count("entry_id").alias("violations"))
+        )

@@ -843,7 +843,18 @@ AUDIT_KEYS = [
     (c, fk) for c in FACTS for fk in c.foreign_keys if fk.column in gates.AUDIT_REFERENCES[c.name]
 ]
 
+CONTRACTS = union(
+    f"SELECT '{c.name}' AS TableName, '{f.name}' AS ColumnName, '{f.sql_type}' AS SqlType, "
+    f"(SELECT count(*) FROM {c.name} t WHERE t.\"{f.name}\" IS NULL) AS NullCount"
+    for c in STAGING + DIMENSIONS + FACTS
+    for f in c.fields
+    if not f.nullable
+)
+
 AUDITS = {
+    "assign_surrogate_key": "SELECT CAST(row_number() OVER (ORDER BY l_orderkey) AS INTEGER) AS "
+    "OrderID, l_orderkey FROM (SELECT DISTINCT l_orderkey FROM lineitem)",
+    "table_contracts": q(CONTRACTS),
     "aud_row_counts": q(_layer_counts(STORED)),
     "aud_dup_keys": q(
         union(

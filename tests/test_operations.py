@@ -178,6 +178,12 @@ def test_run_log(spark, tmp_path):
     assert [(r.table_name, r.problem) for r in log.violations().collect()] == [
         ("etl_step_log", "no such run")
     ]
+    report = {(r.table_name, r.problem): r.violations for r in log.constraint_report().collect()}
+    assert report == {
+        ("etl_run_log", "unknown status"): 0,
+        ("etl_step_log", "unknown status"): 0,
+        ("etl_step_log", "no such run"): 1,
+    }
 
 
 def test_catalog(spark, small_tables):
