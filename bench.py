@@ -40,6 +40,7 @@ def main() -> None:
     for step, contracts in (("staging", STAGING), ("dimensions", DIMENSIONS), ("facts", FACTS)):
         names = [c.name for c in contracts]
         seconds[f"load_{step}"] = timed(lambda names=names: tables.layers.load(names))
+    seconds["export_feeds_as_csv"] = timed(lambda: [tables.csv_path(c.name) for c in STAGING])
     seconds["load_from_csv_with_gates"] = timed(tables.load)
     for key, query in QUERIES.items():
         runs = [timed(lambda q=query: read_fully(q(spark, sf_dir))) for _ in range(repeats)]

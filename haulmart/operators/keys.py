@@ -118,7 +118,7 @@ def assign_surrogate_key(
     stored = workspace.materialize(values, f"values_{key}")
     total = stored.count()
     if total <= values_per_task:
-        number = F.row_number().over(Window.orderBy(order_by))
+        number = F.row_number().over(Window.orderBy(order_by)).cast("long")
         return stored.select(number.alias(key), *stored.columns)
 
     ranges = -(-total // values_per_task)
@@ -135,5 +135,5 @@ def assign_surrogate_key(
     )
     within = F.row_number().over(Window.partitionBy("_range").orderBy(order_by))
     return ranged.join(F.broadcast(offsets), "_range").select(
-        (F.col("_offset") + within).cast("int").alias(key), *stored.columns
+        (F.col("_offset") + within).alias(key), *stored.columns
     )

@@ -24,7 +24,13 @@ from haulmart.plans.gates import (
 from haulmart.plans.layers import Layers, concurrently
 from haulmart.plans.reporting import REPORTS
 from haulmart.runlog import RunLog, utc_now
-from haulmart.sources.feeds import MODES, Ingested, ingest, require_no_rejects
+from haulmart.sources.feeds import (
+    MODES,
+    REJECT_SCHEMA,
+    Ingested,
+    ingest,
+    require_no_rejects,
+)
 from haulmart.sources.snapshots import Published, SnapshotStore
 from haulmart.sources.workspace import Workspace
 
@@ -100,6 +106,11 @@ class Pipeline:
         self.log.log_step(run_id, "Publish views", started, len(views))
         return result
 
+    def rejects(self) -> DataFrame:
+        """Rejected rows of the newest load: table_name, record, reject_reason, copies."""
+        path = self.snapshots.current("rejects")["rejects"].path
+        return self.spark.read.schema(REJECT_SCHEMA).parquet(path)
+
     def _stage(
         self, run_id: str, feeds: Mapping[str, str], workspace: Workspace
     ) -> dict[str, Ingested]:
@@ -110,16 +121,18 @@ class Pipeline:
         )
         rejects = reduce(DataFrame.unionByName, [i.rejects for i in ingested.values()])
         started = utc_now()
-        stored = self.spark.read.schema(rejects.schema).parquet(
-            workspace.store(rejects, "rejects")
-        )
-        if self.mode == "strict":
+        path = workspace.store(rejects, "rejects")
+        stored = self.spark.read.schema(rejects.schema).parquet(path)
+        count = stored.count()
+        # Published before the verdict, so a stopped load can be looked into.
+        self.snapshots.publish("rejects", run_id, {"rejects": Published(path, count)})
+        if self.mode == "strict" and count:
             try:
                 require_no_rejects(stored)
             except Exception as error:
-                self.log.log_step(run_id, "Check feeds", started, None, "FAILED", str(error))
+                self.log.log_step(run_id, "Check feeds", started, count, "FAILED", str(error))
                 raise
-        self.log.log_step(run_id, "Check feeds", started, stored.count())
+        self.log.log_step(run_id, "Check feeds", started, count)
         return ingested
 
     def _gate(self, result: LoadResult, step: str, code: int, report: DataFrame) -> None:

@@ -16,6 +16,8 @@ CORRUPT = "_corrupt"
 REASON = "reject_reason"
 COPIES = "copies"
 
+REJECT_SCHEMA = "table_name string, record string, reject_reason string, copies bigint"
+
 # The text forms a bit column accepts.
 TRUE_TEXT = ("1", "true")
 FALSE_TEXT = ("0", "false")

@@ -852,7 +852,7 @@ CONTRACTS = union(
 )
 
 AUDITS = {
-    "assign_surrogate_key": "SELECT CAST(row_number() OVER (ORDER BY l_orderkey) AS INTEGER) AS "
+    "assign_surrogate_key": "SELECT CAST(row_number() OVER (ORDER BY l_orderkey) AS BIGINT) AS "
     "OrderID, l_orderkey FROM (SELECT DISTINCT l_orderkey FROM lineitem)",
     "table_contracts": q(CONTRACTS),
     "aud_row_counts": q(_layer_counts(STORED)),

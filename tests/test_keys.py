@@ -16,7 +16,7 @@ def test_surrogate_keys_are_dense_and_ordered(spark, workspace, values_per_task)
     keyed = assign_surrogate_key(values, "v", "k", workspace, values_per_task)
     got = [(r.k, r.v) for r in keyed.orderBy("k").collect()]
     assert got == [(i + 1, f"v{i:03d}") for i in range(100)]
-    assert dict(keyed.dtypes)["k"] == "int"
+    assert dict(keyed.dtypes)["k"] == "bigint"
 
 
 def expected_split(rows):

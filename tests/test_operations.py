@@ -91,6 +91,9 @@ def test_strict_load_stops_at_the_first_bad_row(spark, tmp_path, feeds):
         pipeline.run(feeds(staging_sales=["3,10,2024-01-05,box,ne,x,30.00"]))
     assert revenue(pipeline) == dec("42.50")
     assert sorted(r.Status for r in pipeline.log.runs().collect()) == ["FAILED", "SUCCESS"]
+    rejected = pipeline.rejects().first()
+    assert (rejected.table_name, rejected.reject_reason) == ("staging_sales", "unreadable_value")
+    assert '"UnitsSold":"x"' in rejected.record
 
 
 def test_failed_gate_keeps_the_previous_warehouse(spark, tmp_path, feeds):
