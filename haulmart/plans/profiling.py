@@ -17,8 +17,8 @@ from haulmart.functions.columns import (
     share,
 )
 from haulmart.operators.checks import Tables
-from haulmart.operators.shape import long_form
 from haulmart.operators.integrity import orphan_count, orphan_rows
+from haulmart.operators.shape import long_form
 from haulmart.plans.clean import CLEAN_VIEWS, LATE, is_overdue
 
 # Required fields per clean view. A missing resolved date is no defect.
@@ -36,7 +36,11 @@ REQUIRED_FIELDS = {
     ),
 }
 
+# Length of the review list and the texts of the issue column.
 REVIEW_ROWS = 20
+MISSING_FIELD = "NULL critical field"
+NOT_LATE = "Expected LATE status"
+NO_DELIVERY = "No matching delivery"
 
 
 def retention(tables: Tables, view: str) -> DataFrame:
@@ -190,7 +194,7 @@ def null_sales(tables: Tables) -> DataFrame:
             "DateKey",
             "UnitsSold",
             "SalesAmount",
-            F.lit("NULL critical field").alias("Issue"),
+            F.lit(MISSING_FIELD).alias("Issue"),
         )
     )
 
@@ -199,7 +203,7 @@ def null_deliveries(tables: Tables) -> DataFrame:
     return (
         tables("clean_deliveries")
         .filter(any_null("DeliveryID", "RouteID", "DriverID"))
-        .select("DeliveryID", "RouteID", "DriverID", F.lit("NULL critical field").alias("Issue"))
+        .select("DeliveryID", "RouteID", "DriverID", F.lit(MISSING_FIELD).alias("Issue"))
     )
 
 
@@ -211,7 +215,7 @@ def null_exceptions(tables: Tables) -> DataFrame:
             "ExceptionID",
             "DeliveryID",
             "DateReported",
-            F.lit("NULL critical field").alias("Issue"),
+            F.lit(MISSING_FIELD).alias("Issue"),
         )
     )
 
@@ -226,7 +230,7 @@ def late_rule_offenders(tables: Tables) -> DataFrame:
             "DeliveryDate",
             "ExpectedDeliveryDate",
             "DeliveryStatus",
-            F.lit("Expected LATE status").alias("Issue"),
+            F.lit(NOT_LATE).alias("Issue"),
         )
         .orderBy("DeliveryID")
         .limit(REVIEW_ROWS)
@@ -245,7 +249,7 @@ def priority_distribution(tables: Tables) -> DataFrame:
 def orphan_list(tables: Tables, view: str, key: str) -> DataFrame:
     child = tables(view).select(key, "DeliveryID")
     missing = orphan_rows(child, tables("clean_deliveries"), "DeliveryID")
-    return missing.select(key, "DeliveryID", F.lit("No matching delivery").alias("Issue"))
+    return missing.select(key, "DeliveryID", F.lit(NO_DELIVERY).alias("Issue"))
 
 
 def sales_profile(tables: Tables) -> DataFrame:

@@ -152,10 +152,10 @@ def test_layer_counts_reconcile(small_tables, staged):
 
 def test_review_list_of_late_rule_is_ordered(small_tables):
     base = small_tables()
-    many = base("clean_deliveries").filter("DeliveryID = 10").crossJoin(
-        base("clean_deliveries").sparkSession.range(30)
+    many = base("clean_deliveries").filter("DeliveryID = 10").withColumn(
+        "DeliveryID", F.explode(F.sequence(F.lit(0), F.lit(29)))
     )
-    wrong = many.withColumn("DeliveryID", F.col("id")).withColumn("DeliveryStatus", F.lit("X"))
+    wrong = many.withColumn("DeliveryStatus", F.lit("X"))
     listed = profiling.late_rule_offenders(lambda name: wrong).collect()
     assert [r.DeliveryID for r in listed] == list(range(20))
 
