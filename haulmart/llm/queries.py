@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmart.llm import packing, quality, token_files, trie_bpe, url_rules
+from haulmart.llm import line_dedup, packing, quality, token_files, trie_bpe, url_rules
 from haulmart.sources.binding import scan
 
 # Fixed values of the URL query: host, path, verdict.
@@ -39,6 +39,16 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.write_token_files(docs, vocabulary("word_bpe_49k.json"), end_id=2).documents()
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its lines, how many were taken out, and the SHA-256 of the text that stays."""
+    docs = scan(spark, sf_dir, "documents").select("doc_id", "text")
+    before = docs.withColumn("n_lines", F.size(F.split(F.coalesce("text", F.lit("")), "\n")))
+    clean = line_dedup.without_repeats(before)
+    # A text without any line left is empty, as is one of a single empty line.
+    left = F.when(F.col("text") == "", 0).otherwise(F.size(F.split("text", "\n")))
+    return clean.select("doc_id", "n_lines", left.alias("n_left"), F.sha2("text", 256).alias("clean_sha256"))
+
+
 def op9_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = scan(spark, sf_dir, "documents")
     return trie_bpe.encode_and_decode(docs, vocabulary("word_bpe_49k.json"), digests=True)
@@ -53,6 +63,7 @@ QUERIES = {
     "op2_url_filters": op2_url_filters,
     "op4_quality_rules": op4_quality_rules,
     "op7_token_files": op7_token_files,
+    "op8_line_dedup": op8_line_dedup,
     "op9_trie_bpe": op9_trie_bpe,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
