@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmart.llm import line_dedup, packing, quality
+from haulmart.llm import line_dedup, ngram_join, packing, quality
 from haulmart.llm.queries import vocabulary
 from haulmart.sources.workspace import Workspace
 
@@ -22,11 +22,20 @@ def line_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return ngram_join.one_of_each_group(docs)
+
+
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, vocabulary("byte_bpe_50k.json"), end_id=0, capacity=2048)
 
 
-STAGES = [("quality rules", quality_rules), ("line dedup", line_repeats), ("best-fit packing", best_fit_packing)]
+STAGES = [
+    ("quality rules", quality_rules),
+    ("line dedup", line_repeats),
+    ("n-gram Jaccard join", one_of_each_group),
+    ("best-fit packing", best_fit_packing),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

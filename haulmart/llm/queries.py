@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmart.llm import line_dedup, packing, quality, token_files, trie_bpe, url_rules
+from haulmart.llm import line_dedup, ngram_join, packing, quality, token_files, trie_bpe, url_rules
 from haulmart.sources.binding import scan
 
 # Fixed values of the URL query: host, path, verdict.
@@ -34,6 +34,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(scan(spark, sf_dir, "documents"))
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(scan(spark, sf_dir, "documents"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = scan(spark, sf_dir, "documents")
     return token_files.write_token_files(docs, vocabulary("word_bpe_49k.json"), end_id=2).documents()
@@ -62,6 +66,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_url_filters": op2_url_filters,
     "op4_quality_rules": op4_quality_rules,
+    "op5_ngram_join": op5_ngram_join,
     "op7_token_files": op7_token_files,
     "op8_line_dedup": op8_line_dedup,
     "op9_trie_bpe": op9_trie_bpe,
