@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmart.llm import line_dedup, ngram_join, packing, quality, token_files, trie_bpe, url_rules
+from haulmart.llm import fingerprints, line_dedup, ngram_join, packing, quality, token_files, trie_bpe, url_rules
 from haulmart.sources.binding import scan
 
 # Fixed values of the URL query: host, path, verdict.
@@ -25,6 +25,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(scan(spark, sf_dir, "documents"))
+
+
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_rules.judge_urls(scan(spark, sf_dir, "pages"), rules)
@@ -64,6 +68,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_fingerprints": op1_fingerprints,
     "op2_url_filters": op2_url_filters,
     "op4_quality_rules": op4_quality_rules,
     "op5_ngram_join": op5_ngram_join,
