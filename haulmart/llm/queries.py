@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmart.llm import fingerprints, line_dedup, ngram_join, packing, quality, token_files, trie_bpe, url_rules
+from haulmart.llm import fingerprints, fixity, licenses, line_dedup, ngram_join, packing, quality, token_files, trie_bpe, url_rules
 from haulmart.sources.binding import scan
 
 # Fixed values of the URL query: host, path, verdict.
@@ -34,6 +34,20 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(scan(spark, sf_dir, "pages"), rules)
 
 
+def damaged(pages: DataFrame) -> DataFrame:
+    """A replica with damage by fixed rules: some bodies with another first byte, the last page of some files lost."""
+    place = F.col("page_id") % fixity.RECORDS_PER_FILE
+    lost = place == fixity.RECORDS_PER_FILE - 1
+    rotten = F.concat(F.lit("#"), F.substring("html", 2, 2**31 - 1))
+    body = F.when(F.col("page_id") % 97 == 13, rotten).otherwise(F.col("html"))
+    return pages.where(~F.coalesce(lost, F.lit(False))).select("page_id", "url", body.alias("html"))
+
+
+def op3_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = scan(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return fixity.audit(fixity.placed_records(pages), fixity.placed_records(damaged(pages)))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(scan(spark, sf_dir, "documents"))
 
@@ -42,6 +56,11 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(scan(spark, sf_dir, "documents"))
 
 
+def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    templates = spark.createDataFrame(licenses.TEMPLATES, "template string, text string")
+    return licenses.scan_licenses(scan(spark, sf_dir, "documents"), templates)
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = scan(spark, sf_dir, "documents")
     return token_files.write_token_files(docs, vocabulary("word_bpe_49k.json"), end_id=2).documents()
@@ -70,8 +89,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_url_filters": op2_url_filters,
+    "op3_warc_fixity": op3_warc_fixity,
     "op4_quality_rules": op4_quality_rules,
     "op5_ngram_join": op5_ngram_join,
+    "op6_license_scans": op6_license_scans,
     "op7_token_files": op7_token_files,
     "op8_line_dedup": op8_line_dedup,
     "op9_trie_bpe": op9_trie_bpe,
