@@ -7,13 +7,15 @@ most frequent tokens last. Nodes that share such a token stand in one *run*.
 
 Linking needs one path between any two nodes of a component, not all pairs:
 
-1. each node is held against the node that leads most of its runs, and what is
-   verified is joined into components;
-2. runs within one component are done with. In the others every node is a point
-   of an R-tree: tokens are hashed into groups, the counts of the groups are the
-   coordinates, and the sum of the coordinates' minima bounds the overlap, with a
-   point or with the maxima of a subtree. A few turns look for each point's
-   nearest one of another component, the last for all that may still link.
+1. Tokens are hashed into groups; the counts of the groups are a node's point,
+   and the sum of the coordinates' minima bounds the overlap of two nodes. A run
+   of at most ``LEAF_RUN`` nodes is one leaf: its pairs, a bounded number per node,
+   meet once however many runs they share, and those within the bound are verified.
+2. In a longer run each node is held against the node that leads most of its
+   runs, and what is verified is joined into components. Runs within one component
+   are done with. Of the others an R-tree is made, in which the maxima of a
+   subtree's points bound the overlap with all of them. One turn looks for each
+   point's nearest one of another component, the last for all that may still link.
 
 Every pair of nodes of different components that can reach the similarity is
 verified on whole texts, so no link between components is lost.
@@ -37,11 +39,13 @@ WORDS = 5
 LINK_PERCENT = 75
 # Tokens that a slice of texts has often are counted over the corpus; the most frequent ones come
 # last in the order. Any such list gives the same links, so a bounded one will do.
-OFTEN_IN_SLICE = 3
-FREQUENT_FROM = 48
+OFTEN_IN_SLICE = 2
+FREQUENT_FROM = 24
 FREQUENT_TOKENS = 1 << 17
-NEAREST_TURNS = 3
+LEAF_RUN = 48
 LEAF, FANOUT = 16, 8
+# Rows of runs that are paired at once.
+PAIRED_ROWS = 400_000
 LEAST_GROUPS, MOST_GROUPS = 16, 4096
 BROADCAST_NODES = 500_000
 VERIFIED_AT_ONCE = 1000
@@ -81,6 +85,7 @@ def profile_batches(batches, seed: int):
             hashes, n = distinct_each(hashes, each)
             nodes, others = node_ids(hashes, n, seed), node_ids(hashes, n, seed + 1)
             tokens, seen = np.unique(hashes, return_counts=True)
+            # A text has a token once here, so this counts texts.
             often = seen >= OFTEN_IN_SLICE
             tokens, seen = tokens[often].view(np.int64), seen[often]
             none = pa.nulls(len(tokens), pa.int64())
@@ -132,39 +137,105 @@ def signature_batches(batches, seed: int, frequent):
 
 
 def run_batches(batches):
-    """Rows sorted by token, size and node in; those of runs of two nodes or more out, with the run's first node."""
-    schema = pa.schema([("token", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("lead", pa.int64()), ("lead_n", pa.int64())])
-    held = np.zeros((0, 3), np.int64)  # the last row, not yet given out
-    open_run: tuple[int, int, int] | None = None  # token, lead and its size of a run given out in part
-    for batch in batches:
-        rows = np.column_stack([batch.column(c).to_numpy() for c in ("token", "node", "n")])
-        rows = np.concatenate([held, rows])
-        if not len(rows):
-            continue
+    """Rows sorted by token and node in. Out: the pairs of short runs, and the rows of long ones with their lead."""
+    kept: list[np.ndarray] = []
+    size = 0
+    long_token: int | None = None
+    lead = (0, 0)
+
+    def given(rows: np.ndarray, last: bool):
+        """Work off whole runs; the last one may go on, unless nothing follows."""
+        nonlocal long_token, lead
         fresh = np.ones(len(rows), bool)
         fresh[1:] = (rows[1:, :2] != rows[:-1, :2]).any(axis=1)
         rows = rows[fresh]
-        rows, held = rows[:-1], rows[-1:]  # the last row may go on in the next batch
-        after = np.concatenate([rows[1:, 0], held[:, 0]])
-        begins = np.ones(len(rows), bool)
-        begins[1:] = rows[1:, 0] != rows[:-1, 0]
-        goes_on = bool(len(rows)) and open_run is not None and rows[0, 0] == open_run[0]
-        first = np.maximum.accumulate(np.where(begins, np.arange(len(rows)), 0)) if len(rows) else np.zeros(0, np.int64)
-        lead, lead_n = rows[first, 1], rows[first, 2]
-        wanted = ~begins | (rows[:, 0] == after)
-        if goes_on:
-            same = rows[:, 0] == open_run[0]
-            lead, lead_n = np.where(same, open_run[1], lead), np.where(same, open_run[2], lead_n)
-            wanted |= same
-        if len(rows) and held[0, 0] == rows[-1, 0]:
-            open_run = int(rows[-1, 0]), int(lead[-1]), int(lead_n[-1])
-        elif not (open_run is not None and held[0, 0] == open_run[0]):
-            open_run = None
-        out = [rows[wanted, 0], rows[wanted, 1], rows[wanted, 2], lead[wanted], lead_n[wanted]]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], schema=schema)
-    if len(held) and open_run is not None and held[0, 0] == open_run[0]:
-        out = [held[:, 0], held[:, 1], held[:, 2], np.array([open_run[1]]), np.array([open_run[2]])]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], schema=schema)
+        begins = np.flatnonzero(np.concatenate([[True], rows[1:, 0] != rows[:-1, 0]]))
+        lengths = np.diff(np.append(begins, len(rows)))
+        rest = rows[:0]
+        if not last:
+            if lengths[-1] <= LEAF_RUN and rows[-1, 0] != long_token:
+                rest = rows[begins[-1] :]
+                rows, begins, lengths = rows[: begins[-1]], begins[:-1], lengths[:-1]
+            elif len(rows) > 1:
+                rest = rows[-1:]  # repeated by the next row, perhaps
+        out = []
+        if len(begins):
+            is_long = lengths > LEAF_RUN
+            if long_token is not None and rows[0, 0] == long_token:
+                is_long[0] = True
+            else:
+                long_token = None
+            if is_long.any():
+                first = np.repeat(begins, lengths)
+                leads, lead_ns = rows[first, 1], rows[first, 2]
+                if long_token is not None:
+                    leads[: lengths[0]], lead_ns[: lengths[0]] = lead
+                of_long = np.repeat(is_long, lengths)
+                empty = pa.nulls(int(of_long.sum()), pa.int64())
+                long_rows = [rows[of_long, c] for c in range(3)]
+                out.append([empty, empty, *map(pa.array, [*long_rows, leads[of_long], lead_ns[of_long]])])
+            if is_long[-1]:
+                if rows[begins[-1], 0] != long_token:
+                    lead = int(rows[begins[-1], 1]), int(rows[begins[-1], 2])
+                long_token = int(rows[begins[-1], 0])
+            pairs = short_pairs(rows, begins[~is_long], lengths[~is_long])
+            empty = pa.nulls(len(pairs), pa.int64())
+            out.append([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy()), *[empty] * 5])
+        return rest, [pa.RecordBatch.from_arrays(columns, schema=RUN_SCHEMA) for columns in out]
+
+    for batch in batches:
+        kept.append(np.column_stack([batch.column(c).to_numpy() for c in ("token", "node", "n")]))
+        size += batch.num_rows
+        if size >= PAIRED_ROWS:
+            rest, found = given(np.concatenate(kept), False)
+            kept, size = [rest], len(rest)
+            yield from found
+    if size:
+        yield from given(np.concatenate(kept), True)[1]
+
+
+RUN_SCHEMA = pa.schema([(c, pa.int64()) for c in ("a", "b", "token", "node", "n", "lead", "lead_n")])
+
+
+def short_pairs(rows: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Distinct pairs of nodes of one run whose sizes allow a link."""
+    found = [np.zeros((0, 2), np.int64)]
+    for length in np.unique(lengths[lengths > 1]).tolist():
+        own = begins[lengths == length]
+        left, right = np.triu_indices(length, 1)
+        # A block of runs of one length at a time.
+        step = max(1, 2_000_000 // len(left))
+        for start in range(0, len(own), step):
+            first = own[start : start + step, None]
+            i, j = (first + left).ravel(), (first + right).ravel()
+            a, b = rows[i, 2], rows[j, 2]
+            fits = 100 * np.minimum(a, b) >= LINK_PERCENT * np.maximum(a, b)
+            i, j = i[fits], j[fits]
+            pairs = np.column_stack([np.minimum(rows[i, 1], rows[j, 1]), np.maximum(rows[i, 1], rows[j, 1])])
+            found.append(distinct_rows(pairs))
+    return distinct_rows(np.concatenate(found))
+
+
+def distinct_rows(pairs: np.ndarray) -> np.ndarray:
+    order = np.lexsort((pairs[:, 1], pairs[:, 0]))
+    pairs = pairs[order]
+    fresh = np.ones(len(pairs), bool)
+    fresh[1:] = (pairs[1:] != pairs[:-1]).any(axis=1)
+    return pairs[fresh]
+
+
+def bound_batches(batches):
+    """The pairs of points whose sum of minima reaches the least overlap."""
+    for batch in batches:
+        n_a, n_b = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
+        need = least_overlap(n_a, n_b)
+        fits = np.zeros(batch.num_rows, bool)
+        for k, (x, y) in enumerate(zip(batch.column("counts_a").to_pylist(), batch.column("counts_b").to_pylist())):
+            x, y = np.frombuffer(x, "<u2").astype(np.int64), np.frombuffer(y, "<u2").astype(np.int64)
+            groups = min(len(x), len(y))
+            x, y = folded(x[None], groups)[0], folded(y[None], groups)[0]
+            fits[k] = np.minimum(x, y).sum() >= need[k]
+        yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(fits)) for c in ("a", "b")], ["a", "b"])
 
 
 def folded(counts: np.ndarray, groups: int) -> np.ndarray:
@@ -382,33 +453,43 @@ class Join:
     def linked(self) -> DataFrame:
         """``node, component`` of every node that links with another."""
         signatures = self.signatures()
+        points = signatures.select("node", "n", "counts").dropDuplicates(["node"])
         rows = signatures.select(F.explode("tokens").alias("token"), "node", "n")
-        sorted_rows = rows.repartition(partitions(self.spark), "token").sortWithinPartitions("token", "n", "node")
-        schema = "token long, node long, n long, lead long, lead_n long"
+        sorted_rows = rows.repartition(partitions(self.spark), "token").sortWithinPartitions("token", "node")
+        schema = "a long, b long, token long, node long, n long, lead long, lead_n long"
         runs = self.place.materialize(sorted_rows.mapInArrow(run_batches, schema), "runs")
+
+        pairs = self.within_bound(runs.where("a is not null").select("a", "b").distinct(), points)
+        links = self.verified(pairs, "short_runs")
+        runs = runs.where("token is not null")
         votes = (
-            runs.where((F.col("node") != F.col("lead")) & (100 * F.col("lead_n") >= LINK_PERCENT * F.col("n")))
+            runs.where(
+                (F.col("node") != F.col("lead"))
+                & (100 * F.least("lead_n", "n") >= LINK_PERCENT * F.greatest("lead_n", "n"))
+            )
             .groupBy("node", "lead")
             .count()
             .groupBy("node")
             .agg(F.max_by("lead", F.struct("count", "lead")).alias("lead"))
         )
-        links = self.verified(votes.select(F.col("node").alias("a"), F.col("lead").alias("b")), "leads")
-        found = components(links, self.place)
-        points = signatures.select("node", "n", "counts").dropDuplicates(["node"])
-        nearest = NEAREST_TURNS
-        while True:
+        led = self.verified(votes.select(F.col("node").alias("a"), F.col("lead").alias("b")), "leads")
+        found = components(links.unionByName(led), self.place)
+        for nearest in (True, False):
             # Runs that have become one component are done with for good.
             runs = self.crossing(runs, found)
-            pairs = self.candidates(runs, points, nearest > 0)
-            fresh = self.verified(pairs, "nearest" if nearest else "all")
-            grown = not fresh.isEmpty()
-            if grown:
+            fresh = self.verified(self.candidates(runs, points, nearest), "nearest" if nearest else "all")
+            if not fresh.isEmpty():
                 edges = found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(fresh)
                 found = components(edges, self.place)
-            if not nearest:
-                return found
-            nearest = nearest - 1 if grown else 0
+        return found
+
+    def within_bound(self, pairs: DataFrame, points: DataFrame) -> DataFrame:
+        sided = pairs
+        for side in ("a", "b"):
+            own = points.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("counts").alias(f"counts_{side}"))
+            sided = sided.join(own, side)
+        columns = sided.select("a", "b", "n_a", "n_b", "counts_a", "counts_b")
+        return columns.mapInArrow(bound_batches, "a long, b long")
 
     def crossing(self, runs: DataFrame, found: DataFrame) -> DataFrame:
         """The runs whose nodes are of two components or more, with the component of each node."""

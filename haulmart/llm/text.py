@@ -106,20 +106,21 @@ def shingles(texts: pa.Array, size: int = 5) -> tuple[np.ndarray, np.ndarray, np
     places = hashed[codes] if len(vocabulary) else np.zeros(0, np.uint64)
     starts = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
     each = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
-    first = np.repeat(starts[:-1], each) + arange_each(each)
-    length = np.repeat(np.minimum(counts, size), each)
-    total = np.zeros(len(first), np.uint64)
+    factors = [np.uint64(pow(GOLDEN, k + 1, 2**64)) for k in range(size)]
     with np.errstate(over="ignore"):
-        factor = np.uint64(1)
-        for k in range(size):
-            factor = factor * np.uint64(GOLDEN)
-            here = length > k
-            if here.all():
-                total += places[first + k] * factor
-            else:
-                total[here] += places[first[here] + k] * factor
-        total += length.astype(np.uint64)
-    return mixed(total), each.astype(np.int64), counts
+        # A full shingle at every place, also over the ends of texts; those are not chosen below.
+        total = np.full(len(places), size, np.uint64)
+        for k, factor in enumerate(factors):
+            total[: len(places) - k] += places[k:] * factor
+        for row in np.flatnonzero((counts > 0) & (counts < size)).tolist():
+            first, n = starts[row], int(counts[row])
+            total[first] = np.uint64(n) + sum(
+                (places[first + k] * factors[k] for k in range(n)), np.uint64(0)
+            )
+    chosen = np.zeros(len(places) + 1, np.int8)
+    np.add.at(chosen, starts[:-1][each > 0], 1)
+    np.add.at(chosen, (starts[:-1] + each)[each > 0], -1)
+    return mixed(total[np.cumsum(chosen[:-1]) > 0]), each.astype(np.int64), counts
 
 
 def arange_each(counts: np.ndarray) -> np.ndarray:
@@ -131,9 +132,11 @@ def arange_each(counts: np.ndarray) -> np.ndarray:
 
 def distinct_each(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct hashes of each text, and how many there are."""
+    hashes = hashes.copy()
+    ends = np.cumsum(counts)
+    for start, end in zip((ends - counts).tolist(), ends.tolist()):
+        hashes[start:end].sort()
     text = np.repeat(np.arange(len(counts)), counts)
-    order = np.lexsort((hashes, text))
-    hashes, text = hashes[order], text[order]
     fresh = np.ones(len(hashes), bool)
     fresh[1:] = (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1])
     return hashes[fresh], np.bincount(text[fresh], minlength=len(counts)).astype(np.int64)
