@@ -111,7 +111,7 @@ def shingles(texts: pa.Array, size: int = 5) -> tuple[np.ndarray, np.ndarray, np
         # A full shingle at every place, also over the ends of texts; those are not chosen below.
         total = np.full(len(places), size, np.uint64)
         for k, factor in enumerate(factors):
-            total[: len(places) - k] += places[k:] * factor
+            total[: max(0, len(places) - k)] += places[k:] * factor
         for row in np.flatnonzero((counts > 0) & (counts < size)).tolist():
             first, n = starts[row], int(counts[row])
             total[first] = np.uint64(n) + sum(
