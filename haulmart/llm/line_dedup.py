@@ -34,7 +34,7 @@ def segment_keys(edits: int, low: str, line: str, length: str) -> tuple[list[str
         reach = min(i, edits - i)
         for shift in range(-reach, reach + 1):
             place = f"{i} * {size} + 1 + {shift}" if from_start else f"{length} - {edits + 1 - i} * {size} + 1 + {shift}"
-            key = f"xxhash64({low}, {i}, substring({line}, {place}, {size}))"
+            key = f"xxhash64(CAST({low} AS BIGINT), {i}, substring({line}, {place}, {size}))"
             (around if shift else own).append(key)
     return own, around
 

@@ -42,11 +42,13 @@ LINK_PERCENT = 75
 OFTEN_IN_SLICE = 2
 FREQUENT_FROM = 24
 FREQUENT_TOKENS = 1 << 17
-LEAF_RUN = 48
+LEAF_RUN = 24
 LEAF, FANOUT = 16, 8
 # Rows of runs that are paired at once.
-PAIRED_ROWS = 400_000
+PAIRED_ROWS = 100_000
 LEAST_GROUPS, MOST_GROUPS = 16, 4096
+# First tokens that a point carries, to meet another one in few of the runs they share.
+FIRST_TOKENS = 4
 BROADCAST_NODES = 500_000
 VERIFIED_AT_ONCE = 1000
 
@@ -204,7 +206,7 @@ def short_pairs(rows: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> np
         own = begins[lengths == length]
         left, right = np.triu_indices(length, 1)
         # A block of runs of one length at a time.
-        step = max(1, 2_000_000 // len(left))
+        step = max(1, 500_000 // len(left))
         for start in range(0, len(own), step):
             first = own[start : start + step, None]
             i, j = (first + left).ravel(), (first + right).ravel()
@@ -300,6 +302,15 @@ def tree_batches(batches, nearest: bool):
     rest = None
     names = ("token", "level", "own", "node", "n", "component")
 
+    def meets_here(token: int, firsts: np.ndarray, query: np.ndarray, point: np.ndarray) -> np.ndarray:
+        """Two points meet in the run of their first common token; if none is known, in every run."""
+        known = np.full(len(query), np.iinfo(np.int64).max)
+        for k in range(FIRST_TOKENS):
+            own = firsts[query, k]
+            same = (own[:, None] == firsts[point]).any(axis=1) & (own >= 0)
+            known = np.where(same, np.minimum(known, own), known)
+        return (known == np.iinfo(np.int64).max) | (known == token)
+
     def pairs_of(run: pa.Table) -> pa.RecordBatch:
         level = run["level"][0].as_py()
         own, node, n, component = (run[c].to_numpy() for c in names[2:])
@@ -308,8 +319,11 @@ def tree_batches(batches, nearest: bool):
         tree = RTree(points[mine], n[mine])
         query, point, bound = tree.search(points, n)
         point = mine[point]
+        # Tokens are compared by their upper 63 bits, so that -1 can stand for none.
+        firsts = np.array([f + [-1] * (FIRST_TOKENS - len(f)) for f in run["firsts"].to_pylist()], np.int64)
         # Two points of the tree would meet twice.
         fits = (component[query] != component[point]) & (~own[query] | (node[query] < node[point]) | nearest)
+        fits &= meets_here((run["token"][0].as_py() & (2**64 - 1)) >> 1, firsts, query, point)
         query, point, bound = query[fits], point[fits], bound[fits]
         if nearest and len(query):
             order = np.lexsort((node[point], -bound / (n[query] + n[point]), query))
@@ -508,7 +522,13 @@ class Join:
     def candidates(self, crossing: DataFrame, points: DataFrame, nearest: bool) -> DataFrame:
         """Distinct pairs of nodes of different components that the R-trees of the runs let through."""
         level = F.round(F.log2(F.length("counts") / 2)).cast("int")
-        placed = crossing.join(points.select("node", "counts"), "node").withColumn("level", level)
+        upper = F.shiftrightunsigned("token", 1)
+        firsts = crossing.groupBy("node").agg(
+            F.slice(F.array_sort(F.collect_set(upper)), 1, FIRST_TOKENS).alias("firsts")
+        )
+        placed = (
+            crossing.join(points.select("node", "counts"), "node").join(firsts, "node").withColumn("level", level)
+        )
         # A set links with sets of its own class or of a neighbouring one; it also asks the class below.
         lowest = LEAST_GROUPS.bit_length() - 1
         roles = F.expr(
@@ -516,7 +536,7 @@ class Join:
             " array(struct(level, true as own)))"
         )
         spread = placed.withColumn("role", F.explode(roles)).select(
-            "token", F.col("role.level").alias("level"), F.col("role.own").alias("own"), "node", "n", "component", "counts"
+            "token", F.col("role.level").alias("level"), F.col("role.own").alias("own"), "node", "n", "component", "counts", "firsts"
         )
         grouped = spread.repartition(partitions(self.spark), "token", "level").sortWithinPartitions("token", "level")
         pairs = grouped.mapInArrow(lambda b: tree_batches(b, nearest), "a long, b long")
