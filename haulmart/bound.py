@@ -11,7 +11,7 @@ from haulmart.operators.checks import WARN
 from haulmart.operators.keys import split_by_key
 from haulmart.plans.layers import Layers
 from haulmart.plans.pipeline import LoadResult, Pipeline
-from haulmart.sources.binding import FEEDS
+from haulmart.sources.binding import FEEDS, with_odd_rows, with_rejects
 from haulmart.sources.feeds import Ingested, ingest
 from haulmart.sources.workspace import Workspace
 
@@ -40,10 +40,15 @@ class BoundTables:
 
     def feed(self, table: str) -> DataFrame:
         if table not in self._feeds:
-            bound = FEEDS[table](self.spark, self.sf_dir)
-            self._feeds[table] = self.workspace.materialize(bound, f"feed_{table}")
+            plain = self.workspace.materialize(FEEDS[table](self.spark, self.sf_dir), f"rows_{table}")
+            odd = with_odd_rows(plain, table)
+            self._feeds[table] = self.workspace.materialize(odd, f"feed_{table}")
         return self._feeds[table]
 
+    def landed(self, table: str) -> DataFrame:
+        """The feed as it comes in files, with rows that its contract rejects."""
+        return with_rejects(self.feed(table), table)
+
     def _deduplicated(self, table: str) -> DataFrame:
         keys = contract(table).primary_key
         return split_by_key(self.feed(table), keys, self.workspace).kept
@@ -52,7 +57,9 @@ class BoundTables:
         """The feed as header CSV files, the form the loader takes."""
         if table not in self._csv:
             path = self.workspace.new_path(f"csv_{table}")
-            self.feed(table).write.option("header", True).csv(path)
+            self.landed(table).write.options(
+                header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+            ).csv(path)
             self._csv[table] = path
         return self._csv[table]
 

@@ -124,14 +124,15 @@ def _fact(
     )
 
 
-# Business identifiers are bigint: an int runs out long before 100 TB of rows.
+# Numeric business identifiers are bigint: an int runs out long before 100 TB of rows. A sale is
+# named by a code. A staging region is as wide as the dimension that it feeds.
 STAGING_DELIVERIES = _staging(
     "staging_deliveries",
     [
         Field("DeliveryID", "bigint"),
         Field("RouteID", "nvarchar(10)"),
         Field("DriverID", "nvarchar(50)"),
-        Field("Region", "nvarchar(10)"),
+        Field("Region", "nvarchar(50)"),
         Field("ShipmentType", "nvarchar(20)"),
         Field("DeliveryDate", "date"),
         Field("ExpectedDeliveryDate", "date", True, "Planned date, empty when not scheduled"),
@@ -151,7 +152,7 @@ STAGING_EXCEPTIONS = _staging(
         Field("ResolvedDate", "date", True, "Empty while the exception is open"),
         Field("ResolutionTimeHours", "decimal(6,2)", True),
         Field("PriorityFlag", "bit"),
-        Field("Region", "nvarchar(10)"),
+        Field("Region", "nvarchar(50)"),
     ],
     ("ExceptionID",),
 )
@@ -165,7 +166,7 @@ STAGING_ROUTES = _staging(
         Field("ActualStops", "int"),
         Field("PlannedHours", "decimal(5,2)"),
         Field("ActualHours", "decimal(5,2)"),
-        Field("Region", "nvarchar(10)"),
+        Field("Region", "nvarchar(50)"),
     ],
     ("RouteID", "DriverID"),
 )
@@ -173,11 +174,11 @@ STAGING_ROUTES = _staging(
 STAGING_SALES = _staging(
     "staging_sales",
     [
-        Field("SalesID", "bigint"),
+        Field("SalesID", "nvarchar(60)"),
         Field("DeliveryID", "bigint"),
         Field("DateKey", "date"),
         Field("ProductType", "nvarchar(50)"),
-        Field("Region", "nvarchar(10)"),
+        Field("Region", "nvarchar(50)"),
         Field("UnitsSold", "int"),
         Field("SalesAmount", "decimal(10,2)"),
     ],
@@ -229,7 +230,7 @@ DIM_PRIORITY_FLAG = _dim("dim_priority_flag", "PriorityFlagID", Field("PriorityF
 FACT_SALES = _fact(
     "fact_sales",
     [
-        Field("SalesID", "bigint"),
+        Field("SalesID", "nvarchar(60)"),
         Field("DeliveryID", "bigint"),
         Field("DateKey", "int"),
         Field("ProductTypeID", "int"),

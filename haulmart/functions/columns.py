@@ -89,10 +89,9 @@ def decimal_average(c: Column) -> Column:
     return (F.sum(c) / F.nullif(F.count(c), F.lit(0))).cast("decimal(38,6)")
 
 
-def integer_average(c: Column) -> Column:
-    """Mean of an integer column, cut to an integer."""
-    quotient = F.sum(c).cast("decimal(38,0)") / F.nullif(F.count(c), F.lit(0))
-    return quotient.cast("decimal(38,6)").cast("int")
+def integer_average(name: str) -> Column:
+    """Mean of an integer column, cut to an integer; exact, as it divides whole numbers."""
+    return F.expr(f"CAST(sum(`{name}`) DIV nullif(count(`{name}`), 0) AS INT)")
 
 
 def share(numerator: Column, denominator: Column) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulmart.functions.columns import count_if, flag
@@ -110,27 +110,11 @@ def check_report(
     aggregate checks of a table share one pass over it.
     """
     severities = severities or {}
+    checks = list(checks)
     titles: dict[str, str] = {}
-    by_table: dict[str, list[AggregateCheck]] = {}
-    parts: list[DataFrame] = []
     for check in checks:
-        if isinstance(check, CheckSet):
-            titles.update(check.titles)
-            parts.append(check.plan(tables))
-            continue
-        titles[check.key] = check.title
-        if isinstance(check, AggregateCheck):
-            by_table.setdefault(check.table, []).append(check)
-        else:
-            parts.append(check.bad_rows(tables).withColumn("check_id", F.lit(check.key)))
-    for table, group in by_table.items():
-        totals = tables(table).agg(*[c.measure().alias(c.key) for c in group])
-        parts.append(long_form(totals, [c.key for c in group], "check_id", "bad_rows"))
-
-    counted = reduce(
-        DataFrame.unionByName,
-        [p.select("check_id", F.col("bad_rows").cast("long").alias("bad_rows")) for p in parts],
-    )
+        titles.update(check.titles if isinstance(check, CheckSet) else {check.key: check.title})
+    counted = _counted(checks, tables) if enabled else _unread(titles)
     check_id, bad_rows = F.col("check_id"), F.col("bad_rows")
     severity = looked_up("check_id", {k: severities.get(k, default_severity) for k in titles})
     status = (
@@ -139,8 +123,7 @@ def check_report(
         .when(severity == FAIL, F.lit("FAIL"))
         .otherwise(F.lit("WARN"))
     )
-    report = counted if enabled else _unread(titles, counted)
-    return report.select(
+    return counted.select(
         F.lit(layer).alias("layer"),
         check_id,
         looked_up("check_id", titles).alias("check_name"),
@@ -150,10 +133,30 @@ def check_report(
     )
 
 
-def _unread(titles: Mapping[str, str], counted: DataFrame) -> DataFrame:
-    """One row per check without a count, so a disabled gate reads no table."""
+def _counted(checks: Iterable[Check | CheckSet], tables: Tables) -> DataFrame:
+    """(check_id, bad_rows) of every check."""
+    by_table: dict[str, list[AggregateCheck]] = {}
+    parts: list[DataFrame] = []
+    for check in checks:
+        if isinstance(check, CheckSet):
+            parts.append(check.plan(tables))
+        elif isinstance(check, AggregateCheck):
+            by_table.setdefault(check.table, []).append(check)
+        else:
+            parts.append(check.bad_rows(tables).withColumn("check_id", F.lit(check.key)))
+    for table, group in by_table.items():
+        totals = tables(table).agg(*[c.measure().alias(c.key) for c in group])
+        parts.append(long_form(totals, [c.key for c in group], "check_id", "bad_rows"))
+    return reduce(
+        DataFrame.unionByName,
+        [p.select("check_id", F.col("bad_rows").cast("long").alias("bad_rows")) for p in parts],
+    )
+
+
+def _unread(titles: Mapping[str, str]) -> DataFrame:
+    """One row per check without a count; no table is asked for."""
     rows = [(k, None) for k in titles]
-    return literal_rows(counted.sparkSession, rows, "check_id string, bad_rows bigint")
+    return literal_rows(SparkSession.active(), rows, "check_id string, bad_rows bigint")
 
 
 class GateFailed(Exception):
@@ -167,10 +170,15 @@ class GateFailed(Exception):
         super().__init__(f"{code}: {layer} validation failed, {len(failures)} check(s): {listing}")
 
 
-def enforce(report: DataFrame, code: int, layer: str) -> list:
-    """Raise if any check of severity ``fail`` found bad rows; else return the report rows."""
-    rows = report.collect()  # one row per declared check
+def judge(rows: list, code: int, layer: str) -> None:
+    """Raise if any report row of severity ``fail`` has bad rows."""
     failures = [(r["check_name"], r["bad_rows"]) for r in rows if r["status"] == "FAIL"]
     if failures:
         raise GateFailed(code, layer, failures)
+
+
+def enforce(report: DataFrame, code: int, layer: str) -> list:
+    """Raise if any check of severity ``fail`` found bad rows; else return the report rows."""
+    rows = report.collect()  # one row per declared check
+    judge(rows, code, layer)
     return rows

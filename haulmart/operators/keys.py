@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 from haulmart.functions.columns import match_key
 from haulmart.sources.workspace import Workspace
 
-# A key list of this many rows is a few tens of MB and safe to broadcast.
-BROADCAST_KEY_LIMIT = 1_000_000
+# Bytes up to which a measured table is broadcast.
+BROADCAST_BYTES = 64 << 20
 # Dimension values numbered by one task; beyond it the numbering is ranged.
 VALUES_PER_TASK = 1_000_000
 
@@ -27,6 +27,16 @@ def key_columns(df: DataFrame, keys: Sequence[str]) -> list[Column]:
     ]
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Size of a stored table in memory: 16 bytes a cell and the bytes of its texts, measured."""
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    fixed = 16 * len(df.columns) + 16
+    length = F.lit(fixed)
+    for name in texts:
+        length = length + F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0))
+    return df.agg(F.sum(length.cast("long")).alias("n")).first().n or 0
+
+
 def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key held by more than one row, with the number of rows.
 
@@ -51,15 +61,17 @@ def split_by_key(
     df: DataFrame,
     keys: Sequence[str],
     workspace: Workspace,
-    broadcast_limit: int = BROADCAST_KEY_LIMIT,
+    broadcast_limit: int = BROADCAST_BYTES,
 ) -> KeySplit:
     """Keep the first row of every key (in the order of all columns).
 
     Duplicate keys are an error case and mostly few: they are found with a
     shuffle of the key columns alone and, while the list is small enough to
     broadcast, only the rows that carry one of them are shuffled. With a
-    longer list every row takes part in the aggregation. Both ways pick the
-    row by a map-side combined minimum instead of sorting whole key groups.
+    longer list every row takes part. Either way equal rows are folded first by
+    a hash aggregate, combined map-side, and stored; winners and rejected rows
+    both come from that table, which holds distinct rows only, so a key on a
+    third of the rows is as long as its number of different rows.
     """
     columns = df.columns
     key_names = [f"_key_{k}" for k in keys]
@@ -70,7 +82,7 @@ def split_by_key(
     clashing = clashes.count()
     if clashing == 0:
         return KeySplit(df, df.withColumn("copies", F.lit(0).cast("long")).filter(F.lit(False)))
-    if clashing <= broadcast_limit:
+    if estimated_bytes(clashes) <= broadcast_limit:
         clash_keys = F.broadcast(clashes)
         matched = [keyed[k].eqNullSafe(clash_keys[k]) for k in key_names]
         contested = keyed.join(clash_keys, _all(matched), "left_semi")
@@ -79,17 +91,19 @@ def split_by_key(
         contested = keyed
         untouched = None
 
-    first = contested.groupBy(*key_names).agg(F.min(F.struct(*columns)).alias("row"))
+    folded = workspace.materialize(
+        contested.groupBy(*columns, *key_names).agg(F.count(F.lit(1)).alias("copies")), "folded_rows"
+    )
+    first = folded.groupBy(*key_names).agg(F.min(F.struct(*columns)).alias("row"))
     winners = first.select("row.*")
     kept = winners if untouched is None else untouched.unionByName(winners)
 
-    # Copies of equal rows fold before the shuffle, and the winner of each key
-    # is taken off by addition: no join on the key, so no hot key group.
-    tally = contested.select(*columns, F.lit(1).cast("long").alias("n")).unionByName(
-        winners.select(*columns, F.lit(-1).cast("long").alias("n"))
+    # The winner of each key is taken off by addition: no join on the key.
+    tally = folded.select(*columns, "copies").unionByName(
+        winners.select(*columns, F.lit(-1).cast("long").alias("copies"))
     )
     rejected = (
-        tally.groupBy(*columns).agg(F.sum("n").alias("copies")).filter(F.col("copies") > 0)
+        tally.groupBy(*columns).agg(F.sum("copies").alias("copies")).filter(F.col("copies") > 0)
     )
     return KeySplit(kept, rejected)
 

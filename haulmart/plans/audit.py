@@ -101,16 +101,30 @@ def storage(tables: Tables, names: list[tuple[str, str]], paths: dict[str, str])
     return reduce(DataFrame.unionByName, parts).orderBy(F.desc("TotalSpaceKB"), "TableName")
 
 
+# The date by which a fact is dated; routes have none.
+FACT_DATES = {
+    "fact_sales": "DateKey",
+    "fact_deliveries": "DeliveryDateKey",
+    "fact_exceptions": "DateKey",
+}
+
+
 def freshness(tables: Tables) -> DataFrame:
-    return reduce(
-        DataFrame.unionByName,
-        [
-            tables(c.name).agg(F.max("load_ts").alias("LastLoad")).withColumn(
-                "TableName", F.lit(c.name)
+    """TableName, LastLoad, RowCount, NewestDate (YYYYMMDD): when and what was loaded last."""
+    parts = []
+    for c in FACTS:
+        date = FACT_DATES.get(c.name)
+        newest = F.max(date) if date else F.lit(None).cast("int")
+        parts.append(
+            tables(c.name)
+            .agg(
+                F.max("load_ts").alias("LastLoad"),
+                F.count(F.lit(1)).alias("RowCount"),
+                newest.alias("NewestDate"),
             )
-            for c in FACTS
-        ],
-    ).orderBy(F.desc("LastLoad"), "TableName")
+            .withColumn("TableName", F.lit(c.name))
+        )
+    return reduce(DataFrame.unionByName, parts).orderBy(F.desc("LastLoad"), "TableName")
 
 
 def fact_sizes(tables: Tables) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from haulmart.contracts import FACTS, WAREHOUSE, Contract, ForeignKey
 from haulmart.functions.columns import any_null, null_cells
 from haulmart.operators.checks import (
+    WARN,
     AggregateCheck,
     Check,
     CheckSet,
@@ -195,14 +196,14 @@ def clean_checks() -> list[Check]:
     return checks
 
 
-# Foreign keys the warehouse gate checks one by one; dw_fk_all covers every one.
+# Foreign keys the warehouse gate checks one by one; dw_fk_all covers every one.
 GATE_REFERENCES = {
     "fact_sales": ("DateKey", "ProductTypeID", "RegionID"),
     "fact_deliveries": ("RouteID", "DriverID", "DeliveryStatusID"),
     "fact_exceptions": ("ExceptionTypeID",),
     "fact_routes": ("RouteID", "DriverID"),
 }
-# Foreign keys of the health audit.
+# Foreign keys of the health audit.
 AUDIT_REFERENCES = {
     "fact_sales": ("DateKey", "ProductTypeID", "RegionID"),
     "fact_deliveries": ("RouteID", "DriverID", "DeliveryStatusID"),
@@ -234,6 +235,18 @@ def _late_key_order(tables: Tables) -> DataFrame:
     return wrong.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("bad_rows"))
 
 
+def _rows_lost(fact: str, tables: Tables) -> DataFrame:
+    """Clean rows against fact rows: what the key lookups, and the date rule of sales, left out or doubled."""
+    view = f"clean_{fact.removeprefix('fact_')}"
+    clean = tables(view).agg(F.count(F.lit(1)).alias("_rows"))
+    loaded = tables(fact).agg((-F.count(F.lit(1))).alias("_rows"))
+    return clean.unionByName(loaded).agg(F.abs(F.sum("_rows")).alias("bad_rows"))
+
+
+def lost_rows_key(fact: str) -> str:
+    return f"dw_rows_lost_{fact.removeprefix('fact_')}"
+
+
 def warehouse_checks() -> list[Check]:
     checks: list[Check] = [
         not_empty(f"dw_not_empty_{c.name}", f"{c.name} is not empty", c.name) for c in WAREHOUSE
@@ -266,6 +279,13 @@ def warehouse_checks() -> list[Check]:
                         fk.ref_column,
                     )
                 )
+        checks.append(
+            QueryCheck(
+                lost_rows_key(c.name),
+                f"{c.name} has every row of clean_{short}",
+                lambda tables, name=c.name: _rows_lost(name, tables),
+            )
+        )
     checks += [
         row_check(
             "dw_amount_positive",
@@ -333,7 +353,12 @@ def gate_clean(tables: Tables, **options) -> DataFrame:
 
 
 def gate_warehouse(tables: Tables, **options) -> DataFrame:
-    """Covers every table and every declared foreign key, one pass per fact for the latter."""
+    """Covers every table and every declared foreign key, one pass per fact for the latter.
+
+    Rows of the clean layer that a fact lacks are a warning unless the caller says otherwise.
+    """
+    lost = {lost_rows_key(c.name): WARN for c in FACTS}
+    options["severities"] = {**lost, **(options.get("severities") or {})}
     own: list[Check | CheckSet] = [
         c for c in warehouse_checks() if not isinstance(c, OrphanCheck)
     ]

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulmart.contracts import DIMENSIONS, FACTS, STAGING, contract
-from haulmart.operators.keys import BROADCAST_KEY_LIMIT
+from haulmart.operators.keys import BROADCAST_BYTES, estimated_bytes
 from haulmart.plans.clean import CLEAN_VIEWS
 from haulmart.plans.dims import VALUE_DIMENSIONS, build_dimension
 from haulmart.plans.facts import FACT_PLANS
@@ -22,15 +22,14 @@ from haulmart.sources.workspace import Workspace
 CONCURRENT_LOADS = 4
 
 
-def sized_for_lookup(dimension: DataFrame, rows: int) -> DataFrame:
-    """Mark a dimension for broadcast if its counted rows are few.
+def sized_for_lookup(dimension: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark a stored dimension for broadcast if its measured size is within ``limit`` bytes.
 
-    A dimension row is a key and one short value, so the bound keeps the
-    broadcast near 100 MB, above the default threshold of the planner: sending
-    that to every executor is far cheaper than shuffling a fact. A larger
-    dimension is joined by shuffle, with skewed partitions split at run time.
+    Sending that to every executor is far cheaper than shuffling a fact. A larger
+    dimension, be it by rows or by long values, is joined by shuffle, with skewed
+    partitions split at run time.
     """
-    return F.broadcast(dimension) if rows <= BROADCAST_KEY_LIMIT else dimension
+    return F.broadcast(dimension) if estimated_bytes(dimension) <= limit else dimension
 
 
 def concurrently(work: Callable[[str], object], names: Iterable[str]) -> dict[str, object]:
@@ -88,19 +87,19 @@ class Layers:
             return self._stored(name, FACT_PLANS[name](self, self, self.load_ts))
         if name.startswith("dim_"):
             stored = self._stored(name, build_dimension(name, self, self.workspace))
-            return sized_for_lookup(stored, stored.count())
+            return sized_for_lookup(stored)
         return self._stored(name, self.staging(name))
 
     def _stored(self, name: str, df: DataFrame) -> DataFrame:
         self.paths[name] = self.workspace.store(df, name)
         return self.workspace.spark.read.schema(df.schema).parquet(self.paths[name])
 
-    def adopt(self, name: str, path: str, rows: int) -> None:
+    def adopt(self, name: str, path: str) -> None:
         """Take over a table that is already stored."""
         self.paths[name] = path
         stored = self.workspace.spark.read.schema(contract(name).schema()).parquet(path)
         self._tables[name] = (
-            sized_for_lookup(stored, rows) if name.startswith("dim_") else stored
+            sized_for_lookup(stored) if name.startswith("dim_") else stored
         )
 
     def load(self, names: Iterable[str]) -> None:

@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from haulmart.contracts import DIMENSIONS, FACTS, STAGING, Contract, contract
-from haulmart.operators.checks import FAIL, enforce
+from haulmart.operators.checks import FAIL, judge
 from haulmart.plans.audit import row_counts
 from haulmart.plans.clean import CLEAN_VIEWS
 from haulmart.plans.gates import (
@@ -20,6 +20,7 @@ from haulmart.plans.gates import (
     gate_clean,
     gate_staging,
     gate_warehouse,
+    null_detail,
 )
 from haulmart.plans.layers import Layers, concurrently
 from haulmart.plans.reporting import REPORTS
@@ -32,7 +33,11 @@ from haulmart.sources.feeds import (
     require_no_rejects,
 )
 from haulmart.sources.snapshots import Published, SnapshotStore
-from haulmart.sources.workspace import Workspace
+from haulmart.sources.workspace import Workspace, children, remove
+
+
+# Checks whose failure is explained column by column.
+NULL_CHECKS = "stg_nulls_"
 
 
 @dataclass
@@ -43,7 +48,12 @@ class LoadResult:
 
 
 class Pipeline:
-    """Loads CSV feeds into a published staging layer and star schema under ``root``."""
+    """Loads CSV feeds into a published staging layer and star schema under ``root``.
+
+    A load removes its working files when it ends; what it published, with its
+    rejected rows, stays. ``keep_runs`` says how many of the runs that published a
+    warehouse are kept on disk, the newest first; by default all are.
+    """
 
     def __init__(
         self,
@@ -54,9 +64,13 @@ class Pipeline:
         severities: Mapping[str, str] | None = None,
         default_severity: str = FAIL,
         gates_enabled: bool = True,
+        keep_runs: int | None = None,
     ):
         if mode not in MODES:
             raise ValueError(f"unknown mode {mode!r}")
+        if keep_runs is not None and keep_runs < 1:
+            raise ValueError("keep_runs must be 1 or more")
+        self.keep_runs = keep_runs
         self.spark = spark
         self.root = root.rstrip("/")
         self.as_of = as_of or utc_now().date()
@@ -83,6 +97,27 @@ class Pipeline:
 
     def _load(self, run_id: str, feeds: Mapping[str, str]) -> LoadResult:
         workspace = Workspace(self.spark, f"{self.root}/runs/{run_id}")
+        try:
+            result = self._load_into(run_id, feeds, workspace)
+        finally:
+            layers = ("rejects", "staging", "dw")
+            stored = [t.path for n in layers for t in self.snapshots.current(n, run_id).values()]
+            workspace.keep_only(stored)
+        self._remove_old_runs()
+        return result
+
+    def _remove_old_runs(self) -> None:
+        if self.keep_runs is None:
+            return
+        kept = set(self.snapshots.newest_runs("dw", self.keep_runs))
+        kept |= {self.snapshots.newest_run(n) for n in ("rejects", "staging")}
+        for run_id in children(self.spark, f"{self.root}/runs"):
+            if run_id not in kept:
+                remove(self.spark, f"{self.root}/runs/{run_id}")
+
+    def _load_into(
+        self, run_id: str, feeds: Mapping[str, str], workspace: Workspace
+    ) -> LoadResult:
         ingested = self._stage(run_id, feeds, workspace)
         layers = Layers(workspace, lambda table: ingested[table].good, utc_now())
         staged = self._load_tables(run_id, layers, STAGING)
@@ -137,8 +172,11 @@ class Pipeline:
 
     def _gate(self, result: LoadResult, step: str, code: int, report: DataFrame) -> None:
         started = utc_now()
+        rows = report.collect()  # one row per declared check
+        if any(r["check_id"].startswith(NULL_CHECKS) and r["bad_rows"] for r in rows):
+            self._log_null_detail(result)
         try:
-            rows = enforce(report, code, step)
+            judge(rows, code, step)
         except Exception as error:
             self.log.log_step(result.run_id, step, started, None, "FAILED", str(error))
             raise
@@ -146,6 +184,18 @@ class Pipeline:
         self.log.log_step(result.run_id, step, started, len(rows), status)
         result.reports[step] = rows
 
+    def _log_null_detail(self, result: LoadResult) -> None:
+        """A step per staging column that lacks values, with their number."""
+        started = utc_now()
+        found = null_detail(result.layers).filter("NullCount > 0").collect()
+        self.log.log_steps(
+            result.run_id,
+            [
+                (f"Nulls in {r['TableName']}.{r['ColumnName']}", started, r["NullCount"], "SUCCESS", None)
+                for r in found
+            ],
+        )
+
     def _load_tables(
         self, run_id: str, layers: Layers, contracts: Sequence[Contract]
     ) -> dict[str, Published]:
@@ -177,10 +227,23 @@ def publish_views(tables: Callable[[str], DataFrame]) -> list[str]:
     return names
 
 
-def published(store: SnapshotStore) -> Layers:
-    """The layers of the newest published snapshot, ready to query."""
-    layers = Layers(Workspace(store.spark), lambda table: store.read("staging", table), utc_now())
-    for layer in ("staging", "dw"):
-        for table, stored in store.current(layer).items():
-            layers.adopt(table, stored.path, stored.rows)
+def published(store: SnapshotStore, views: bool = False) -> Layers:
+    """The layers of the newest published warehouse, ready to query: the reader's entry.
+
+    Staging, and so the clean frames over it, is of the run that published the
+    warehouse, whatever a later run that failed has staged. ``views`` registers
+    every table and frame as a view of this session.
+    """
+    run_id = store.newest_run("dw")
+    staged = store.current("staging", run_id)
+
+    def staging(table: str) -> DataFrame:
+        return store.spark.read.schema(contract(table).schema()).parquet(staged[table].path)
+
+    layers = Layers(Workspace(store.spark), staging, utc_now())
+    for tables in (staged, store.current("dw", run_id)):
+        for table, stored in tables.items():
+            layers.adopt(table, stored.path)
+    if views:
+        publish_views(layers)
     return layers

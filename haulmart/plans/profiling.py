@@ -21,7 +21,7 @@ from haulmart.operators.integrity import orphan_count, orphan_rows
 from haulmart.operators.shape import long_form
 from haulmart.plans.clean import CLEAN_VIEWS, LATE, is_overdue
 
-# Required fields per clean view. A missing resolved date is no defect.
+# Required fields per clean view. A missing resolved date is no defect.
 REQUIRED_FIELDS = {
     "clean_sales": ("SalesID", "DeliveryID", "DateKey", "UnitsSold", "SalesAmount"),
     "clean_deliveries": ("DeliveryID", "RouteID", "DriverID", "DeliveryDate", "DeliveryStatus"),
@@ -43,39 +43,47 @@ NOT_LATE = "Expected LATE status"
 NO_DELIVERY = "No matching delivery"
 
 
-def retention(tables: Tables, view: str) -> DataFrame:
-    """Clean rows against valid and against all staging rows, in one staging pass.
+def _counted(tables: Tables, view: str) -> DataFrame:
+    """One row: rows of the clean view, and of staging in all and by the view's own filter.
 
-    The clean views are row filters, so the rows that pass the filter are the
-    clean rows. The rate against valid rows is 1 by definition; the rate
-    against all rows shows the loss.
+    The view is counted as it is, so that a wrong view shows against its source.
     """
     staging, _, rows = CLEAN_VIEWS[view]
-    passed = count_if(rows())
-    total = F.count(F.lit(1))
-    return tables(staging).agg(
+    none = F.lit(0).cast("long")
+    of_view = tables(view).agg(
+        F.count(F.lit(1)).alias("clean"), none.alias("valid"), none.alias("total")
+    )
+    of_staging = tables(staging).agg(
+        none.alias("clean"), count_if(rows()).alias("valid"), F.count(F.lit(1)).alias("total")
+    )
+    parts = of_view.unionByName(of_staging)
+    return parts.agg(*[F.sum(c).alias(c) for c in ("clean", "valid", "total")])
+
+
+def retention(tables: Tables, view: str) -> DataFrame:
+    """Clean rows against valid and against all staging rows."""
+    clean, valid, total = F.col("clean"), F.col("valid"), F.col("total")
+    return _counted(tables, view).select(
         F.lit(view).alias("ViewName"),
-        passed.alias("CleanRowCount"),
-        passed.alias("StagingValidRowCount"),
-        share(passed, passed).alias("RetentionRate"),
+        clean.alias("CleanRowCount"),
+        valid.alias("StagingValidRowCount"),
+        share(clean, valid).alias("RetentionRate"),
         total.alias("StagingRowCount"),
-        share(passed, total).alias("StagingRetentionRate"),
+        share(clean, total).alias("StagingRetentionRate"),
     )
 
 
 def layer_row_counts(tables: Tables) -> DataFrame:
-    """TableName, StagingRows, CleanRows, DroppedRows; one staging pass per table."""
-    parts = []
-    for view, (staging, _, rows) in CLEAN_VIEWS.items():
-        passed, total = count_if(rows()), F.count(F.lit(1))
-        parts.append(
-            tables(staging).agg(
-                F.lit(view.removeprefix("clean_")).alias("TableName"),
-                total.alias("StagingRows"),
-                passed.alias("CleanRows"),
-                (total - passed).alias("DroppedRows"),
-            )
+    """TableName, StagingRows, CleanRows, DroppedRows."""
+    parts = [
+        _counted(tables, view).select(
+            F.lit(view.removeprefix("clean_")).alias("TableName"),
+            F.col("total").alias("StagingRows"),
+            F.col("clean").alias("CleanRows"),
+            (F.col("total") - F.col("clean")).alias("DroppedRows"),
         )
+        for view in CLEAN_VIEWS
+    ]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -157,7 +165,7 @@ def units_by_product(tables: Tables) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("Transactions"),
             F.sum(units).alias("TotalUnits"),
-            integer_average(units).alias("AvgUnits"),
+            integer_average("UnitsSold").alias("AvgUnits"),
             F.min(units).alias("MinUnits"),
             F.max(units).alias("MaxUnits"),
         )

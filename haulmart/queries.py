@@ -25,6 +25,9 @@ from haulmart.sources.binding import scan
 from haulmart.sources.feeds import REASON, reject_counts
 from haulmart.sources.snapshots import reload_table
 
+# Fixed value: the reason of rows without a required value.
+MISSING = "missing_value"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -81,22 +84,37 @@ def _ingest_rejects(b: BoundTables) -> DataFrame:
     return reject_counts(_union(b.ingested(c.name).rejects for c in STAGING))
 
 
+def _named_rejects(b: BoundTables, reason: str) -> DataFrame:
+    """table_name, record_key and the number of rejected rows, over all feeds."""
+    parts = []
+    for c in STAGING:
+        rows = b.ingested(c.name).rejects.filter(F.col(REASON) == reason)
+        key = F.concat_ws("|", *[F.get_json_object("record", f"$.{k}") for k in c.primary_key])
+        empty = [
+            F.when(F.get_json_object("record", f"$.{f.name}").isNull(), f.name)
+            for f in c.fields
+            if not f.nullable
+        ]
+        parts.append(
+            rows.select(
+                "table_name",
+                key.alias("record_key"),
+                F.concat_ws(",", *empty).alias("missing_columns"),
+                "copies",
+            )
+        )
+    keys = ["table_name", "record_key", *(["missing_columns"] if reason == MISSING else [])]
+    return _union(parts).groupBy(*keys).agg(F.sum("copies").alias("rejected_rows"))
+
+
 def _null_rejects(b: BoundTables) -> DataFrame:
-    """Rejected delivery rows that miss a required value."""
-    record = F.from_json("record", "DeliveryID string, RouteID string, DriverID string")
-    rows = b.ingested("staging_deliveries").rejects.filter(F.col(REASON) == "missing_value")
-    return rows.select(record.alias("r")).select(
-        F.col("r.DeliveryID").cast("long").alias("DeliveryID"), "r.RouteID", "r.DriverID"
-    )
+    """Rejected rows that miss a required value, with the columns that are empty."""
+    return _named_rejects(b, MISSING)
 
 
 def _key_rejects(b: BoundTables) -> DataFrame:
-    """Sales rows that lost to another row of the same key, with their number."""
-    schema = contract("staging_sales").schema()
-    rows = b.ingested("staging_sales").rejects.filter(F.col(REASON) == "duplicate_key")
-    return rows.select(
-        F.from_json("record", schema).alias("r"), F.col("copies")
-    ).select("r.*", "copies")
+    """Rows that lost to another row of the same key."""
+    return _named_rejects(b, "duplicate_key")
 
 
 def _truncate_reload(b: BoundTables) -> DataFrame:
@@ -120,14 +138,6 @@ def _publish_views(b: BoundTables) -> DataFrame:
     return audit.row_counts(b.spark.table, names)
 
 
-def _run_log(b: BoundTables) -> DataFrame:
-    pipeline, result = b.load()
-    runs = pipeline.log.runs().filter(F.col("RunID") == result.run_id)
-    return runs.select(
-        "PipelineName", "Status", (F.col("EndTime") >= F.col("StartTime")).alias("Closed")
-    )
-
-
 def _step_log(b: BoundTables) -> DataFrame:
     pipeline, result = b.load()
     steps = pipeline.log.steps().filter(F.col("RunID") == result.run_id)
@@ -136,11 +146,6 @@ def _step_log(b: BoundTables) -> DataFrame:
     )
 
 
-def _log_constraints(b: BoundTables) -> DataFrame:
-    pipeline, _ = b.load()
-    return pipeline.log.constraint_report()
-
-
 def _surrogate_keys(b: BoundTables) -> DataFrame:
     """Dense keys for every order that has lines, in order of its number."""
     orders = scan(b.spark, b.sf_dir, "lineitem").select("l_orderkey").distinct()
@@ -149,18 +154,14 @@ def _surrogate_keys(b: BoundTables) -> DataFrame:
 
 def _contract_columns(tables: Tables) -> DataFrame:
     """Every NOT NULL column of the stored tables with the nulls found in it."""
-    declared = {
-        f"{c.name}.{f.name}": f.sql_type
+    required = {
+        c.name: {f.name: f.sql_type for f in c.fields if not f.nullable}
         for c in STAGING + DIMENSIONS + FACTS
-        for f in c.fields
-        if not f.nullable
     }
-    return (
-        _null_profile(tables)
-        .withColumn("_name", F.concat_ws(".", "TableName", "ColumnName"))
-        .withColumn("SqlType", looked_up("_name", declared))
-        .filter(F.col("SqlType").isNotNull())
-        .select("TableName", "ColumnName", "SqlType", "NullCount")
+    declared = {f"{t}.{c}": kind for t, fields in required.items() for c, kind in fields.items()}
+    nulls = profile.null_profile(lambda name: tables(name).select(*required[name]), audit.STORED)
+    return nulls.withColumn("_name", F.concat_ws(".", "TableName", "ColumnName")).select(
+        "TableName", "ColumnName", looked_up("_name", declared).alias("SqlType"), "NullCount"
     )
 
 
@@ -180,9 +181,7 @@ SOURCES: dict[str, Query] = {
         lambda b: measures.sales_by_region_product_month(published(b.load()[0].snapshots))
     ),
     "publish_views": _on_bound(_publish_views),
-    "etl_run_log": _on_bound(_run_log),
     "etl_step_log": _on_bound(_step_log),
-    "log_constraints": _on_bound(_log_constraints),
     "assign_surrogate_key": _on_bound(_surrogate_keys),
     "table_contracts": _on_warehouse(_contract_columns),
 }
@@ -308,24 +307,19 @@ def _null_profile(tables: Tables) -> DataFrame:
 
 
 def _duplicate_keys(b: BoundTables) -> DataFrame:
-    """The stored tables, and the feeds as they came, which do hold duplicates."""
+    """The stored tables, and the feeds as they land, which do hold duplicates."""
     feeds = [
-        audit.duplicate_keys(b.feed(c.name), c, c.name.replace("staging_", "feed."))
+        audit.duplicate_keys(b.landed(c.name), c, c.name.replace("staging_", "feed."))
         for c in STAGING
     ]
     b.layers.load_warehouse()
     return _union([audit.all_duplicate_keys(b.layers), *feeds])
 
 
-def _storage(b: BoundTables) -> DataFrame:
-    b.layers.load_warehouse()
-    return audit.storage(b.layers, audit.STORED, b.layers.paths)
-
-
 def _freshness(tables: Tables) -> DataFrame:
     utc = F.to_utc_timestamp("LastLoad", F.current_timezone())
     return audit.freshness(tables).select(
-        "TableName", F.date_format(utc, "yyyy-MM-dd").alias("LastLoad")
+        "TableName", F.date_format(utc, "yyyy-MM-dd").alias("LastLoad"), "RowCount", "NewestDate"
     )
 
 
@@ -341,7 +335,6 @@ AUDITS: dict[str, Query] = {
     "aud_null_over_20": _on_warehouse(
         lambda t: profile.most_null_first(profile.critical(_null_profile(t)))
     ),
-    "aud_storage": _on_bound(_storage),
     "aud_freshness": _on_layers(_freshness),
     "aud_fact_sizes": _on_layers(audit.fact_sizes),
     "aud_orphans": _on_warehouse(audit.orphans),

@@ -7,6 +7,8 @@ sizes and decides.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +42,13 @@ def _order_region(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 def sales_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = scan(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate"
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        "l_suppkey",
+        "l_quantity",
+        "l_extendedprice",
+        "l_shipdate",
     )
     part = scan(spark, sf_dir, "part").select("p_partkey", "p_type")
     orders = _order_region(spark, sf_dir)
@@ -48,7 +56,9 @@ def sales_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         lineitem.join(part, F.col("l_partkey") == F.col("p_partkey"))
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("SalesID"),
+            F.concat_ws(
+                "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.date_format("l_shipdate", "yyyyMMdd")
+            ).alias("SalesID"),
             F.col("l_orderkey").alias("DeliveryID"),
             F.col("l_shipdate").cast("date").alias("DateKey"),
             F.col("p_type").alias("ProductType"),
@@ -95,7 +105,7 @@ def exceptions_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     resolved = F.date_add(reported, F.floor(F.col("value") / 24).cast("int") - 1)
     hours = (
         F.when(F.col("event_id") % 5 == 0, F.lit(-1).cast("decimal(6,2)"))
-        .when(F.col("event_id") % 11 == 0, F.lit(None).cast("decimal(6,2)"))
+        .when(F.col("event_id") % 4 == 0, F.lit(None).cast("decimal(6,2)"))
         .otherwise(F.col("value").cast("decimal(6,2)"))
     )
     return events.join(
@@ -145,6 +155,69 @@ def routes_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Fixed rules for faulty rows. Each is a copy of a real row with something changed, so no real row is
+# touched. The number that a rule counts by, and how often it applies, per feed.
+COUNTED_BY = {
+    "staging_sales": ("DeliveryID", 400),
+    "staging_deliveries": ("DeliveryID", 400),
+    "staging_routes": ("PlannedStops", 20),
+    "staging_exceptions": ("ExceptionID", 400),
+}
+TOO_LONG = "LONG " * 11
+LATE_DATE = "2101-03-01"
+
+
+def _copies(feed: DataFrame, table: str, nth: int) -> DataFrame:
+    column, every = COUNTED_BY[table]
+    return feed.filter(F.col(column) % every == nth)
+
+
+def with_odd_rows(feed: DataFrame, table: str) -> DataFrame:
+    """The feed and rows under keys of their own that break rules of the gates: empty, zero or late values."""
+    changed: list[dict] = {
+        "staging_sales": [
+            {"UnitsSold": F.lit(0)},
+            {"DateKey": F.lit(LATE_DATE).cast("date")},
+            {"SalesAmount": F.lit(None).cast("decimal(10,2)")},
+        ],
+        "staging_deliveries": [
+            {"RouteID": F.lit(None).cast("string")},
+            {"DeliveryDate": F.lit(LATE_DATE).cast("date"), "ExpectedDeliveryDate": F.lit(LATE_DATE).cast("date")},
+            {"DeliveryStatus": F.lit(" delivered ")},
+        ],
+        "staging_routes": [
+            {"RouteID": F.lit(None).cast("string")},
+            {"PlannedHours": F.lit(0).cast("decimal(10,2)")},
+        ],
+        "staging_exceptions": [
+            {"DateReported": F.lit(None).cast("date")},
+        ],
+    }[table]
+    key = {
+        "staging_sales": {"SalesID": F.concat("SalesID", F.lit("-odd"))},
+        "staging_deliveries": {"DeliveryID": -F.col("DeliveryID")},
+        "staging_routes": {"DriverID": F.concat_ws("-", "DriverID", "RouteID", F.lit("odd"))},
+        "staging_exceptions": {"ExceptionID": -F.col("ExceptionID")},
+    }[table]
+    parts = [_copies(feed, table, 7 + i).withColumns({**key, **c}) for i, c in enumerate(changed)]
+    return reduce(DataFrame.unionByName, parts, feed)
+
+
+def with_rejects(feed: DataFrame, table: str) -> DataFrame:
+    """What lands as a file: the feed and rows that its contract rejects.
+
+    Exact copies, copies under the same key with another region, regions longer
+    than the column, and rows without a region.
+    """
+    parts = [
+        _copies(feed, table, 0),
+        _copies(feed, table, 1).withColumn("Region", F.lit("ZZ")),
+        _copies(feed, table, 2).withColumn("Region", F.lit(TOO_LONG)),
+        _copies(feed, table, 3).withColumn("Region", F.lit(None).cast("string")),
+    ]
+    return reduce(DataFrame.unionByName, parts, feed)
+
+
 FEEDS = {
     "staging_sales": sales_feed,
     "staging_deliveries": deliveries_feed,

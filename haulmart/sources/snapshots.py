@@ -52,12 +52,21 @@ class SnapshotStore:
                 raise
             return empty_frame(self.spark, MANIFEST_SCHEMA)
 
-    def current(self, layer: str) -> dict[str, Published]:
-        """Tables of the newest publication of a layer, a dozen rows at most."""
-        published = self.manifest().filter(F.col("layer") == layer)
-        newest = published.agg(F.max_by("run_id", "published_at").alias("run_id"))
-        rows = published.join(F.broadcast(newest), "run_id").collect()
-        return {r["table_name"]: Published(r["path"], r["row_count"]) for r in rows}
+    def newest_run(self, layer: str) -> str | None:
+        rows = self.newest_runs(layer, 1)
+        return rows[0] if rows else None
+
+    def newest_runs(self, layer: str, count: int) -> list[str]:
+        """Runs that published a layer, the newest first."""
+        runs = self.manifest().filter(F.col("layer") == layer).groupBy("run_id")
+        last = runs.agg(F.max("published_at").alias("at")).orderBy(F.desc("at"), F.desc("run_id"))
+        return [r["run_id"] for r in last.limit(count).collect()]
+
+    def current(self, layer: str, run_id: str | None = None) -> dict[str, Published]:
+        """Tables of the newest publication of a layer, or of one run; a dozen rows at most."""
+        run_id = run_id or self.newest_run(layer)
+        published = self.manifest().filter((F.col("layer") == layer) & (F.col("run_id") == run_id))
+        return {r["table_name"]: Published(r["path"], r["row_count"]) for r in published.collect()}
 
     def read(self, layer: str, table: str) -> DataFrame:
         path = self.current(layer)[table].path

@@ -7,8 +7,10 @@ the loss of executors.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Collection
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,18 +21,37 @@ _TEMPORARY: dict[str, str] = {}
 def shared_folder(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``.
 
-    Only where that is unset, as in tests on one machine, a temporary folder
-    stands in, one per application.
+    Only where that is unset and driver and executors are one process, as in
+    tests, a temporary folder stands in, one per application.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError(
+            f"set spark.checkpoint.dir to a folder that all executors of {master} share"
+        )
     application = spark.sparkContext.applicationId
     if application not in _TEMPORARY:
         _TEMPORARY[application] = tempfile.mkdtemp(prefix="haulmart-")
     return _TEMPORARY[application]
 
 
+def children(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder of any Hadoop file system; none if it doesn't exist."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return []
+    return [entry.getPath().getName() for entry in system.listStatus(path)]
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 class Workspace:
     """A private folder for the working tables of one run."""
 
@@ -49,3 +70,10 @@ class Workspace:
     def materialize(self, df: DataFrame, name: str) -> DataFrame:
         # With the schema given, reading back starts no inference job.
         return self.spark.read.schema(df.schema).parquet(self.store(df, name))
+
+    def keep_only(self, paths: Collection[str]) -> None:
+        """Remove every table of this workspace but those in ``paths``, after their last reader."""
+        kept = {p.rpartition("/")[2] for p in paths}
+        for name in children(self.spark, self.path):
+            if name not in kept:
+                remove(self.spark, f"{self.path}/{name}")

@@ -9,19 +9,219 @@ from __future__ import annotations
 
 import re
 
-from haulmart.bound import AS_OF
-from haulmart.contracts import DIMENSIONS, FACTS, STAGING
-from haulmart.plans import gates
-
-TODAY = f"DATE '{AS_OF.isoformat()}'"
+TODAY = "DATE '2024-12-31'"
+
+# Columns of the stored tables: name, SQL type, whether it may be empty.
+COLUMNS = {
+    "staging_sales": [
+        ("SalesID", "nvarchar(60)", False),
+        ("DeliveryID", "bigint", False),
+        ("DateKey", "date", False),
+        ("ProductType", "nvarchar(50)", False),
+        ("Region", "nvarchar(50)", False),
+        ("UnitsSold", "int", False),
+        ("SalesAmount", "decimal(10,2)", False),
+    ],
+    "staging_deliveries": [
+        ("DeliveryID", "bigint", False),
+        ("RouteID", "nvarchar(10)", False),
+        ("DriverID", "nvarchar(50)", False),
+        ("Region", "nvarchar(50)", False),
+        ("ShipmentType", "nvarchar(20)", False),
+        ("DeliveryDate", "date", False),
+        ("ExpectedDeliveryDate", "date", True),
+        ("DeliveryStatus", "nvarchar(20)", False),
+        ("PriorityFlag", "bit", False),
+    ],
+    "staging_routes": [
+        ("RouteID", "nvarchar(10)", False),
+        ("DriverID", "nvarchar(50)", False),
+        ("PlannedStops", "int", False),
+        ("ActualStops", "int", False),
+        ("PlannedHours", "decimal(5,2)", False),
+        ("ActualHours", "decimal(5,2)", False),
+        ("Region", "nvarchar(50)", False),
+    ],
+    "staging_exceptions": [
+        ("ExceptionID", "bigint", False),
+        ("DeliveryID", "bigint", False),
+        ("ExceptionType", "nvarchar(50)", False),
+        ("DateReported", "date", False),
+        ("ResolvedDate", "date", True),
+        ("ResolutionTimeHours", "decimal(6,2)", True),
+        ("PriorityFlag", "bit", False),
+        ("Region", "nvarchar(50)", False),
+    ],
+    "dim_date": [
+        ("DateKey", "int", False),
+        ("FullDate", "date", False),
+        ("Year", "int", False),
+        ("Quarter", "int", False),
+        ("Month", "int", False),
+        ("Day", "int", False),
+        ("Weekday", "int", False),
+        ("IsWeekend", "bit", False),
+        ("MonthName", "nvarchar(20)", False),
+        ("DayName", "nvarchar(20)", False),
+        ("WeekOfYear", "int", False),
+        ("MonthYear", "nvarchar(7)", False),
+        ("YearMonth", "nvarchar(6)", False),
+        ("FiscalYear", "int", False),
+        ("IsHoliday", "bit", False),
+    ],
+    "dim_product_type": [
+        ("ProductTypeID", "int", False),
+        ("ProductType", "nvarchar(100)", False),
+    ],
+    "dim_region": [
+        ("RegionID", "int", False),
+        ("Region", "nvarchar(50)", False),
+    ],
+    "dim_driver": [
+        ("DriverID", "int", False),
+        ("DriverCode", "nvarchar(50)", False),
+    ],
+    "dim_route": [
+        ("RouteID", "int", False),
+        ("RouteCode", "nvarchar(10)", False),
+    ],
+    "dim_shipment_type": [
+        ("ShipmentTypeID", "int", False),
+        ("ShipmentType", "nvarchar(50)", False),
+    ],
+    "dim_delivery_status": [
+        ("DeliveryStatusID", "int", False),
+        ("DeliveryStatus", "nvarchar(50)", False),
+    ],
+    "dim_exception_type": [
+        ("ExceptionTypeID", "int", False),
+        ("ExceptionType", "nvarchar(100)", False),
+    ],
+    "dim_priority_flag": [
+        ("PriorityFlagID", "int", False),
+        ("PriorityFlag", "bit", False),
+    ],
+    "fact_sales": [
+        ("SalesID", "nvarchar(60)", False),
+        ("DeliveryID", "bigint", False),
+        ("DateKey", "int", False),
+        ("ProductTypeID", "int", False),
+        ("RegionID", "int", False),
+        ("UnitsSold", "int", False),
+        ("SalesAmount", "decimal(18,2)", False),
+        ("load_ts", "datetime2", False),
+    ],
+    "fact_deliveries": [
+        ("DeliveryID", "bigint", False),
+        ("RouteID", "int", False),
+        ("DriverID", "int", False),
+        ("ShipmentTypeID", "int", False),
+        ("DeliveryDateKey", "int", False),
+        ("ExpectedDeliveryDateKey", "int", False),
+        ("DeliveryStatusID", "int", False),
+        ("PriorityFlagID", "int", False),
+        ("RegionID", "int", False),
+        ("load_ts", "datetime2", False),
+    ],
+    "fact_routes": [
+        ("RouteID", "int", False),
+        ("DriverID", "int", False),
+        ("PlannedStops", "int", False),
+        ("ActualStops", "int", False),
+        ("PlannedHours", "decimal(10,2)", False),
+        ("ActualHours", "decimal(10,2)", False),
+        ("RegionID", "int", False),
+        ("EfficiencyRatio", "decimal(10,4)", True),
+        ("StopVariance", "int", True),
+        ("load_ts", "datetime2", False),
+    ],
+    "fact_exceptions": [
+        ("ExceptionID", "bigint", False),
+        ("DeliveryID", "bigint", False),
+        ("ExceptionTypeID", "int", False),
+        ("DateKey", "int", False),
+        ("ResolutionTimeHours", "decimal(10,2)", True),
+        ("PriorityFlagID", "int", False),
+        ("RegionID", "int", False),
+        ("IsDateCorrected", "int", False),
+        ("load_ts", "datetime2", False),
+    ],
+}
+PRIMARY_KEYS = {
+    "staging_sales": ("SalesID",),
+    "staging_deliveries": ("DeliveryID",),
+    "staging_routes": ("RouteID", "DriverID",),
+    "staging_exceptions": ("ExceptionID",),
+    "dim_date": ("DateKey",),
+    "dim_product_type": ("ProductTypeID",),
+    "dim_region": ("RegionID",),
+    "dim_driver": ("DriverID",),
+    "dim_route": ("RouteID",),
+    "dim_shipment_type": ("ShipmentTypeID",),
+    "dim_delivery_status": ("DeliveryStatusID",),
+    "dim_exception_type": ("ExceptionTypeID",),
+    "dim_priority_flag": ("PriorityFlagID",),
+    "fact_sales": ("SalesID",),
+    "fact_deliveries": ("DeliveryID",),
+    "fact_routes": ("RouteID", "DriverID",),
+    "fact_exceptions": ("ExceptionID",),
+}
+# Foreign keys of the facts: column, dimension, its key, short name of the check.
+FOREIGN_KEYS = {
+    "fact_sales": [
+        ("DateKey", "dim_date", "DateKey", "date"),
+        ("ProductTypeID", "dim_product_type", "ProductTypeID", "product"),
+        ("RegionID", "dim_region", "RegionID", "region"),
+    ],
+    "fact_deliveries": [
+        ("RouteID", "dim_route", "RouteID", "route"),
+        ("DriverID", "dim_driver", "DriverID", "driver"),
+        ("ShipmentTypeID", "dim_shipment_type", "ShipmentTypeID", "shipment"),
+        ("DeliveryDateKey", "dim_date", "DateKey", "delivery_date"),
+        ("ExpectedDeliveryDateKey", "dim_date", "DateKey", "expected_date"),
+        ("DeliveryStatusID", "dim_delivery_status", "DeliveryStatusID", "status"),
+        ("PriorityFlagID", "dim_priority_flag", "PriorityFlagID", "priority"),
+        ("RegionID", "dim_region", "RegionID", "region"),
+    ],
+    "fact_routes": [
+        ("RouteID", "dim_route", "RouteID", "route"),
+        ("DriverID", "dim_driver", "DriverID", "driver"),
+        ("RegionID", "dim_region", "RegionID", "region"),
+    ],
+    "fact_exceptions": [
+        ("ExceptionTypeID", "dim_exception_type", "ExceptionTypeID", "type"),
+        ("DateKey", "dim_date", "DateKey", "date"),
+        ("PriorityFlagID", "dim_priority_flag", "PriorityFlagID", "priority"),
+        ("RegionID", "dim_region", "RegionID", "region"),
+    ],
+}
+# Those that the warehouse gate checks one by one, and those of the health audit.
+GATE_COLUMNS = {
+    "fact_sales": ["DateKey", "ProductTypeID", "RegionID"],
+    "fact_deliveries": ["RouteID", "DriverID", "DeliveryStatusID"],
+    "fact_exceptions": ["ExceptionTypeID"],
+    "fact_routes": ["RouteID", "DriverID"],
+}
+AUDIT_COLUMNS = {
+    "fact_sales": ["DateKey", "ProductTypeID", "RegionID"],
+    "fact_deliveries": ["RouteID", "DriverID", "DeliveryStatusID"],
+    "fact_exceptions": ["ExceptionTypeID", "RegionID"],
+    "fact_routes": ["RouteID", "DriverID", "RegionID"],
+}
+STAGING_NAMES = ["staging_sales", "staging_deliveries", "staging_routes", "staging_exceptions"]
+DIM_NAMES = [t for t in COLUMNS if t.startswith("dim_")]
+FACT_NAMES = list(FOREIGN_KEYS)
+DW_NAMES = DIM_NAMES + FACT_NAMES
+STORED = [("staging", t) for t in STAGING_NAMES] + [("dw", t) for t in DW_NAMES]
 
 FEEDS = {
     "customer_region": """
   SELECT c.c_custkey, c.c_nationkey, r.r_name AS Region
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
   JOIN region r ON n.n_regionkey = r.r_regionkey""",
-    "feed_sales": """
-  SELECT l.l_orderkey * 10 + l.l_linenumber AS SalesID, l.l_orderkey AS DeliveryID,
+    "rows_sales": """
+  SELECT concat_ws('-', l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey,
+                   strftime(CAST(l.l_shipdate AS DATE), '%Y%m%d')) AS SalesID, l.l_orderkey AS DeliveryID,
          CAST(l.l_shipdate AS DATE) AS DateKey, p.p_type AS ProductType, cr.Region,
          CAST(l.l_quantity AS INTEGER) AS UnitsSold,
          CAST(l.l_extendedprice AS DECIMAL(10,2)) AS SalesAmount
@@ -31,7 +231,7 @@ FEEDS = {
     "shipped": """
   SELECT l_orderkey, max(CAST(l_shipdate AS DATE)) AS shipped, min(l_suppkey) AS supplier
   FROM lineitem GROUP BY l_orderkey""",
-    "feed_deliveries": """
+    "rows_deliveries": """
   SELECT o.o_orderkey AS DeliveryID, 'RT-' || cr.c_nationkey AS RouteID,
          'DRV-' || s.supplier AS DriverID, cr.Region, o.o_orderpriority AS ShipmentType,
          s.shipped AS DeliveryDate,
@@ -41,18 +241,18 @@ FEEDS = {
          CASE WHEN o.o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1 ELSE 0 END AS PriorityFlag
   FROM orders o JOIN customer_region cr ON o.o_custkey = cr.c_custkey
   LEFT JOIN shipped s ON o.o_orderkey = s.l_orderkey""",
-    "feed_exceptions": """
+    "rows_exceptions": """
   SELECT e.event_id AS ExceptionID, e.user_id AS DeliveryID, e.event_type AS ExceptionType,
          CAST(e.ts AS DATE) AS DateReported,
          CASE WHEN e.event_id % 7 <> 0
               THEN CAST(e.ts AS DATE) + (CAST(floor(e.value / 24) AS INTEGER) - 1) END
            AS ResolvedDate,
          CASE WHEN e.event_id % 5 = 0 THEN CAST(-1 AS DECIMAL(6,2))
-              WHEN e.event_id % 11 = 0 THEN NULL
+              WHEN e.event_id % 4 = 0 THEN NULL
               ELSE CAST(e.value AS DECIMAL(6,2)) END AS ResolutionTimeHours,
          CAST(e.event_id % 2 AS INTEGER) AS PriorityFlag, cr.Region
   FROM events e JOIN customer_region cr ON e.user_id = cr.c_custkey""",
-    "feed_routes": """
+    "rows_routes": """
   SELECT 'RT-' || cr.c_nationkey AS RouteID, 'DRV-' || l.l_suppkey AS DriverID,
          CAST(count(DISTINCT l.l_orderkey) AS INTEGER) AS PlannedStops,
          CAST(count(CASE WHEN l.l_returnflag <> 'R' THEN 1 END) AS INTEGER) AS ActualStops,
@@ -66,8 +266,67 @@ FEEDS = {
   GROUP BY cr.c_nationkey, l.l_suppkey, cr.Region""",
 }
 
+# Rows added by rule, per feed: the number that the rules count by, how often they apply, the key
+# of rows that break rules of the gates, and what is wrong with them.
+LATE = "DATE '2101-03-01'"
+ODD = {
+    "sales": (
+        "DeliveryID",
+        400,
+        {"SalesID": "SalesID || '-odd'"},
+        [{"UnitsSold": "0"}, {"DateKey": LATE}, {"SalesAmount": "NULL"}],
+    ),
+    "deliveries": (
+        "DeliveryID",
+        400,
+        {"DeliveryID": "-DeliveryID"},
+        [
+            {"RouteID": "NULL"},
+            {"DeliveryDate": LATE, "ExpectedDeliveryDate": LATE},
+            {"DeliveryStatus": "' delivered '"},
+        ],
+    ),
+    "exceptions": (
+        "ExceptionID",
+        400,
+        {"ExceptionID": "-ExceptionID"},
+        [{"DateReported": "NULL"}],
+    ),
+    "routes": (
+        "PlannedStops",
+        20,
+        {"DriverID": "DriverID || '-' || RouteID || '-odd'"},
+        [{"RouteID": "NULL"}, {"PlannedHours": "0"}],
+    ),
+}
+# What lands as a file besides: copies, other regions under the same key, too long and empty ones.
+REJECTED = [{}, {"Region": "'ZZ'"}, {"Region": "repeat('LONG ', 11)"}, {"Region": "NULL"}]
+
+
+def _changed(source: str, where: str, changes: dict[str, str]) -> str:
+    replaced = ", ".join(f"{sql} AS {column}" for column, sql in changes.items())
+    star = f"* REPLACE ({replaced})" if replaced else "*"
+    return f"SELECT {star} FROM {source} WHERE {where}"
+
+
+for _t, (_by, _every, _key, _faults) in ODD.items():
+    FEEDS[f"feed_{_t}"] = " UNION ALL ".join(
+        [f"SELECT * FROM rows_{_t}"]
+        + [
+            _changed(f"rows_{_t}", f"{_by} % {_every} = {7 + i}", {**_key, **fault})
+            for i, fault in enumerate(_faults)
+        ]
+    )
+    FEEDS[f"landed_{_t}"] = " UNION ALL ".join(
+        [f"SELECT * FROM feed_{_t}"]
+        + [
+            _changed(f"feed_{_t}", f"{_by} % {_every} = {i}", fault)
+            for i, fault in enumerate(REJECTED)
+        ]
+    )
+
 # What the loader accepts from a feed file, per table.
-LONG = "length(Region) > 10"
+LONG = "(Region IS NOT NULL AND length(Region) > 50)"
 MISSING = {
     "sales": "SalesID IS NULL OR DeliveryID IS NULL OR DateKey IS NULL OR ProductType IS NULL "
     "OR Region IS NULL OR UnitsSold IS NULL OR SalesAmount IS NULL",
@@ -82,7 +341,7 @@ MISSING = {
 UNREADABLE = {
     "sales": "FALSE",
     "deliveries": "FALSE",
-    "routes": "PlannedHours >= 1000 OR ActualHours >= 1000",
+    "routes": "coalesce(PlannedHours >= 1000, FALSE) OR coalesce(ActualHours >= 1000, FALSE)",
     "exceptions": "FALSE",
 }
 KEYS = {
@@ -91,22 +350,19 @@ KEYS = {
     "routes": "RouteID, DriverID",
     "exceptions": "ExceptionID",
 }
-SALES_ORDER = (
-    "SalesID, DeliveryID, DateKey, ProductType, Region, UnitsSold, SalesAmount"
-)
 
 
 def _staging(strict: bool) -> dict[str, str]:
     parts = {}
     for t, key in KEYS.items():
+        source = f"landed_{t}" if strict else f"feed_{t}"
         accepted = (
             f"NOT ({UNREADABLE[t]}) AND NOT ({LONG}) AND NOT ({MISSING[t]})" if strict else "TRUE"
         )
-        order = SALES_ORDER if t == "sales" else key
         parts[f"staging_{t}"] = f"""
   SELECT * EXCLUDE (rn) FROM (
-    SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS rn
-    FROM feed_{t} WHERE {accepted}) WHERE rn = 1"""
+    SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY Region) AS rn
+    FROM {source} WHERE {accepted}) WHERE rn = 1"""
     return parts
 
 
@@ -356,19 +612,20 @@ def _reject_counts() -> str:
     parts = []
     for t, key in KEYS.items():
         bad, long, missing = UNREADABLE[t], LONG, MISSING[t]
+        feed = f"landed_{t}"
         good = f"NOT ({bad}) AND NOT ({long}) AND NOT ({missing})"
         for reason, count in (
-            ("unreadable_value", f"SELECT count(*) FROM feed_{t} WHERE {bad}"),
-            ("too_long", f"SELECT count(*) FROM feed_{t} WHERE NOT ({bad}) AND {long}"),
+            ("unreadable_value", f"SELECT count(*) FROM {feed} WHERE {bad}"),
+            ("too_long", f"SELECT count(*) FROM {feed} WHERE NOT ({bad}) AND {long}"),
             (
                 "missing_value",
-                f"SELECT count(*) FROM feed_{t} WHERE NOT ({bad}) AND NOT ({long}) "
+                f"SELECT count(*) FROM {feed} WHERE NOT ({bad}) AND NOT ({long}) "
                 f"AND ({missing})",
             ),
             (
                 "duplicate_key",
-                f"SELECT (SELECT count(*) FROM feed_{t} WHERE {good}) - "
-                f"(SELECT count(*) FROM (SELECT DISTINCT {key} FROM feed_{t} WHERE {good}))",
+                f"SELECT (SELECT count(*) FROM {feed} WHERE {good}) - "
+                f"(SELECT count(*) FROM (SELECT DISTINCT {key} FROM {feed} WHERE {good}))",
             ),
         ):
             parts.append(
@@ -378,15 +635,32 @@ def _reject_counts() -> str:
     return f"SELECT * FROM ({union(parts)}) WHERE rejected_rows > 0"
 
 
-GOOD_SALES = f"NOT ({LONG}) AND NOT ({MISSING['sales']})"
+def _record_key(t: str) -> str:
+    return f"concat_ws('|', {KEYS[t]})"
 
-KEY_REJECTS = f"""
-SELECT SalesID, DeliveryID, DateKey, ProductType, Region, UnitsSold, {dbl('SalesAmount')}, copies
-FROM (
-  SELECT {SALES_ORDER}, count(*) AS copies FROM (
-    SELECT *, row_number() OVER (PARTITION BY SalesID ORDER BY {SALES_ORDER}) AS rn
-    FROM feed_sales WHERE {GOOD_SALES}) WHERE rn > 1
-  GROUP BY {SALES_ORDER})"""
+
+def _null_rejects() -> str:
+    parts = []
+    for t in KEYS:
+        required = [c for c, _, empty in COLUMNS[f"staging_{t}"] if not empty]
+        missing = ", ".join(f"CASE WHEN {c} IS NULL THEN '{c}' END" for c in required)
+        parts.append(
+            f"SELECT 'staging_{t}' AS table_name, {_record_key(t)} AS record_key, "
+            f"concat_ws(',', {missing}) AS missing_columns, count(*) AS rejected_rows "
+            f"FROM landed_{t} WHERE NOT ({UNREADABLE[t]}) AND NOT ({LONG}) AND ({MISSING[t]}) "
+            "GROUP BY 1, 2, 3"
+        )
+    return union(parts)
+
+
+def _key_rejects() -> str:
+    return union(
+        f"SELECT 'staging_{t}' AS table_name, {_record_key(t)} AS record_key, "
+        f"count(*) - 1 AS rejected_rows FROM landed_{t} "
+        f"WHERE NOT ({UNREADABLE[t]}) AND NOT ({LONG}) AND NOT ({MISSING[t]}) "
+        f"GROUP BY {KEYS[t]} HAVING count(*) > 1"
+        for t in KEYS
+    )
 
 
 def _counts(names, name_column="TableName", count_column="RowCount") -> str:
@@ -396,9 +670,6 @@ def _counts(names, name_column="TableName", count_column="RowCount") -> str:
     )
 
 
-STAGING_NAMES = [c.name for c in STAGING]
-DW_NAMES = [c.name for c in DIMENSIONS + FACTS]
-STORED = [(c.layer, c.name) for c in STAGING + DIMENSIONS + FACTS]
 VIEW_NAMES = [
     "clean_sales",
     "clean_deliveries",
@@ -422,11 +693,8 @@ SOURCES = {
         for t, cols in INGEST_COLUMNS.items()
     },
     "ingest_rejects": q(_reject_counts()),
-    "ingest_notnull_quarantine": q(
-        "SELECT DeliveryID, RouteID, DriverID FROM feed_deliveries "
-        f"WHERE NOT ({LONG}) AND ({MISSING['deliveries']})"
-    ),
-    "ingest_pk_quarantine": q(KEY_REJECTS),
+    "ingest_notnull_quarantine": q(_null_rejects()),
+    "ingest_pk_quarantine": q(_key_rejects()),
     "staging_atomic_load": strict(_counts(STAGING_NAMES)),
     "truncate_reload": q(f"SELECT {INGEST_COLUMNS['routes']} FROM staging_routes"),
     "dw_atomic_publish": strict(_counts(DW_NAMES)),
@@ -457,7 +725,7 @@ LAYERS = {
         f"{dbl('ActualHours')}, Region, ratio4 / 10000.0 AS EfficiencyRatio, StopVariance "
         "FROM clean_routes"
     ),
-    **{c.name: q(f"SELECT * FROM {c.name}") for c in DIMENSIONS},
+    **{t: q(f"SELECT * FROM {t}") for t in DIM_NAMES},
     "fact_sales": q(
         "SELECT SalesID, DeliveryID, DateKey, ProductTypeID, RegionID, UnitsSold, "
         f"{dbl('SalesAmount')} FROM fact_sales"
@@ -570,20 +838,25 @@ CHECKS = {
     ),
     **{f"dw_not_empty_{n}": _empty(n) for n in DW_NAMES},
     **{
-        f"dw_null_keys_{c.name.removeprefix('fact_')}": _bad(
-            c.name, " OR ".join(f"{fk.column} IS NULL" for fk in c.foreign_keys)
+        f"dw_null_keys_{t.removeprefix('fact_')}": _bad(
+            t, " OR ".join(f"{column} IS NULL" for column, *_ in keys)
         )
-        for c in FACTS
+        for t, keys in FOREIGN_KEYS.items()
     },
     **{
-        f"dw_dup_pk_{c.name.removeprefix('fact_')}": "SELECT count(*) FROM (SELECT 1 FROM "
-        f"{c.name} GROUP BY {', '.join(c.primary_key)} HAVING count(*) > 1)"
-        for c in FACTS
+        f"dw_dup_pk_{t.removeprefix('fact_')}": "SELECT count(*) FROM (SELECT 1 FROM "
+        f"{t} GROUP BY {', '.join(PRIMARY_KEYS[t])} HAVING count(*) > 1)"
+        for t in FACT_NAMES
     },
     **{
-        gates.reference_key(c, fk): _orphans(c.name, fk.column, fk.ref_table, fk.ref_column)
-        for c in FACTS
-        for fk in c.foreign_keys
+        f"dw_rows_lost_{t.removeprefix('fact_')}": "SELECT abs((SELECT count(*) FROM "
+        f"clean_{t.removeprefix('fact_')}) - (SELECT count(*) FROM {t}))"
+        for t in FACT_NAMES
+    },
+    **{
+        f"dw_fk_{t.removeprefix('fact_')}_{label}": _orphans(t, column, dim, key)
+        for t, keys in FOREIGN_KEYS.items()
+        for column, dim, key, label in keys
     },
     "dw_amount_positive": _bad("fact_sales", "SalesAmount <= 0"),
     "dw_units_positive": _bad("fact_sales", "UnitsSold <= 0"),
@@ -593,14 +866,64 @@ CHECKS = {
     "WHERE s.DeliveryStatus <> 'LATE' AND f.DeliveryDateKey > f.ExpectedDeliveryDateKey",
 }
 
-SINGLE_CHECKS = {
-    c.key: c.title
-    for c in [*gates.staging_checks(AS_OF), *gates.clean_checks(), *gates.warehouse_checks()]
+STAGING_TITLES = {
+    "stg_not_empty_sales": "staging_sales is not empty",
+    "stg_not_empty_deliveries": "staging_deliveries is not empty",
+    "stg_not_empty_routes": "staging_routes is not empty",
+    "stg_not_empty_exceptions": "staging_exceptions is not empty",
+    "stg_nulls_sales": "staging_sales has no null key fields",
+    "stg_nulls_deliveries": "staging_deliveries has no null key fields",
+    "stg_nulls_routes": "staging_routes has no null key fields",
+    "stg_nulls_exceptions": "staging_exceptions has no null key fields",
+    "stg_positive_sales": "staging_sales units and amount are positive",
+    "stg_positive_routes": "staging_routes stops and hours are positive",
+    "stg_nonneg_resolution": "staging_exceptions resolution hours are not negative",
+    "stg_ri_sales": "staging_sales deliveries exist",
+    "stg_ri_exceptions": "staging_exceptions deliveries exist",
+    "stg_range_delivery_date": "staging_deliveries delivery date is plausible",
+    "stg_range_expected_date": "staging_deliveries expected date is plausible",
+    "stg_range_sales_date": "staging_sales date is plausible",
+    "stg_chronology": "staging_exceptions are not resolved before reported",
+}
+CLEAN_TITLES = {
+    "cln_not_empty_sales": "clean_sales is not empty",
+    "cln_not_empty_deliveries": "clean_deliveries is not empty",
+    "cln_not_empty_exceptions": "clean_exceptions is not empty",
+    "cln_not_empty_routes": "clean_routes is not empty",
+    "cln_required_sales": "clean_sales required fields are present",
+    "cln_required_deliveries": "clean_deliveries required fields are present",
+    "cln_late_rule": "clean_deliveries overdue rows are LATE",
+    "cln_priority_domain": "clean_deliveries priority is 0 or 1",
+    "cln_route_source_metrics": "staging_routes metrics are valid at the source",
+    "cln_ri_sales": "clean_sales deliveries exist",
+    "cln_ri_exceptions": "clean_exceptions deliveries exist",
+}
+WAREHOUSE_TITLES = {
+    **{f"dw_not_empty_{t}": f"{t} is not empty" for t in DW_NAMES},
+    **{f"dw_null_keys_{t.removeprefix('fact_')}": f"{t} has no null surrogate keys" for t in FACT_NAMES},
+    **{f"dw_dup_pk_{t.removeprefix('fact_')}": f"{t} keys are unique" for t in FACT_NAMES},
+    **{
+        f"dw_rows_lost_{s}": f"fact_{s} has every row of clean_{s}"
+        for s in ("sales", "deliveries", "routes", "exceptions")
+    },
+    "dw_amount_positive": "fact_sales amount is positive",
+    "dw_units_positive": "fact_sales units are positive",
+    "dw_hours_positive": "fact_routes hours are positive",
+    "dw_delivery_date_logic": "fact_deliveries past their planned date are LATE",
 }
 REFERENCE_TITLES = {
-    gates.reference_key(c, fk): gates.reference_title(c, fk) for c in FACTS for fk in c.foreign_keys
+    f"dw_fk_{t.removeprefix('fact_')}_{label}": f"{t}.{column} -> {dim}"
+    for t, keys in FOREIGN_KEYS.items()
+    for column, dim, _, label in keys
 }
-TITLES = {**SINGLE_CHECKS, **REFERENCE_TITLES}
+GATE_REFERENCES = {
+    f"dw_fk_{t.removeprefix('fact_')}_{label}"
+    for t, keys in FOREIGN_KEYS.items()
+    for column, _, _, label in keys
+    if column in GATE_COLUMNS[t]
+}
+SINGLE_CHECKS = [*STAGING_TITLES, *CLEAN_TITLES, *WAREHOUSE_TITLES, *GATE_REFERENCES]
+TITLES = {**STAGING_TITLES, **CLEAN_TITLES, **WAREHOUSE_TITLES, **REFERENCE_TITLES}
 
 
 def _result(key: str) -> str:
@@ -616,21 +939,21 @@ def _report(layer: str, keys) -> str:
         for k in keys
     )
     return (
-        f"SELECT '{layer}' AS layer, check_id, check_name, bad_rows, 'fail' AS severity, "
-        f"CASE WHEN bad_rows > 0 THEN 'FAIL' ELSE 'PASS' END AS status FROM ({rows})"
+        f"SELECT '{layer}' AS layer, check_id, check_name, bad_rows, severity, "
+        "CASE WHEN bad_rows = 0 THEN 'PASS' WHEN severity = 'warn' THEN 'WARN' ELSE 'FAIL' END "
+        "AS status FROM (SELECT *, CASE WHEN check_id LIKE 'dw_rows_lost_%' THEN 'warn' "
+        f"ELSE 'fail' END AS severity FROM ({rows}))"
     )
 
 
-STAGING_KEYS = [c.key for c in gates.staging_checks(AS_OF)]
-CLEAN_KEYS = [c.key for c in gates.clean_checks()]
-DW_KEYS = sorted({c.key for c in gates.warehouse_checks()} | set(REFERENCE_TITLES))
+DW_KEYS = sorted({*WAREHOUSE_TITLES, *REFERENCE_TITLES})
 
 FACT_VS_CLEAN = union(
-    f"SELECT '{c.name}' AS FactTable, (SELECT count(*) FROM clean_{t}) AS CleanRows, "
-    f"(SELECT count(*) FROM {c.name}) AS DWRows, "
-    f"(SELECT count(*) FROM clean_{t}) - (SELECT count(*) FROM {c.name}) AS DroppedRows"
-    for c in FACTS
-    for t in [c.name.removeprefix("fact_")]
+    f"SELECT '{f}' AS FactTable, (SELECT count(*) FROM clean_{t}) AS CleanRows, "
+    f"(SELECT count(*) FROM {f}) AS DWRows, "
+    f"(SELECT count(*) FROM clean_{t}) - (SELECT count(*) FROM {f}) AS DroppedRows"
+    for f in FACT_NAMES
+    for t in [f.removeprefix("fact_")]
 )
 
 
@@ -647,8 +970,8 @@ SALES_STATS = f"""{dbl('sum(SalesAmount)', 'TotalSales')},
 
 GATES = {
     **{k: q(_result(k)) for k in SINGLE_CHECKS if not k.startswith("dw_not_empty_")},
-    "gate_staging": q(_report("staging", STAGING_KEYS)),
-    "gate_clean": q(_report("clean", CLEAN_KEYS)),
+    "gate_staging": q(_report("staging", STAGING_TITLES)),
+    "gate_clean": q(_report("clean", CLEAN_TITLES)),
     "gate_dw": q(_report("dw", DW_KEYS)),
     "stg_row_counts": q(_counts(STAGING_NAMES)),
     "stg_null_detail": q(
@@ -822,12 +1145,12 @@ PROFILES = {
 # --- audit -----------------------------------------------------------------
 
 NULL_PROFILE = union(
-    f"SELECT '{c.layer}' AS SchemaName, '{c.name}' AS TableName, '{f}' AS ColumnName, "
-    f"count(*) - count({c.name}.\"{f}\") AS NullCount, count(*) AS TotalRows, "
-    f"{pct2(f'count(*) - count({c.name}.' + chr(34) + f + chr(34) + ')', 'count(*)')} AS NullPct "
-    f"FROM {c.name}"
-    for c in STAGING + DIMENSIONS + FACTS
-    for f in c.column_names
+    f"SELECT '{layer}' AS SchemaName, '{t}' AS TableName, '{c}' AS ColumnName, "
+    f"count(*) - count({t}.\"{c}\") AS NullCount, count(*) AS TotalRows, "
+    f"{pct2(f'count(*) - count({t}.' + chr(34) + c + chr(34) + ')', 'count(*)')} AS NullPct "
+    f"FROM {t}"
+    for layer, t in STORED
+    for c, _, _ in COLUMNS[t]
 )
 
 
@@ -840,15 +1163,24 @@ def _duplicates(label: str, table: str, keys: tuple[str, ...]) -> str:
 
 
 AUDIT_KEYS = [
-    (c, fk) for c in FACTS for fk in c.foreign_keys if fk.column in gates.AUDIT_REFERENCES[c.name]
+    f"dw_fk_{t.removeprefix('fact_')}_{label}"
+    for t, keys in FOREIGN_KEYS.items()
+    for column, _, _, label in keys
+    if column in AUDIT_COLUMNS[t]
 ]
+# The date by which a fact is dated.
+FACT_DATES = {
+    "fact_sales": "DateKey",
+    "fact_deliveries": "DeliveryDateKey",
+    "fact_exceptions": "DateKey",
+}
 
 CONTRACTS = union(
-    f"SELECT '{c.name}' AS TableName, '{f.name}' AS ColumnName, '{f.sql_type}' AS SqlType, "
-    f"(SELECT count(*) FROM {c.name} t WHERE t.\"{f.name}\" IS NULL) AS NullCount"
-    for c in STAGING + DIMENSIONS + FACTS
-    for f in c.fields
-    if not f.nullable
+    f"SELECT '{t}' AS TableName, '{c}' AS ColumnName, '{kind}' AS SqlType, "
+    f"(SELECT count(*) FROM {t} t WHERE t.\"{c}\" IS NULL) AS NullCount"
+    for t in STAGING_NAMES + DW_NAMES
+    for c, kind, empty in COLUMNS[t]
+    if not empty
 )
 
 AUDITS = {
@@ -858,14 +1190,10 @@ AUDITS = {
     "aud_row_counts": q(_layer_counts(STORED)),
     "aud_dup_keys": q(
         union(
-            [_duplicates(c.qualified_name, c.name, c.primary_key) for c in STAGING + DIMENSIONS + FACTS]
+            [_duplicates(f"{layer}.{t}", t, PRIMARY_KEYS[t]) for layer, t in STORED]
             + [
-                _duplicates(
-                    c.name.replace("staging_", "feed."),
-                    c.name.replace("staging_", "feed_"),
-                    c.primary_key,
-                )
-                for c in STAGING
+                _duplicates(f"feed.{t}", f"landed_{t}", PRIMARY_KEYS[f"staging_{t}"])
+                for t in KEYS
             ]
         )
     ),
@@ -876,17 +1204,16 @@ AUDITS = {
     "aud_null_over_20": q(f"SELECT * FROM ({NULL_PROFILE}) WHERE NullPct > 20"),
     "aud_freshness": q(
         union(
-            f"SELECT '{c.name}' AS TableName, strftime(max(load_ts), '%Y-%m-%d') AS LastLoad "
-            f"FROM {c.name}"
-            for c in FACTS
+            f"SELECT '{t}' AS TableName, strftime(max(load_ts), '%Y-%m-%d') AS LastLoad, "
+            f"count(*) AS RowCount, max({FACT_DATES.get(t, 'CAST(NULL AS INTEGER)')}) AS NewestDate "
+            f"FROM {t}"
+            for t in FACT_NAMES
         )
     ),
-    "aud_fact_sizes": q(_counts([c.name for c in FACTS])),
+    "aud_fact_sizes": q(_counts(FACT_NAMES)),
     "aud_orphans": q(
         union(
-            f"SELECT '{gates.reference_title(c, fk)}' AS CheckName, "
-            f"({CHECKS[gates.reference_key(c, fk)]}) AS OrphanCount"
-            for c, fk in AUDIT_KEYS
+            f"SELECT '{TITLES[k]}' AS CheckName, ({CHECKS[k]}) AS OrphanCount" for k in AUDIT_KEYS
         )
     ),
     "col_row_counts": q(_layer_counts(STORED)),

@@ -6,6 +6,7 @@ from decimal import Decimal
 from pathlib import Path
 
 import pytest
+from pyspark.sql.types import StringType
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
@@ -31,7 +32,12 @@ def staged(spark):
     """Build a staging frame from tuples in contract order."""
 
     def build(table: str, rows: list[tuple]):
-        return spark.createDataFrame(rows, contract(table).schema()).coalesce(1)
+        schema = contract(table).schema()
+        text = [isinstance(f.dataType, StringType) for f in schema.fields]
+        typed = [
+            tuple(str(v) if t and v is not None else v for v, t in zip(row, text)) for row in rows
+        ]
+        return spark.createDataFrame(typed, schema).coalesce(1)
 
     return build
 

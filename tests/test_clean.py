@@ -28,9 +28,9 @@ def test_sales_dates_are_checked_and_bad_ones_kept(staged):
             )
         )
     )
-    assert [(rows[k].DateKey, rows[k].IsBadDateKey) for k in (1, 2)] == [(None, 1)] * 2
-    assert [rows[k].IsBadDateKey for k in (3, 4)] == [0, 0]
-    assert rows[4].DateKey == d("2100-12-31")
+    assert [(rows[k].DateKey, rows[k].IsBadDateKey) for k in ("1", "2")] == [(None, 1)] * 2
+    assert [rows[k].IsBadDateKey for k in ("3", "4")] == [0, 0]
+    assert rows["4"].DateKey == d("2100-12-31")
 
 
 def test_sales_filter_and_text(staged):
@@ -48,8 +48,8 @@ def test_sales_filter_and_text(staged):
             )
         )
     )
-    assert list(rows) == [5]
-    assert (rows[5].ProductType, rows[5].Region) == ("BOX", "NE")
+    assert list(rows) == ["5"]
+    assert (rows["5"].ProductType, rows["5"].Region) == ("BOX", "NE")
 
 
 def test_deliveries(staged):

@@ -32,7 +32,7 @@ def reasons(loaded):
 def test_good_rows_are_typed(load):
     loaded = load("staging_sales", ["1,10,2024-01-05,Böx,NE,3,30.5", "2,10,2024-01-06,Box,SW,1,7"])
     rows = {r.SalesID: tuple(r) for r in loaded.good.collect()}
-    assert rows[1] == (1, 10, d("2024-01-05"), "Böx", "NE", 3, dec("30.50"))
+    assert rows["1"] == ("1", 10, d("2024-01-05"), "Böx", "NE", 3, dec("30.50"))
     assert [f.dataType for f in loaded.good.schema] == [
         f.dataType for f in contract("staging_sales").schema()
     ]
@@ -51,14 +51,14 @@ def test_every_bad_row_is_rejected_with_its_reason(load):
             "2,10,not a date,Box,NE,3,30.00",
             "3,10,2024-01-05,Box,NE,3",
             "4,10,2024-01-05,Box,NE,3,30.00,extra",
-            "5,10,2024-01-05,Box,NORTH-NORTH-EAST,3,30.00",
+            f"5,10,2024-01-05,Box,{'NORTH-' * 9},3,30.00",
             "6,10,2024-01-05,Box,NE,,30.00",
             "7,10,2024-01-05,Box,NE,1.5,30.00",
             "8,10,2024-01-05,Box,NE,1,123456789.00",
         ],
     )
     assert [tuple(r) for r in loaded.good.collect()] == [
-        (1, 10, d("2024-01-05"), "Box", "NE", 3, dec("30.00"))
+        ("1", 10, d("2024-01-05"), "Box", "NE", 3, dec("30.00"))
     ]
     assert reasons(loaded) == {
         "duplicate_key": 3,

@@ -122,7 +122,7 @@ def test_delivery_without_plan_orphans_its_children(small_tables, staged):
     tables = small_tables(staging_deliveries=staged("staging_deliveries", rows))
     assert failures(gates.gate_clean(tables)) == {"cln_ri_sales": 2, "cln_ri_exceptions": 1}
     listed = profiling.orphan_list(tables, "clean_sales", "SalesID").collect()
-    assert sorted(r.SalesID for r in listed) == [1, 2]
+    assert sorted(r.SalesID for r in listed) == ["1", "2"]
 
 
 @pytest.fixture(scope="module")
@@ -140,7 +140,7 @@ def replaced(layers, table, df):
 def test_warehouse_gate_passes(loaded):
     report = gates.gate_warehouse(loaded)
     assert failures(report) == {}
-    assert report.count() == 13 + 4 + 4 + 18 + 4
+    assert report.count() == 13 + 4 + 4 + 4 + 18 + 4
 
 
 def test_warehouse_gate_negative(loaded):
@@ -148,10 +148,10 @@ def test_warehouse_gate_negative(loaded):
     for table, df, expected in (
         ("fact_sales", sales.withColumn("SalesAmount", F.lit(0)), {"dw_amount_positive": 3}),
         ("fact_sales", sales.withColumn("UnitsSold", F.lit(0)), {"dw_units_positive": 3}),
-        ("fact_sales", sales.union(sales), {"dw_dup_pk_sales": 3}),
+        ("fact_sales", sales.union(sales), {"dw_dup_pk_sales": 3, "dw_rows_lost_sales": 3}),
         (
             "fact_sales",
-            sales.withColumn("RegionID", F.when(F.col("SalesID") != 1, F.col("RegionID"))),
+            sales.withColumn("RegionID", F.when(F.col("SalesID") != "1", F.col("RegionID"))),
             {"dw_null_keys_sales": 1, "dw_fk_sales_region": 1},
         ),
         (

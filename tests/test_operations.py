@@ -197,7 +197,7 @@ def test_catalog(spark, small_tables):
         "decimal", 18, 2, "NO",
     )
     region = columns.filter("TableName = 'staging_sales' AND ColumnName = 'Region'").first()
-    assert (region.MaxLength, region.ColumnOrder) == (10, 5)
+    assert (region.MaxLength, region.ColumnOrder) == (50, 5)
     assert columns.filter("ObjectType = 'VIEW'").count() == 8 + 9
     keys = catalog.primary_key_catalog(spark)
     pairs = [(r.ColumnName) for r in keys.filter("TableName = 'fact_routes'").collect()]

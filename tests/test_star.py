@@ -66,7 +66,7 @@ def test_dimensions_are_normalized(layers):
 def test_facts_resolve_every_key(layers):
     # The sale with the bad date stays out of the fact and the date dimension.
     assert values(layers("fact_sales"), "SalesID", "DateKey") == [
-        (1, 20240105), (2, 20240105), (3, 20240207),
+        ("1", 20240105), ("2", 20240105), ("3", 20240207),
     ]
     assert layers("clean_sales").count() == 4
     assert values(layers("fact_deliveries"), "DeliveryID", "RouteID") == [(10, 1), (11, 1)]
@@ -90,7 +90,7 @@ def test_reports(layers):
         "R1", "Driver 1", "NE", "LATE", 1,
     )
     assert (row.DeliveryDate, row.ExpectedDeliveryDate) == (d("2024-01-09"), d("2024-01-07"))
-    sale = layers("rpt_sales_summary").filter("SalesID = 3").first()
+    sale = layers("rpt_sales_summary").filter("SalesID = '3'").first()
     assert (sale.SaleYear, sale.SaleQuarter, sale.SaleMonthName) == (2024, 1, "February")
     assert values(layers("rpt_route_efficiency"), "Route", "StopVariance") == [("R1", -1), ("R2", 1)]
     assert layers("rpt_exception_dashboard").count() == 3
