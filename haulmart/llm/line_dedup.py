@@ -152,11 +152,12 @@ def near_lines(rows: DataFrame, firsts: DataFrame, place) -> DataFrame:
         f" and abs(a_len - b_len) <= {allowed} and levenshtein(a_line, b_line, {LONG_EDITS}) between 0 and {allowed}"
     )
     pairs = a.join(b, near).select("a_line", "b_line", "a_len", "b_len", "b_line_id").distinct()
-    checked = pairs.withColumn("x", F.split("a_line", "")).withColumn("y", F.split("b_line", ""))
+    # The characters are bound as lambda variables: as columns they would be split anew at each of their uses.
+    near = f"if(least(a_len, b_len) < {LONG_CHARS}, {within(SHORT_EDITS, 'x', 'y')}, {within(LONG_EDITS, 'x', 'y')})"
     verified = F.expr(
-        f"if(least(a_len, b_len) < {LONG_CHARS}, {within(SHORT_EDITS, 'x', 'y')}, {within(LONG_EDITS, 'x', 'y')})"
+        f"get(transform(array(split(a_line, '')), x -> get(transform(array(split(b_line, '')), y -> {near}), 0)), 0)"
     )
-    return checked.where(verified).select(F.col("b_line_id").alias("line_id")).distinct()
+    return pairs.where(verified).select(F.col("b_line_id").alias("line_id")).distinct()
 
 
 def kept_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
