@@ -149,7 +149,7 @@ def near_lines(rows: DataFrame, firsts: DataFrame, place) -> DataFrame:
     # Spark's own banded distance in the condition: a frequent segment makes no pairs of lines far apart.
     near = F.expr(
         "a_key = b_key and a_place < b_place and (a_own or b_own)"
-        f" and abs(a_len - b_len) <= {allowed} and levenshtein(a_line, b_line, {LONG_EDITS}) between 0 and {allowed}"
+        f" and abs(a_len - b_len) <= {allowed} and coalesce(nullif(levenshtein(a_line, b_line, {LONG_EDITS}), -1), {LONG_EDITS + 1}) <= {allowed}"
     )
     pairs = a.join(b, near).select("a_line", "b_line", "a_len", "b_len", "b_line_id").distinct()
     # The characters are bound as lambda variables: as columns they would be split anew at each of their uses.
