@@ -18,7 +18,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    clean = line_dedup.without_repeats(docs)
+    clean = line_dedup.without_repeats(docs, short_lines=True)
     return clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 

@@ -7,7 +7,9 @@ number and the rest on its right, is untouched; so the first segments are looked
 up at their place from the start, the last at theirs from the end, and those
 between at a few places around. Every distinct line is looked up once, whatever
 the number of its copies. Lines that share a segment with another line, few, are
-fetched; pairs are verified by a banded bit-parallel automaton.
+fetched; pairs are verified by a banded bit-parallel automaton. Lines below
+``LEAST_CHARS`` code points have no segments: of those that have a word only
+equal ones are repeats.
 """
 
 from __future__ import annotations
@@ -17,8 +19,9 @@ from pyspark.sql import functions as F
 
 from haulmart.llm.frames import workspace
 
-# Shorter lines stay: they are structure, not content. Length classes double from here on.
+# Shorter lines are near to equal ones only. Length classes double from here on.
 LEAST_CHARS = 20
+WORD = r"[^\x20\x09-\x0D]"
 # Edits up to which lines are near, by the shorter line's class: one below 40 code points, else two.
 SHORT_EDITS, LONG_EDITS = 1, 2
 LONG_CHARS = 2 * LEAST_CHARS
@@ -53,10 +56,10 @@ def keys_of_line() -> tuple[Column, Column]:
             return f"array({', '.join(keys)})" if keys else "cast(array() as array<bigint>)"
 
         columns.append(
-            f"concat(if(low < {LONG_CHARS}, {listed(short)}, {listed(long)}),"
+            f"if(len < {LEAST_CHARS}, cast(array() as array<bigint>), concat(if(low < {LONG_CHARS}, {listed(short)}, {listed(long)}),"
             f" case when low = {LONG_CHARS} and len < low + {SHORT_EDITS} then {listed(below_short)}"
             f" when low > {LONG_CHARS} and len < low + {LONG_EDITS} then {listed(below_long)}"
-            " else cast(array() as array<bigint>) end)"
+            " else cast(array() as array<bigint>) end))"
         )
     return tuple(F.expr(c.replace("low", low)) for c in columns)
 
@@ -94,20 +97,26 @@ def rows_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"))
 
 
-def lines_of(rows: DataFrame) -> DataFrame:
-    """Lines long enough to count; ``line_id`` is their MD5."""
+def counts(line: Column, short_lines: bool) -> Column:
+    """Whether a line can be a repeat: a long one or, if asked for, a short one with a word."""
+    long = F.char_length(line) >= LEAST_CHARS
+    return long | line.rlike(WORD) if short_lines else long
+
+
+def lines_of(rows: DataFrame, short_lines: bool) -> DataFrame:
+    """Lines that count; ``line_id`` is their MD5."""
     return (
         rows.select("doc_id", "row", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
         .withColumn("len", F.char_length("line"))
-        .where(F.col("len") >= LEAST_CHARS)
+        .where(counts(F.col("line"), short_lines))
         .withColumn("line_id", F.unhex(F.md5("line")))
     )
 
 
-def first_lines(rows: DataFrame) -> DataFrame:
-    """Each distinct line at its first place, with its segment keys."""
+def first_lines(rows: DataFrame, short_lines: bool) -> DataFrame:
+    """Each distinct line at its first place, with its segment keys, none for a short line."""
     own, around = keys_of_line()
-    keyed = lines_of(rows).select(
+    keyed = lines_of(rows, short_lines).select(
         "line_id", "len", F.struct("doc_id", "row", "line_no").alias("place"), own.alias("own"), around.alias("around")
     )
     return keyed.groupBy("line_id").agg(
@@ -133,7 +142,7 @@ def near_lines(rows: DataFrame, firsts: DataFrame, place) -> DataFrame:
     few = wanted.count() <= BROADCAST_LINES
     ids = wanted.withColumnRenamed("line_id", "wanted")
     text = (
-        lines_of(rows)
+        lines_of(rows, False)
         .select("line_id", "line", "len")
         .join(F.broadcast(ids) if few else ids, F.col("line_id") == F.col("wanted"), "left_semi")
         .dropDuplicates(["line_id"])
@@ -160,11 +169,11 @@ def near_lines(rows: DataFrame, firsts: DataFrame, place) -> DataFrame:
     return pairs.where(verified).select(F.col("b_line_id").alias("line_id")).distinct()
 
 
-def kept_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, row, kept``: for each document the numbers of its long lines that stay."""
+def kept_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short_lines: bool = False) -> DataFrame:
+    """``doc_id, row, kept``: for each document the numbers of its lines that count and stay."""
     place = workspace(docs)
     rows = rows_of(docs, id_col, text_col)
-    firsts = place.materialize(first_lines(rows), "first_lines")
+    firsts = place.materialize(first_lines(rows, short_lines), "first_lines")
     near = near_lines(rows, firsts, place)
     stay = firsts.join(near, "line_id", "left_anti")
     return stay.groupBy(F.col("place.doc_id").alias("doc_id"), F.col("place.row").alias("row")).agg(
@@ -172,27 +181,28 @@ def kept_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short_lines: bool = False) -> DataFrame:
     """``docs`` with every line taken out that equals, or is within a few edits of, an earlier one.
 
     Lines come in the order of document id (null first), a hash of the text for rows
     with equal ids, and place in the text; the first of equal lines stays unless
-    it is near an earlier line. Lines below ``LEAST_CHARS`` code points stay. A
-    document that loses all lines keeps its row, with an empty text; a null text
+    it is near an earlier line. Lines below ``LEAST_CHARS`` code points stay unless
+    ``short_lines`` is set; then those with a word go if they equal an earlier
+    line, and only lines without a word stay. A document that loses all lines keeps its row, with an empty text; a null text
     becomes empty. Rows equal in id and text lose the same lines. All other
     columns are kept as they are.
     """
     taken = {"_id", "_row", "_kept", "_lines"} & set(docs.columns)
     if taken:
         raise ValueError(f"columns are taken: {sorted(taken)}")
-    kept = kept_places(docs, id_col, text_col).select(
+    kept = kept_places(docs, id_col, text_col, short_lines).select(
         F.col("doc_id").alias("_id"), F.col("row").alias("_row"), F.col("kept").alias("_kept")
     )
     text = F.coalesce(docs[text_col], F.lit(""))
     joined = docs.join(
         kept, docs[id_col].cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_row")), "left"
     ).withColumn("_lines", F.split(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), "\n"))
-    short = F.expr(f"filter(sequence(0, size(_lines) - 1), i -> char_length(_lines[i]) < {LEAST_CHARS})")
-    places = F.array_sort(F.concat(F.coalesce("_kept", F.expr("cast(array() as array<int>)")), short))
+    others = F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), lambda i: ~counts(F.get("_lines", i), short_lines))
+    places = F.array_sort(F.concat(F.coalesce("_kept", F.expr("cast(array() as array<int>)")), others))
     clean = F.array_join(F.transform(places, lambda i: F.get("_lines", i)), "\n")
     return joined.select(*[clean.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])

@@ -70,7 +70,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document its lines, how many were taken out, and the SHA-256 of the text that stays."""
     docs = scan(spark, sf_dir, "documents").select("doc_id", "text")
     before = docs.withColumn("n_lines", F.size(F.split(F.coalesce("text", F.lit("")), "\n")))
-    clean = line_dedup.without_repeats(before)
+    clean = line_dedup.without_repeats(before, short_lines=True)
     # A text without any line left is empty, as is one of a single empty line.
     left = F.when(F.col("text") == "", 0).otherwise(F.size(F.split("text", "\n")))
     return clean.select("doc_id", "n_lines", left.alias("n_left"), F.sha2("text", 256).alias("clean_sha256"))
