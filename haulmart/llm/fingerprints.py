@@ -4,7 +4,9 @@ A fingerprint has ``PERMUTATIONS`` components, each the lowest value that one
 universal hash function (multiply, add, in 32 bits) takes over the distinct
 five-word shingles of the text, of which 16 bits are kept. The share of equal
 components estimates the Jaccard similarity of two texts. For near duplicates,
-bands of components are joined in Spark and the pairs verified on whole texts.
+bands of components are joined in Spark and the pairs verified on whole texts:
+first those with the smallest node of each band, then all pairs of a band whose
+nodes are in different components still.
 """
 
 from __future__ import annotations
@@ -20,14 +22,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulmart.llm.frames import id_buckets, partitions, texts, with_bucket
-from haulmart.llm.ngram_join import Join, components
-from haulmart.llm.text import shingles, slices
+from haulmart.llm.ngram_join import LINK_PERCENT, Join, components, group_counts, node_ids
+from haulmart.llm.text import distinct_each, shingles, slices
 
 WORDS = 5
 PERMUTATIONS = 128
 SEED = 20240229
 # Four components a band: a pair of similarity 0.75 shares a band of 32 but for 5 in a million.
 BAND = 4
+# Nodes of a band that are paired in one block; larger bands are cut into several.
+BAND_BLOCK = 512
+BROADCAST_NODES = 500_000
 # Shingles hashed at once, so that a block of all permutations stays in the cache.
 BLOCK = 1024
 FINGERPRINT = (
@@ -65,6 +70,12 @@ def fingerprints_of(strings: list[str]) -> np.ndarray:
     return minima(hashes, counts)
 
 
+def nodes_of(strings: list[str], seed: int) -> list[int | None]:
+    hashes, counts, _ = shingles(pc.ascii_lower(pa.array(strings, pa.large_string())), WORDS)
+    hashes, n = distinct_each(hashes, counts)
+    return [node if k else None for node, k in zip(node_ids(hashes, n, seed).tolist(), n.tolist())]
+
+
 def shown(components_: np.ndarray) -> list[str]:
     return [base64.b64encode(row.tobytes()).decode() for row in np.ascontiguousarray(components_)]
 
@@ -75,8 +86,11 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - quarter] + following[:quarter]
 
 
-def edit_batches(batches):
-    """Rows sorted by bucket and id in, the last of each bucket standing for the first of the next."""
+def edit_batches(batches, seed: int | None = None):
+    """Rows sorted by bucket and id in, the last of each bucket standing for the first of the next.
+
+    With a seed, each row also has its node.
+    """
     held = None
     for batch in batches:
         for part in slices(batch, "text", 4 << 20):
@@ -92,6 +106,7 @@ def edit_batches(batches):
             changed = [edited(rows[k][2], rows[k + 1][2]) for k in at]
             of_changed = fingerprints_of(changed)
             own, following = prints[at], prints[[k + 1 for k in at]]
+            nodes = [] if seed is None else [pa.array(nodes_of([rows[k][2] for k in at], seed), pa.int64())]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([rows[k][1] for k in at], pa.int64()),
@@ -101,8 +116,9 @@ def edit_batches(batches):
                     pa.array(shown(of_changed)),
                     pa.array((own == of_changed).mean(axis=1)),
                     pa.array((own == following).mean(axis=1)),
+                    *nodes,
                 ],
-                ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
+                ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", *["node"] * len(nodes)],
             )
 
 
@@ -115,14 +131,18 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     not read. Texts are shuffled once, into ranges of ids; each range is followed
     by a copy of the next one's first document.
     """
-    spark = docs.sparkSession
-    read = texts(docs, id_col, text_col)
+    return _edited(texts(docs, id_col, text_col), None)
+
+
+def _edited(read: DataFrame, seed: int | None) -> DataFrame:
+    spark = read.sparkSession
+    schema = FINGERPRINT if seed is None else f"{FINGERPRINT}, node long"
     buckets, n = id_buckets(read)
     placed = with_bucket(read, buckets)
     # One row per range, whatever the number of documents.
     firsts = placed.groupBy("bucket").agg(F.min("doc_id").alias("first_id")).orderBy("bucket").collect()
     if not firsts:
-        return spark.createDataFrame([], FINGERPRINT)
+        return spark.createDataFrame([], schema)
     after = [(here.bucket, there.first_id) for here, there in zip(firsts, firsts[1:] + firsts[:1])]
     ids = [first for _, first in after if first is not None]
     among = F.col("doc_id").isin(ids) | (F.lit(len(ids) < len(after)) & F.col("doc_id").isNull())
@@ -137,50 +157,135 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ordered = rows.repartition(max(1, min(n + 1, partitions(spark))), "bucket").sortWithinPartitions(
         "bucket", "outside", "doc_id", "text"
     )
-    return ordered.select("bucket", "doc_id", "text", "outside").mapInArrow(edit_batches, FINGERPRINT)
-
+    return ordered.select("bucket", "doc_id", "text", "outside").mapInArrow(lambda b: edit_batches(b, seed), schema)
 
-def band_batches(batches):
-    """A row per node of a task and band."""
-    from haulmart.llm.ngram_join import node_ids
-    from haulmart.llm.text import distinct_each
 
+def band_batches(batches, seed: int):
+    """``node, n, keys, counts`` of each node of a task: a key per band and its group counts."""
+    done: set[int] = set()
     for batch in batches:
         for part in slices(batch, "text"):
             hashes, each, _ = shingles(part.column("text"), WORDS)
             hashes, n = distinct_each(hashes, each)
-            nodes = node_ids(hashes, n, int(part.column("seed")[0].as_py()))
-            prints = np.ascontiguousarray(minima(hashes, n)[n > 0])
+            nodes = node_ids(hashes, n, seed)
+            fresh = np.array([k > 0 and not (i in done or done.add(i)) for i, k in zip(nodes.tolist(), n.tolist())], bool)
+            hashes = hashes[np.repeat(fresh, n)]
+            nodes, n = nodes[fresh], n[fresh]
+            if not len(n):
+                continue
             width = 2 * BAND
             keys = [
-                xxhash.xxh3_64_intdigest(row[at : at + width], at)
-                for row in map(bytes, prints)
-                for at in range(0, 2 * PERMUTATIONS, width)
+                [xxhash.xxh3_64_intdigest(row[at : at + width], at) for at in range(0, 2 * PERMUTATIONS, width)]
+                for row in map(bytes, np.ascontiguousarray(minima(hashes, n)))
             ]
             many = PERMUTATIONS // BAND
+            listed = pa.ListArray.from_arrays(
+                pa.array(np.arange(len(n) + 1) * many, pa.int32()), pa.array(np.array(keys, np.uint64).ravel().view(np.int64))
+            )
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(np.repeat(nodes[n > 0], many))], ["key", "node"]
+                [pa.array(nodes), pa.array(n), listed, group_counts(hashes, n)], ["node", "n", "keys", "counts"]
             )
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, group_id``: groups of documents that verified pairs of a shared band connect.
+def block_pairs(rows: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of nodes of one key and different components, of sizes that allow a link.
 
-    Each node is verified against the first node of each of its bands, so a band
-    with many nodes makes as many pairs, not their square. ``group_id`` is the
-    smallest id of the group; a document without words is its own group.
+    ``rows`` has ``key, node, n, component, many``, the last the number of rows of the
+    key. Its rows are dealt to blocks, and each two blocks of a key are joined by themselves.
     """
+    blocks = F.ceil(F.col("many") / BAND_BLOCK).cast("int")
+    placed = rows.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("last", blocks - 1)
+    left = placed.select(
+        "key", F.col("block").alias("i"), F.explode(F.sequence("block", "last")).alias("j"),
+        F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("component").alias("component_x"),
+    )
+    right = placed.select(
+        F.col("key").alias("key_y"), F.explode(F.sequence(F.lit(0), "block")).alias("i_y"), F.col("block").alias("j_y"),
+        F.col("node").alias("y"), F.col("n").alias("n_y"), F.col("component").alias("component_y"),
+    )
+    met = left.join(
+        right,
+        F.expr(
+            "key = key_y and i = i_y and j = j_y and component_x != component_y and (i < j or x < y)"
+            f" and 100 * least(n_x, n_y) >= {LINK_PERCENT} * greatest(n_x, n_y)"
+        ),
+    )
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def near_nodes(join: Join) -> DataFrame:
+    """``node, component`` of every node that verified pairs of a shared band connect with another."""
+    seed = join.seed
+    schema = "node long, n long, keys array<long>, counts binary"
+    prints = join.place.materialize(join.docs.mapInArrow(lambda b: band_batches(b, seed), schema), "bands")
+    bands = prints.select(F.explode("keys").alias("key"), "node", "n")
+    leads = bands.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("last"))
+    leads = leads.where("lead != last").select(F.col("key").alias("_key"), "lead")
+    shared = join.place.materialize(
+        bands.join(leads, F.col("key") == F.col("_key")).where("node != lead").select("key", "node", "n", "lead"), "shared_bands"
+    )
+    points = prints.select("node", "n", "counts").dropDuplicates(["node"])
+    # The lead itself has been held against every node of its band.
+    led = join.within_bound(shared.select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(), points)
+    found = components(join.verified(led, "leads"), join.place)
+
+    label = found.select(F.col("node").alias("_node"), "component")
+    labelled = shared.select("key", "node", "n").join(label, F.col("node") == F.col("_node"), "left")
+    labelled = join.place.materialize(
+        labelled.select("key", "node", "n", F.coalesce("component", "node").alias("component")).distinct(), "labelled_bands"
+    )
+    crossing = labelled.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("many")
+    )
+    crossing = crossing.where("low != high").select(F.col("key").alias("_key"), "many")
+    rows = labelled.join(crossing, F.col("key") == F.col("_key")).drop("_key")
+    fresh = join.verified(join.within_bound(block_pairs(rows), points), "bands")
+    if fresh.isEmpty():
+        return found
+    edges = found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(fresh)
+    return components(edges, join.place)
+
+
+def joined_texts(docs: DataFrame, id_col: str, text_col: str) -> Join:
     lower = F.translate(docs[text_col], "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    join = Join(docs.select(docs[id_col].alias("doc_id"), lower.alias("text")))
-    bands = join.place.materialize(
-        join.docs.withColumn("seed", F.lit(join.seed)).mapInArrow(band_batches, "key long, node long").distinct(), "bands"
+    return Join(docs.select(docs[id_col].alias("doc_id"), lower.alias("text")))
+
+
+def named_nodes(join: Join) -> DataFrame:
+    """``_node, group_id`` of the nodes that are not a row's own group."""
+    found = near_nodes(join).withColumnRenamed("node", "_node")
+    named = join.members.where("node is not null").join(found, F.col("node") == F.col("_node"), "left")
+    named = named.select("doc_id", "node", F.coalesce("component", "node").alias("component"))
+    least = named.groupBy("component").agg(F.min("doc_id").alias("group_id"), F.count("*").alias("rows")).where("rows > 1")
+    least = least.select(F.col("component").alias("_component"), "group_id")
+    named = named.select(F.col("node").alias("_node"), "component").distinct()
+    return join.place.materialize(
+        named.join(least, F.col("component") == F.col("_component")).select("_node", "group_id"), "groups"
     )
-    leads = bands.groupBy("key").agg(F.min("node").alias("lead"))
-    pairs = bands.join(leads, "key").where("node != lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-    found = components(join.verified(pairs, "bands"), join.place).withColumnRenamed("node", "_node")
-    named = join.members.join(found, F.col("node") == F.col("_node"), "left")
-    named = named.select("doc_id", F.coalesce("component", "node").alias("component"))
-    least = named.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
-    joined = named.join(least.withColumnRenamed("component", "_component"), F.col("component") == F.col("_component"), "left")
-    own = F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least"))
-    return joined.select("doc_id", own.alias("group_id"))
+
+
+def with_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """``rows`` with ``group_id`` in place of their ``node``."""
+    few = groups.count() <= BROADCAST_NODES
+    joined = rows.join(F.broadcast(groups) if few else groups, F.col("node") == F.col("_node"), "left")
+    own = F.coalesce("group_id", "doc_id").alias("group_id")
+    return joined.select(*[c for c in rows.columns if c != "node"], own)
+
+
+def grouped_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``edited_fingerprints`` and each one's ``group_id`` of ``near_duplicates``."""
+    join = joined_texts(docs, id_col, text_col)
+    return with_groups(_edited(texts(docs, id_col, text_col), join.seed), named_nodes(join))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, group_id``: groups of documents that verified pairs of a shared band connect.
+
+    Each node is verified against the first node of each of its bands; then, of the
+    bands whose nodes are in several components still, all pairs of different
+    components are, in blocks of bounded size. Pairs whose sizes or group counts
+    exclude a link are not read. ``group_id`` is the smallest id of the group; a
+    document without words is its own group.
+    """
+    join = joined_texts(docs, id_col, text_col)
+    return with_groups(join.members.select("doc_id", "node"), named_nodes(join))

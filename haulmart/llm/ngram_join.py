@@ -98,6 +98,17 @@ def profile_batches(batches, seed: int):
             yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(tokens), pa.array(seen)], schema=schema)
 
 
+def group_counts(hashes: np.ndarray, n: np.ndarray) -> pa.Array:
+    """Each set's number of hashes a group, as 16-bit integers."""
+    row = np.repeat(np.arange(len(n)), n)
+    groups = 1 << groups_of(n)
+    base = np.cumsum(groups) - groups
+    place = base[row] + (hashes & (groups[row] - 1).astype(np.uint64)).astype(np.int64)
+    counts = np.minimum(np.bincount(place, minlength=int(groups.sum())), 65535).astype("<u2")
+    bounds = np.concatenate([[0], np.cumsum(groups) * 2]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(bounds), pa.py_buffer(counts)])
+
+
 def signature_batches(batches, seed: int, frequent):
     """``node, n, tokens, counts`` of each node of a task: its first tokens and its group counts."""
     last = frequent.value
@@ -122,17 +133,12 @@ def signature_batches(batches, seed: int, frequent):
             starts = np.cumsum(n) - n
             size = prefix_size(n)
             chosen = hashes[order][np.repeat(starts, size) + arange_each(size)].view(np.int64)
-            groups = 1 << groups_of(n)
-            base = np.cumsum(groups) - groups
-            place = base[row] + (hashes & (groups[row] - 1).astype(np.uint64)).astype(np.int64)
-            counts = np.minimum(np.bincount(place, minlength=int(groups.sum())), 65535).astype("<u2")
-            bounds = np.concatenate([[0], np.cumsum(groups) * 2]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(nodes),
                     pa.array(n),
                     pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(chosen)),
-                    pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(bounds), pa.py_buffer(counts)]),
+                    group_counts(hashes, n),
                 ],
                 ["node", "n", "tokens", "counts"],
             )

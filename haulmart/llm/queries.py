@@ -26,7 +26,7 @@ def vocabulary(name: str) -> str:
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints.edited_fingerprints(scan(spark, sf_dir, "documents"))
+    return fingerprints.grouped_fingerprints(scan(spark, sf_dir, "documents"))
 
 
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
