@@ -13,9 +13,10 @@ Linking needs one path between any two nodes of a component, not all pairs:
    meet once however many runs they share, and those within the bound are verified.
 2. In a longer run each node is held against the node that leads most of its
    runs, and what is verified is joined into components. Runs within one component
-   are done with. Of the others an R-tree is made, in which the maxima of a
-   subtree's points bound the overlap with all of them. One turn looks for each
-   point's nearest one of another component, the last for all that may still link.
+   are done with. Of the others R-trees are made, one for each block of
+   ``RUN_BLOCK`` nodes or so, in which the maxima of a subtree's points bound the
+   overlap with all of them. One turn looks for each point's nearest one of another
+   component in a block, the last for all that may still link.
 
 Every pair of nodes of different components that can reach the similarity is
 verified on whole texts, so no link between components is lost.
@@ -28,7 +29,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulmart.llm.frames import partitions, texts, workspace
@@ -44,6 +45,8 @@ FREQUENT_FROM = 24
 FREQUENT_TOKENS = 1 << 17
 LEAF_RUN = 24
 LEAF, FANOUT = 16, 8
+# Points of one R-tree, about; a longer run is dealt to several. Points that are looked up at once.
+RUN_BLOCK, ASKED_AT_ONCE = 2048, 1024
 # Rows of runs that are paired at once.
 PAIRED_ROWS = 100_000
 LEAST_GROUPS, MOST_GROUPS = 16, 4096
@@ -303,61 +306,79 @@ class RTree:
 
 
 def tree_batches(batches, nearest: bool):
-    """Runs sorted by token and group class in; pairs of nodes of different components that may link out."""
+    """Blocks of runs sorted by token, group class and block, those of the tree first, in; pairs of different components out."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    rest = None
-    names = ("token", "level", "own", "node", "n", "component")
 
-    def meets_here(token: int, firsts: np.ndarray, query: np.ndarray, point: np.ndarray) -> np.ndarray:
+    def meets_here(token: int, firsts: np.ndarray, other_firsts: np.ndarray) -> np.ndarray:
         """Two points meet in the run of their first common token; if none is known, in every run."""
-        known = np.full(len(query), np.iinfo(np.int64).max)
+        known = np.full(len(firsts), np.iinfo(np.int64).max)
         for k in range(FIRST_TOKENS):
-            own = firsts[query, k]
-            same = (own[:, None] == firsts[point]).any(axis=1) & (own >= 0)
+            own = firsts[:, k]
+            same = (own[:, None] == other_firsts).any(axis=1) & (own >= 0)
             known = np.where(same, np.minimum(known, own), known)
         return (known == np.iinfo(np.int64).max) | (known == token)
 
-    def pairs_of(run: pa.Table) -> pa.RecordBatch:
-        level = run["level"][0].as_py()
-        own, node, n, component = (run[c].to_numpy() for c in names[2:])
-        points = np.stack([folded(np.frombuffer(c, "<u2").astype(np.int32)[None], 1 << level)[0] for c in run["counts"].to_pylist()])
-        mine = np.flatnonzero(own)
-        tree = RTree(points[mine], n[mine])
-        query, point, bound = tree.search(points, n)
-        point = mine[point]
+    def columns_of(rows: pa.Table, level: int):
+        points = np.stack([folded(np.frombuffer(c, "<u2").astype(np.int32)[None], 1 << level)[0] for c in rows["counts"].to_pylist()])
         # Tokens are compared by their upper 63 bits, so that -1 can stand for none.
-        firsts = np.array([f + [-1] * (FIRST_TOKENS - len(f)) for f in run["firsts"].to_pylist()], np.int64)
-        # Two points of the tree would meet twice.
-        fits = (component[query] != component[point]) & (~own[query] | (node[query] < node[point]) | nearest)
-        fits &= meets_here((run["token"][0].as_py() & (2**64 - 1)) >> 1, firsts, query, point)
+        firsts = np.array([f + [-1] * (FIRST_TOKENS - len(f)) for f in rows["firsts"].to_pylist()], np.int64)
+        return points, *(rows[c].to_numpy() for c in ("n", "node", "component")), firsts
+
+    def asked(tree: RTree, known, rows, of_tree: bool, token: int) -> pa.RecordBatch:
+        points, n, node, component, firsts = rows
+        _, known_n, known_node, known_component, known_firsts = known
+        query, point, bound = tree.search(points, n)
+        fits = component[query] != known_component[point]
+        if of_tree and not nearest:
+            # Two points of the tree would meet twice.
+            fits &= node[query] < known_node[point]
+        query, point, bound = query[fits], point[fits], bound[fits]
+        fits = meets_here((token & (2**64 - 1)) >> 1, firsts[query], known_firsts[point])
         query, point, bound = query[fits], point[fits], bound[fits]
         if nearest and len(query):
-            order = np.lexsort((node[point], -bound / (n[query] + n[point]), query))
+            order = np.lexsort((known_node[point], -bound / (n[query] + known_n[point]), query))
             query, point = query[order], point[order]
             first = np.ones(len(query), bool)
             first[1:] = query[1:] != query[:-1]
             query, point = query[first], point[first]
-        a, b = np.minimum(node[query], node[point]), np.maximum(node[query], node[point])
+        a, b = np.minimum(node[query], known_node[point]), np.maximum(node[query], known_node[point])
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], schema=schema)
 
-    def runs_of(table: pa.Table, last: bool):
-        key = np.column_stack([table["token"].to_numpy(), table["level"].to_numpy()])
-        cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
-        cuts = [0, *cuts.tolist(), len(key)]
-        for start, stop in zip(cuts[:-1], cuts[1:]):
-            if stop == len(key) and not last:
-                return table.slice(start)
-            run = table.slice(start, stop - start)
-            if len(run) > 1 and run["own"].to_numpy().any() and len(np.unique(run["component"].to_numpy())) > 1:
-                yield pairs_of(run.combine_chunks())
-        return None
+    key, gathered, tree, known = None, [], None, None
+
+    def closed():
+        """Makes the tree of the rows gathered and looks each of them up."""
+        nonlocal gathered, tree, known
+        if gathered:
+            known = columns_of(pa.concat_tables(gathered), key[1])
+            gathered, tree = [], RTree(known[0], known[1])
+            if len(np.unique(known[3])) > 1:
+                for at in range(0, len(known[1]), ASKED_AT_ONCE):
+                    yield asked(tree, known, [c[at : at + ASKED_AT_ONCE] for c in known], True, key[0])
 
     for batch in batches:
         table = pa.Table.from_batches([batch])
-        table = table if rest is None else pa.concat_tables([rest, table])
-        rest = yield from runs_of(table, False)
-    if rest is not None and len(rest):
-        yield from runs_of(rest, True)
+        keys = np.column_stack([table[c].to_numpy() for c in ("token", "level", "block")])
+        own = table["own"].to_numpy()
+        cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1) | (own[1:] != own[:-1])) + 1
+        cuts = [0, *cuts.tolist(), len(keys)]
+        for start, stop in zip(cuts[:-1], cuts[1:]):
+            if start == stop:
+                continue
+            here = tuple(keys[start].tolist())
+            if here != key:
+                yield from closed()
+                key, tree, known = here, None, None
+            if own[start]:
+                gathered.append(table.slice(start, stop - start))
+                continue
+            yield from closed()
+            if tree is None:
+                continue
+            for at in range(start, stop, ASKED_AT_ONCE):
+                rows = columns_of(table.slice(at, min(ASKED_AT_ONCE, stop - at)), key[1])
+                yield asked(tree, known, rows, False, key[0])
+    yield from closed()
 
 
 def text_batches(batches, seed: int):
@@ -516,25 +537,26 @@ class Join:
         label = found.select(F.col("node").alias("_node"), "component")
         labelled = runs.select("token", "node", "n").join(label, F.col("node") == F.col("_node"), "left")
         labelled = labelled.withColumn("component", F.coalesce("component", "node")).drop("_node")
-        together = Window.partitionBy("token")
-        crossing = (
-            labelled.withColumn("low", F.min("component").over(together))
-            .withColumn("high", F.max("component").over(together))
-            .where("low != high")
-            .select("token", "node", "n", "component")
-        )
+        spans = labelled.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        spans = spans.where("low != high").select(F.col("token").alias("_token"))
+        crossing = labelled.join(spans, F.col("token") == F.col("_token"), "left_semi").select("token", "node", "n", "component")
         return self.place.materialize(crossing, "crossing_runs")
 
-    def candidates(self, crossing: DataFrame, points: DataFrame, nearest: bool) -> DataFrame:
-        """Distinct pairs of nodes of different components that the R-trees of the runs let through."""
+    def blocks(self, crossing: DataFrame, points: DataFrame, nearest: bool) -> DataFrame:
+        """The runs' rows by block: ``own`` ones make its R-tree, the others are looked up in it."""
         level = F.round(F.log2(F.length("counts") / 2)).cast("int")
         upper = F.shiftrightunsigned("token", 1)
         firsts = crossing.groupBy("node").agg(
             F.slice(F.array_sort(F.collect_set(upper)), 1, FIRST_TOKENS).alias("firsts")
         )
-        placed = (
-            crossing.join(points.select("node", "counts"), "node").join(firsts, "node").withColumn("level", level)
+        classed = points.select("node", "counts", level.alias("level"))
+        lengths = crossing.join(classed, "node").groupBy("token", "level").agg(F.count("*").alias("many"))
+        long = self.place.materialize(
+            lengths.where(F.col("many") > RUN_BLOCK).select(F.col("token").alias("_token"), F.col("level").alias("_level"), "many"),
+            "long_runs",
         )
+        few = long.count() <= BROADCAST_NODES
+        placed = crossing.join(classed, "node").join(firsts, "node")
         # A set links with sets of its own class or of a neighbouring one; it also asks the class below.
         lowest = LEAST_GROUPS.bit_length() - 1
         roles = F.expr(
@@ -544,7 +566,21 @@ class Join:
         spread = placed.withColumn("role", F.explode(roles)).select(
             "token", F.col("role.level").alias("level"), F.col("role.own").alias("own"), "node", "n", "component", "counts", "firsts"
         )
-        grouped = spread.repartition(partitions(self.spark), "token", "level").sortWithinPartitions("token", "level")
+        dealt = spread.join(
+            F.broadcast(long) if few else long, (F.col("token") == F.col("_token")) & (F.col("level") == F.col("_level")), "left"
+        )
+        dealt = dealt.withColumn("last", F.coalesce(F.ceil(F.col("many") / RUN_BLOCK), F.lit(1)).cast("int") - 1)
+        dealt = dealt.withColumn("home", F.when(F.col("own"), F.pmod(F.xxhash64("node"), F.col("last") + 1)).otherwise(-1).cast("int"))
+        # Of two blocks of a run the lower one's points ask the higher one; for the nearest ones all ask all.
+        asked = f"filter(sequence(0, last), x -> x >= home or {'true' if nearest else 'false'})"
+        return dealt.withColumn("block", F.explode(F.expr(asked))).select(
+            "token", "level", "block", (F.col("block") == F.col("home")).alias("own"), "node", "n", "component", "counts", "firsts"
+        )
+
+    def candidates(self, crossing: DataFrame, points: DataFrame, nearest: bool) -> DataFrame:
+        """Distinct pairs of nodes of different components that the R-trees of the runs let through."""
+        grouped = self.blocks(crossing, points, nearest).repartition(partitions(self.spark), "token", "level", "block")
+        grouped = grouped.sortWithinPartitions("token", "level", "block", F.desc("own"))
         pairs = grouped.mapInArrow(lambda b: tree_batches(b, nearest), "a long, b long")
         return pairs.distinct()
 
