@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmart.llm import fingerprints, fixity, licenses, line_dedup, ngram_join, packing, quality, token_files, trie_bpe, url_rules
+from haulmart.llm import (
+    decontaminate, fingerprints, fixity, licenses, line_dedup, ngram_join, packing, quality, ranked_search, spelling,
+    token_files, trie_bpe, url_rules,
+)
 from haulmart.sources.binding import scan
 
 # Fixed values of the URL query: host, path, verdict.
@@ -86,6 +89,22 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, vocabulary("byte_bpe_50k.json"), end_id=0, capacity=2048, with_ids=False)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(scan(spark, sf_dir, "documents"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.rank(scan(spark, sf_dir, "documents"), scan(spark, sf_dir, "benchmark"), top=20)
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_items(scan(spark, sf_dir, "documents"), scan(spark, sf_dir, "benchmark"), window=10)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_url_filters": op2_url_filters,
@@ -97,6 +116,9 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_trie_bpe": op9_trie_bpe,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_decontamination": op13_decontamination,
 }
 
 
@@ -242,10 +264,68 @@ FROM counted c LEFT JOIN limits t
   ON c.lang IS NOT DISTINCT FROM t.lang AND c.source IS NOT DISTINCT FROM t.source"""
 
 
+def _lower_sql(column: str) -> str:
+    return f"translate(coalesce({column}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _ranked_sql() -> str:
+    words = f"regexp_extract_all({_lower_sql('text')}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+    return f"""
+WITH d AS (SELECT doc_id, {words} AS w FROM documents),
+lengths AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n FROM d WHERE len(w) > 0),
+totals AS (SELECT CAST(count(*) AS BIGINT) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM lengths),
+asked AS (SELECT item_id, unnest({words}) AS term FROM benchmark),
+wanted AS (SELECT item_id, term, count(*) AS times FROM asked GROUP BY item_id, term),
+tf AS (
+  SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM d)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY doc_id, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM tf, totals GROUP BY term, big_n),
+impacts AS (
+  SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * big_n) // big_l))) AS s
+  FROM tf JOIN lengths USING (doc_id) JOIN weights USING (term), totals),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(times * s) AS BIGINT) AS score FROM wanted JOIN impacts USING (term) GROUP BY item_id, doc_id),
+ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM scores WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= {ranked_search.TOP}"""
+
+
+def _decontamination_sql() -> str:
+    def words(name: str, source: str) -> str:
+        return f"""
+  SELECT {name}, regexp_extract_all({_lower_sql('text')}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM {source}"""
+
+    size = decontaminate.WINDOW
+    return f"""
+WITH d AS ({words('doc_id', 'documents')}), i AS ({words('item_id', 'benchmark')}),
+asked AS (
+  SELECT item_id, k, array_to_string(w[p:p + k - 1], ' ') AS words FROM (
+    SELECT item_id, w, least(len(w), {size}) AS k, unnest(range(1, greatest(len(w) - {size} + 1, 1) + 1)) AS p
+    FROM i WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT k FROM asked),
+own AS (
+  SELECT doc_id, k, p, array_to_string(w[p:p + k - 1], ' ') AS words FROM (
+    SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM d, sizes WHERE len(w) >= k)),
+met AS (SELECT doc_id, item_id, p, own.k FROM own JOIN asked ON own.k = asked.k AND own.words = asked.words),
+hit AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + k)) AS place FROM met) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (
+    SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM met) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+
 # The others can't be said in SQL, or not at the size of whole tables; tests/llm has brute force for them.
 ORACLE: dict[str, str] = {
     "op2_url_filters": _url_rules_sql(),
     "op3_warc_fixity": _fixity_sql(),
     "op4_quality_rules": _quality_sql(),
     "op6_license_scans": _licenses_sql(),
+    "op12_ranked_search": _ranked_sql(),
+    "op13_decontamination": _decontamination_sql(),
 }
