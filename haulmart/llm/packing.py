@@ -1,17 +1,21 @@
 """Best-fit packing of documents into sequences of a fixed number of tokens.
 
 Only the histogram of piece lengths reaches the driver, at most ``capacity``
-numbers whatever the corpus. There the configuration linear program is solved by
-multiplicative weights: a length's price is its tokens times a weight that falls
-as the length is covered, and a knapsack dynamic program prices the best
-configuration (which lengths share a sequence). The counts are rounded down to
-whole sequences, and what is left of the histogram goes by best fit decreasing,
-also by counts. The plan, whose size depends on the capacity alone, says which
-ranks of each length go to which sequences; each task looks its pieces up in it.
+numbers whatever the corpus. There the configuration linear program (the least sum
+of sequences, of any configuration of lengths, that covers each length's count) is
+solved by multiplicative weights: a length's price is its tokens times a weight that
+falls as the length is covered, and a knapsack dynamic program prices the best
+configurations. All prices over the best configuration's are a solution of the dual,
+so each round also bounds the number of sequences from below. The fractional counts
+are rounded to whole sequences, what is left of the histogram is solved again a few
+times, and the last rest goes by best fit decreasing, also by counts; if best fit
+alone needs fewer sequences, it is the plan. The plan, whose size depends on the capacity alone, says which ranks of each length go
+to which sequences; each task looks its pieces up in it.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from dataclasses import dataclass
 
@@ -25,14 +29,17 @@ from haulmart.llm.encoders import read_vocabulary
 from haulmart.llm.frames import texts, workspace
 from haulmart.llm.text import arange_each, slices
 
-# Of the multiplicative weights: rounds at most, how steeply a weight falls with the share
-# covered, how near to the best price a configuration must be, and into how many steps a
-# length's count is dealt; LARGE above 1 leaves short pieces, which fill gaps well, for the end.
+# Of the multiplicative weights: rounds, how steeply a weight falls with the share covered,
+# how near to the best price a configuration must be, and the share of a length's count
+# that a round covers with its own configuration.
 ROUNDS = 60
-FALL = 0.3
-NEAR = 0.2
-STEPS = 8
-LARGE = 1.02
+FALL = 3.0
+NEAR = 0.02
+STEP = 0.05
+# Above 1, longer pieces have the higher price a token, and short ones, which fill gaps well, stay for the end.
+LARGE = 1.05
+# Times that what rounding leaves over is solved once more.
+AGAIN = 3
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, "
 
 
@@ -48,6 +55,7 @@ class Plan:
     per: np.ndarray
     offset: np.ndarray
     sequences: int
+    bound: int  # fewer sequences can't hold the pieces
 
 
 def knapsack(price: np.ndarray, lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -67,50 +75,68 @@ def knapsack(price: np.ndarray, lengths: np.ndarray, capacity: int) -> tuple[np.
     return best, taken
 
 
-def configurations(histogram: np.ndarray, capacity: int) -> tuple[list[tuple[dict, int]], np.ndarray]:
-    """Whole numbers of sequences per configuration, and the histogram of what they leave over.
+def fractional_cover(histogram: np.ndarray, capacity: int) -> tuple[dict[tuple, float], int]:
+    """A number of sequences, perhaps not whole, for each configuration used, and the dual's bound.
 
-    In each round the weights of the lengths fall with their share covered, the
-    knapsack prices configurations, and for every length the best one that
-    holds it is used a little if its price is within ``NEAR`` of the best of all
-    and it fills a sequence.
+    In each round the weights of the lengths fall with their share covered and the
+    knapsack prices configurations. For every length the best one that holds it
+    covers a little of the length's count, if its price is within ``NEAR`` of the
+    best of all. At the end the counts are scaled so that no length is covered twice.
     """
-    left = histogram.astype(np.int64).copy()
-    made: dict[tuple, int] = {}
-    if left[capacity]:
-        made[((capacity, 1),)] = int(left[capacity])
-        left[capacity] = 0
-    demand = np.maximum(left, 1)
-    tokens = np.arange(capacity + 1, dtype=float) ** LARGE
-    for turn in range(ROUNDS):
-        lengths = np.flatnonzero(left)
-        if not len(lengths):
-            break
-        covered = 1 - left / demand
-        price = tokens * np.exp(-FALL * (covered - covered[lengths].mean()))
+    lengths = np.flatnonzero(histogram)
+    demand = histogram.astype(float)
+    covered = np.zeros(capacity + 1)
+    tokens = np.arange(capacity + 1, dtype=float)
+    first = tokens**LARGE
+    used: dict[tuple, float] = {}
+    bound = -(-int((histogram * np.arange(capacity + 1)).sum()) // capacity)
+    for _ in range(ROUNDS if len(lengths) else 0):
+        share = covered[lengths] / demand[lengths]
+        price = np.zeros(capacity + 1)
+        price[lengths] = first[lengths] * np.exp(-FALL * np.minimum(share - share.min(), 10))
         best, taken = knapsack(price, lengths, capacity)
-        used = 0
+        # A little less, as the sums are rounded.
+        bound = max(bound, math.ceil(float(demand @ price) / best[capacity] * (1 - 1e-9) - 1e-6))
         for length in lengths[::-1].tolist():
             if price[length] + best[capacity - length] < (1 - NEAR) * best[capacity]:
                 continue
             found = {length: 1}
             room = capacity - length
-            while room and taken[room]:
-                found[int(taken[room])] = found.get(int(taken[room]), 0) + 1
-                room -= int(taken[room])
-            if room:
-                continue
-            step = max(1, int(demand[length]) // STEPS)
-            times = min(step, *(int(left[other]) // n for other, n in found.items()))
-            if times:
-                used += times
-                key = tuple(sorted(found.items(), reverse=True))
-                made[key] = made.get(key, 0) + times
-                for other, n in found.items():
-                    left[other] -= n * times
-        if not used:
-            break
-    return [(dict(key), n) for key, n in made.items()], left
+            while room:
+                other = int(taken[room])
+                if other:
+                    found[other] = found.get(other, 0) + 1
+                room -= other or 1
+            key = tuple(sorted(found.items(), reverse=True))
+            times = STEP * demand[length] / found[length]
+            used[key] = used.get(key, 0.0) + times
+            for other, n in key:
+                covered[other] += n * times
+    scale = max((covered[k] / demand[k] for k in lengths.tolist()), default=1.0)
+    # Of lengths covered unevenly the mean: rounding takes no more of a length than there is.
+    scale = min(scale, float((covered[lengths] * lengths).sum() / max(1.0, (demand * tokens).sum())) or 1.0)
+    return {key: times / max(scale, 1e-12) for key, times in used.items()}, bound
+
+
+def rounded(used: dict[tuple, float], histogram: np.ndarray) -> tuple[list[tuple[dict, int]], np.ndarray]:
+    """Whole numbers of sequences and the histogram of what they leave over.
+
+    The configurations, longest lengths first, are rounded so that the sum up to
+    each is the whole part of the fractional sum; none takes more than there is.
+    """
+    left = histogram.astype(np.int64).copy()
+    made: list[tuple[dict, int]] = []
+    due = 0.0
+    for key in sorted(used, reverse=True):
+        due += used[key]
+        times = min(int(due + 1e-9), *(int(left[length]) // n for length, n in key))
+        if times > 0:
+            due -= times
+            made.append((dict(key), times))
+            for length, n in key:
+                left[length] -= n * times
+        due = min(due, 1.0)
+    return made, left
 
 
 def best_fit(histogram: np.ndarray, capacity: int) -> list[tuple[dict, int]]:
@@ -136,11 +162,19 @@ def best_fit(histogram: np.ndarray, capacity: int) -> list[tuple[dict, int]]:
 
 
 def plan(histogram: np.ndarray, capacity: int) -> Plan:
-    made, left = configurations(histogram, capacity)
+    used, bound = fractional_cover(histogram, capacity)
+    made, left = rounded(used, histogram)
+    for _ in range(AGAIN):
+        more, left = rounded(fractional_cover(left, capacity)[0], left)
+        made += more
+    made += best_fit(left, capacity)
+    plainly = best_fit(histogram, capacity)
+    if sum(n for _, n in plainly) < sum(n for _, n in made):
+        made = plainly
     rows = []
     taken = np.zeros(capacity + 1, np.int64)
     sequence = 0
-    for content, many in made + best_fit(left, capacity):
+    for content, many in made:
         offset = 0
         for length, per in sorted(content.items(), reverse=True):
             rows.append((length, taken[length], per * many, sequence, per, offset))
@@ -149,7 +183,7 @@ def plan(histogram: np.ndarray, capacity: int) -> Plan:
         sequence += many
     table = np.array(sorted(rows), np.int64).reshape(-1, 6)
     assert (taken == histogram).all()
-    return Plan(*table.T, sequence)
+    return Plan(*table.T, sequence, bound)
 
 
 def cut_batches(batches, vocabulary, end_id: int, capacity: int, with_ids: bool):

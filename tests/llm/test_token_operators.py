@@ -142,6 +142,28 @@ def test_plan_covers_every_length_without_gaps(histogram):
         room[first : first + count // per] += length * per
     assert (room <= 40).all() and (room > 0).all()
     assert room.sum() == (counts * np.arange(41)).sum()
-    # Never more than plain best fit needs, but for the odd sequence of rounding.
+    # Never more than plain best fit needs, never fewer than the dual allows.
     best = sum(n for _, n in packing.best_fit(counts, 40))
-    assert plan.sequences <= best + 1 + best // 50
+    tokens = int((counts * np.arange(41)).sum())
+    assert -(-tokens // 40) <= plan.bound <= plan.sequences <= best
+
+
+@pytest.mark.parametrize("low,high,pieces,capacity", [(20, 70, 500, 100), (26, 51, 1000, 100), (200, 500, 4000, 1000)])
+def test_linear_program_comes_near_its_bound(low, high, pieces, capacity):
+    """Lengths that best fit packs badly: the fractional cover is within a few percent of the dual, the plan below best fit."""
+    lengths = np.random.default_rng(low).integers(low, high, pieces)
+    counts = np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
+    used, bound = packing.fractional_cover(counts, capacity)
+    assert all(sum(length * n for length, n in key) <= capacity for key in used)
+    assert bound <= packing.plan(counts, capacity).sequences < sum(n for _, n in packing.best_fit(counts, capacity))
+    assert packing.plan(counts, capacity).sequences <= 1.06 * bound
+    made, left = packing.rounded(used, counts)
+    held = sum(n * np.bincount(list(c), list(c.values()), capacity + 1) for c, n in made)
+    assert (held + left == counts).all() and left.sum() < 0.5 * counts.sum()
+
+
+def test_dual_bound_is_below_the_least_number():
+    """By hand: 7 pieces of 6 in sequences of 10 need 7, which only the dual sees; 3 pairs of 4 fill gaps."""
+    counts = np.zeros(11, np.int64)
+    counts[6], counts[4] = 7, 3
+    assert packing.plan(counts, 10).sequences == 7 and 6 <= packing.plan(counts, 10).bound <= 7
