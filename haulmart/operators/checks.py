@@ -19,6 +19,12 @@ Tables = Callable[[str], DataFrame]
 FAIL, WARN = "fail", "warn"
 
 
+def parts_of(tables: Tables, name: str) -> list[DataFrame]:
+    """A table as the parts that it is stored in, where the lookup knows them."""
+    parts = getattr(tables, "parts", None)
+    return parts(name) if parts else [tables(name)]
+
+
 @dataclass(frozen=True)
 class Check:
     """Counts bad rows; any bad row is a failure."""
@@ -56,7 +62,7 @@ class OrphanCheck(Check):
 
     def bad_rows(self, tables: Tables) -> DataFrame:
         return orphan_count(
-            tables(self.child), self.child_column, tables(self.parent), self.parent_column
+            parts_of(tables, self.child), self.child_column, parts_of(tables, self.parent), self.parent_column
         )
 
 

@@ -9,27 +9,81 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulmart.contracts import Contract
+from haulmart.operators.keys import BROADCAST_BYTES
 from haulmart.operators.shape import long_form, quoted, text_literal
 
 
-def orphan_rows(child: DataFrame, parent: DataFrame, column: str) -> DataFrame:
-    """Child rows without a parent row; a null reference has no parent."""
-    return child.join(parent.select(column), column, "left_anti").select(*child.columns)
+Parts = DataFrame | Sequence[DataFrame]
 
 
-def orphan_count(child: DataFrame, child_column: str, parent: DataFrame, parent_column: str):
-    """One row ``bad_rows``: number of child rows without a parent.
+def _parts(table: Parts) -> list[DataFrame]:
+    return [table] if isinstance(table, DataFrame) else list(table)
+
+
+def _without_parent(child: DataFrame, column: str, parent: Parts, parent_column: str, few: bool) -> DataFrame:
+    """Rows of one part of a child without a parent row.
+
+    Buckets are merged as they are with the parent's buckets; the parent's rows
+    beside them have no key or one of a few. A part of few references is not
+    joined with the parent: the parent's keys among them are looked out first.
+    """
+    keys = [p.select(F.col(parent_column).alias("_key")) for p in _parts(parent)]
+    if few:
+        wanted = F.broadcast(child.select(F.col(column).alias("_wanted")).distinct())
+        keys = [k.join(wanted, F.col("_key") == F.col("_wanted"), "left_semi") for k in keys]
+    hints = ["broadcast" if few or nth else "merge" for nth in range(len(keys))]
+    for known, hint in zip(keys, hints):
+        known = known.distinct() if hint == "broadcast" else known
+        child = child.join(known.hint(hint), F.col(column) == F.col("_key"), "left_anti")
+    return child
+
+
+def orphan_rows(child: Parts, parent: Parts, column: str) -> DataFrame:
+    """Child rows without a parent row; a null reference has no parent.
+
+    Either table may be given as the parts it is stored in: buckets of the
+    reference, equal in number, and rows beside them. Buckets meet without a
+    shuffle. The rows beside the child's buckets are those of a few hot references,
+    or of none; these are looked for in the parent, not the parent for them.
+    """
+    return reduce(
+        DataFrame.unionByName,
+        [_without_parent(part, column, parent, column, nth > 0) for nth, part in enumerate(_parts(child))],
+    )
+
+
+def orphan_count(child: Parts, child_column: str, parent: Parts, parent_column: str) -> DataFrame:
+    """One row ``bad_rows``: number of child rows without a parent; parts as in ``orphan_rows``.
 
     The references are counted before the join. A parent that is named by a
-    third of all child rows is then one row per task in the shuffle, and the
-    join runs on distinct keys.
+    third of all child rows is then one row per task in the shuffle, if there is
+    one, and the join runs on distinct keys.
+    """
+    missing = []
+    for nth, part in enumerate(_parts(child)):
+        references = part.groupBy(F.col(child_column).alias("_ref")).agg(F.count(F.lit(1)).alias("_rows"))
+        missing.append(_without_parent(references, "_ref", parent, parent_column, nth > 0))
+    rows = reduce(DataFrame.unionByName, missing)
+    return rows.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("bad_rows"))
+
+
+# Keys of one word of a bitmap.
+WORD_BITS = 64
+# A word with its column's name, in memory.
+WORD_BYTES = 64
+
+
+def key_words(pairs: DataFrame, key: str = "_ref") -> DataFrame:
+    """(fact_column, _word, _bits, _rows): the keys of each column as words of a bitmap, and the rows of each word.
+
+    Surrogate keys are dense, so a word stands for up to 64 of them, in a map-side
+    hash aggregate as in the shuffle. (Spark's own ``bitmap_construct_agg`` sorts
+    its input.) A key far outside the range is a word of its own.
     """
-    references = child.groupBy(F.col(child_column).alias("_ref")).agg(
-        F.count(F.lit(1)).alias("_rows")
+    bit = f"shiftleft(1L, CAST({quoted(key)} & {WORD_BITS - 1} AS INT))"
+    return pairs.groupBy("fact_column", F.expr(f"shiftright(CAST({quoted(key)} AS BIGINT), 6)").alias("_word")).agg(
+        F.expr(f"bit_or({bit})").alias("_bits"), F.count(F.lit(1)).alias("_rows")
     )
-    known = parent.select(F.col(parent_column).alias("_key"))
-    missing = references.join(known, F.col("_ref") == F.col("_key"), "left_anti")
-    return missing.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("bad_rows"))
 
 
 def reference_orphans(
@@ -37,35 +91,50 @@ def reference_orphans(
 ) -> DataFrame:
     """(fact_column, bad_rows) for several foreign keys of one fact.
 
-    The fact is read once: its reference columns are turned into
-    (column, key) pairs and counted map-side, and the few distinct pairs meet
-    the keys of all dimensions in one join.
+    The fact is read once: its reference columns are turned into (column, key)
+    pairs and these into bitmaps, held word by word against those of the
+    dimensions' keys. Rows of a word that no dimension has are all orphans, as are
+    rows without a key. Only where a word lacks some keys are the rows of those
+    keys counted, by a second look at the fact that finds nothing to do, and isn't
+    taken, in a sound load.
     """
     references = [fk for fk in contract.foreign_keys if fk.column in columns]
     names = [fk.column for fk in references]
-    pairs = long_form(fact.select(*names), names, "fact_column", "_ref")
-    counted = pairs.groupBy("fact_column", "_ref").agg(F.count(F.lit(1)).alias("_rows"))
+    whole = fact.select(*[F.col(n).cast("long").alias(n) for n in names])
+    pairs = long_form(whole, names, "fact_column", "_ref")
     known = reduce(
         DataFrame.union,
         [
             dims(fk.ref_table).selectExpr(
-                f"{text_literal(fk.column)} AS _column", f"{quoted(fk.ref_column)} AS _key"
+                f"{text_literal(fk.column)} AS fact_column", f"CAST({quoted(fk.ref_column)} AS BIGINT) AS _ref"
             )
             for fk in references
         ],
     )
-    matched = counted.join(
-        known,
-        (F.col("fact_column") == F.col("_column")) & (F.col("_ref") == F.col("_key")),
-        "left",
+    held = key_words(known.where("_ref IS NOT NULL")).select(
+        F.col("fact_column").alias("_column"), F.col("_word").alias("_held"), F.col("_bits").alias("_known")
+    )
+    words = key_words(pairs).join(held, F.expr("fact_column = _column AND _word = _held"), "left")
+    # Both look at bits and rows, so that they read one and the same shuffle.
+    lost = words.where("_known IS NULL AND (_bits IS NULL OR _bits != 0)").select("fact_column", "_rows")
+    partly = words.where("_bits & ~_known != 0 AND _rows > 0").select(
+        F.col("fact_column").alias("_column"), F.col("_word").alias("_lacking"), F.expr("_bits & ~_known").alias("_missing")
     )
+    # There are no more such words than there are keys.
+    if known.count() * WORD_BYTES <= BROADCAST_BYTES:
+        partly = F.broadcast(partly)
+    missing = pairs.join(
+        partly,
+        F.expr(
+            "fact_column = _column AND shiftright(_ref, 6) = _lacking"
+            f" AND _missing & shiftleft(1L, CAST(_ref & {WORD_BITS - 1} AS INT)) != 0"
+        ),
+    )
+    rows = lost.unionByName(missing.groupBy("fact_column").agg(F.count(F.lit(1)).alias("_rows")))
     # A conditional sum per column keeps a row for every key, also over no fact rows.
-    sums = matched.agg(
+    sums = rows.agg(
         *[
-            F.expr(
-                "coalesce(sum(CASE WHEN _key IS NULL AND fact_column = "
-                f"{text_literal(n)} THEN _rows END), 0) AS {quoted(n)}"
-            )
+            F.expr(f"coalesce(sum(CASE WHEN fact_column = {text_literal(n)} THEN _rows END), 0) AS {quoted(n)}")
             for n in names
         ]
     )

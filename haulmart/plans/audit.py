@@ -89,6 +89,7 @@ def storage(tables: Tables, names: list[tuple[str, str]], paths: dict[str, str])
     spark = tables(names[0][1]).sparkSession
     parts = [
         spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
         .load(paths[table])
         .agg(F.coalesce(F.sum("length"), F.lit(0)).alias("_bytes"))
         .select(

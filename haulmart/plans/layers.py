@@ -6,9 +6,11 @@ import threading
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from haulmart.contracts import DIMENSIONS, FACTS, STAGING, contract
 from haulmart.operators.keys import BROADCAST_BYTES, estimated_bytes
@@ -16,8 +18,11 @@ from haulmart.plans.clean import CLEAN_VIEWS
 from haulmart.plans.dims import VALUE_DIMENSIONS, build_dimension
 from haulmart.plans.facts import FACT_PLANS
 from haulmart.plans.reporting import REPORTS
+from haulmart.sources.buckets import store_in_buckets, stored_parts
 from haulmart.sources.workspace import Workspace
 
+# Tables that reference a delivery, and the deliveries, are stored in buckets of this key.
+BUCKET_KEYS = {t: "DeliveryID" for t in ("staging_sales", "staging_deliveries", "staging_exceptions")}
 # Independent tables are written by concurrent Spark jobs.
 CONCURRENT_LOADS = 4
 
@@ -64,7 +69,10 @@ class Layers:
         self.staging = staging
         self.load_ts = load_ts
         self.paths: dict[str, str] = {}
+        # As many for all tables, or they don't meet; a session sizes its shuffles for its data.
+        self.buckets = int(workspace.spark.conf.get("spark.sql.shuffle.partitions"))
         self._tables: dict[str, DataFrame] = {}
+        self._parts: dict[str, list[DataFrame]] = {}
         self._locks: dict[str, threading.RLock] = {}
         self._guard = threading.Lock()
 
@@ -90,14 +98,30 @@ class Layers:
             return sized_for_lookup(stored)
         return self._stored(name, self.staging(name))
 
+    def parts(self, name: str) -> list[DataFrame]:
+        """A table as it is stored: its buckets, then the rows beside them; a view, the same of its source."""
+        if name in CLEAN_VIEWS:
+            source, plan, _ = CLEAN_VIEWS[name]
+            return [plan(part) for part in self.parts(source)]
+        whole = self(name)
+        return self._parts.get(name, [whole])
+
     def _stored(self, name: str, df: DataFrame) -> DataFrame:
-        self.paths[name] = self.workspace.store(df, name)
-        return self.workspace.spark.read.schema(df.schema).parquet(self.paths[name])
+        if name in BUCKET_KEYS:
+            self.paths[name] = self.workspace.new_path(name)
+            store_in_buckets(df, self.paths[name], BUCKET_KEYS[name], self.buckets)
+        else:
+            self.paths[name] = self.workspace.store(df, name)
+        return self._read(name, df.schema)
+
+    def _read(self, name: str, schema: StructType) -> DataFrame:
+        self._parts[name] = stored_parts(self.workspace.spark, self.paths[name], schema)
+        return reduce(DataFrame.unionByName, self._parts[name])
 
     def adopt(self, name: str, path: str) -> None:
         """Take over a table that is already stored."""
         self.paths[name] = path
-        stored = self.workspace.spark.read.schema(contract(name).schema()).parquet(path)
+        stored = self._read(name, contract(name).schema())
         self._tables[name] = (
             sized_for_lookup(stored) if name.startswith("dim_") else stored
         )

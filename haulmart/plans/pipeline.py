@@ -238,7 +238,7 @@ def published(store: SnapshotStore, views: bool = False) -> Layers:
     staged = store.current("staging", run_id)
 
     def staging(table: str) -> DataFrame:
-        return store.spark.read.schema(contract(table).schema()).parquet(staged[table].path)
+        return store.read("staging", table, run_id)
 
     layers = Layers(Workspace(store.spark), staging, utc_now())
     for tables in (staged, store.current("dw", run_id)):

@@ -16,7 +16,7 @@ from haulmart.functions.columns import (
     null_cells,
     share,
 )
-from haulmart.operators.checks import Tables
+from haulmart.operators.checks import Tables, parts_of
 from haulmart.operators.integrity import orphan_count, orphan_rows
 from haulmart.operators.shape import long_form
 from haulmart.plans.clean import CLEAN_VIEWS, LATE, is_overdue
@@ -126,7 +126,7 @@ def invalid_routes(tables: Tables) -> DataFrame:
 
 def orphans(tables: Tables, view: str, name: str) -> DataFrame:
     counted = orphan_count(
-        tables(view), "DeliveryID", tables("clean_deliveries"), "DeliveryID"
+        parts_of(tables, view), "DeliveryID", parts_of(tables, "clean_deliveries"), "DeliveryID"
     )
     return counted.withColumnRenamed("bad_rows", name)
 
@@ -255,8 +255,8 @@ def priority_distribution(tables: Tables) -> DataFrame:
 
 
 def orphan_list(tables: Tables, view: str, key: str) -> DataFrame:
-    child = tables(view).select(key, "DeliveryID")
-    missing = orphan_rows(child, tables("clean_deliveries"), "DeliveryID")
+    child = [part.select(key, "DeliveryID") for part in parts_of(tables, view)]
+    missing = orphan_rows(child, parts_of(tables, "clean_deliveries"), "DeliveryID")
     return missing.select(key, "DeliveryID", F.lit(NO_DELIVERY).alias("Issue"))
 
 

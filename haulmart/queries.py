@@ -205,7 +205,7 @@ LAYER_TABLES: dict[str, Query] = {
     **{name: _fact(name) for name in FACT_PLANS},
     **{name: _table(name) for name in REPORTS},
     "orphan_rows": _on_layers(
-        lambda t: orphan_rows(t("staging_sales"), t("clean_deliveries"), "DeliveryID")
+        lambda t: orphan_rows(t.parts("staging_sales"), t.parts("clean_deliveries"), "DeliveryID")
     ),
 }
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from haulmart.contracts import contract
 from haulmart.operators.shape import empty_frame, literal_rows
+from haulmart.sources.buckets import stored_parts
 
 MANIFEST_SCHEMA = (
     "layer string, run_id string, published_at timestamp, table_name string, path string, "
@@ -68,9 +70,9 @@ class SnapshotStore:
         published = self.manifest().filter((F.col("layer") == layer) & (F.col("run_id") == run_id))
         return {r["table_name"]: Published(r["path"], r["row_count"]) for r in published.collect()}
 
-    def read(self, layer: str, table: str) -> DataFrame:
-        path = self.current(layer)[table].path
-        return self.spark.read.schema(contract(table).schema()).parquet(path)
+    def read(self, layer: str, table: str, run_id: str | None = None) -> DataFrame:
+        path = self.current(layer, run_id)[table].path
+        return reduce(DataFrame.unionByName, stored_parts(self.spark, path, contract(table).schema()))
 
 
 def reload_table(df: DataFrame, path: str) -> DataFrame:
