@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haulmart.contracts import Contract
-from haulmart.operators.keys import BROADCAST_BYTES
 from haulmart.operators.shape import long_form, quoted, text_literal
 
 
@@ -67,75 +66,114 @@ def orphan_count(child: Parts, child_column: str, parent: Parts, parent_column:
     return rows.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("bad_rows"))
 
 
+# Bits of a hash that are summed at once; sums of that many rows and more fit into 64 bits.
+SUMMED_BITS = 20
+
+
+def rows_apart(ours: DataFrame, theirs: DataFrame) -> DataFrame:
+    """One row ``bad_rows``: by how many rows two frames with the same columns differ, key by key.
+
+    A key lost on one side and another one doubled count two. Both sides are read
+    once for their number of rows and sums of a 60-bit hash, which equal frames have
+    in common; keys are shuffled and counted only if those differ.
+    """
+    signed = ours.withColumn("_side", F.lit(1)).unionByName(theirs.withColumn("_side", F.lit(-1)))
+    names = ours.columns
+    mask = (1 << SUMMED_BITS) - 1
+    hashed = signed.withColumn("_hash", F.xxhash64(*names))
+    parts = [F.sum(F.expr(f"_side * (shiftright(_hash, {k * SUMMED_BITS}) & {mask}L)")).alias(f"_sum{k}") for k in range(3)]
+    totals = hashed.agg(F.sum("_side").alias("_rows"), *parts)
+    differ = totals.where(F.expr("_rows != 0 OR _sum0 != 0 OR _sum1 != 0 OR _sum2 != 0")).select(F.lit(1).alias("_differ"))
+    # One row or none: without it the second look is dropped at run time.
+    looked = signed.join(F.broadcast(differ), F.abs("_side") == F.col("_differ"))
+    kept = looked.groupBy(*names).agg(F.sum("_side").alias("_rows"))
+    return kept.agg(F.coalesce(F.sum(F.abs("_rows")), F.lit(0)).alias("bad_rows"))
+
+
 # Keys of one word of a bitmap.
 WORD_BITS = 64
-# A word with its column's name, in memory.
-WORD_BYTES = 64
 
 
-def key_words(pairs: DataFrame, key: str = "_ref") -> DataFrame:
-    """(fact_column, _word, _bits, _rows): the keys of each column as words of a bitmap, and the rows of each word.
+@dataclass(frozen=True)
+class Reference:
+    """A foreign key to check; ``label`` names it in the result."""
+
+    label: str
+    fact: str
+    column: str
+    ref_table: str
+    ref_column: str
+
+
+def key_words(pairs: DataFrame) -> DataFrame:
+    """(_name, _word, _bits, _rows): the keys ``_ref`` of each name as words of a bitmap, and the rows of each word.
 
     Surrogate keys are dense, so a word stands for up to 64 of them, in a map-side
     hash aggregate as in the shuffle. (Spark's own ``bitmap_construct_agg`` sorts
     its input.) A key far outside the range is a word of its own.
     """
-    bit = f"shiftleft(1L, CAST({quoted(key)} & {WORD_BITS - 1} AS INT))"
-    return pairs.groupBy("fact_column", F.expr(f"shiftright(CAST({quoted(key)} AS BIGINT), 6)").alias("_word")).agg(
+    bit = f"shiftleft(1L, CAST(_ref & {WORD_BITS - 1} AS INT))"
+    return pairs.groupBy("_name", F.expr("shiftright(_ref, 6)").alias("_word")).agg(
         F.expr(f"bit_or({bit})").alias("_bits"), F.count(F.lit(1)).alias("_rows")
     )
 
 
 def reference_orphans(
-    fact: DataFrame, contract: Contract, columns: Sequence[str], dims: Callable[[str], DataFrame]
+    references: Sequence[Reference], tables: Callable[[str], DataFrame], few: bool = False
 ) -> DataFrame:
-    """(fact_column, bad_rows) for several foreign keys of one fact.
+    """(fact_column, bad_rows) by label for any foreign keys of any facts.
 
-    The fact is read once: its reference columns are turned into (column, key)
+    Each fact is read once: its reference columns are turned into (label, key)
     pairs and these into bitmaps, held word by word against those of the
     dimensions' keys. Rows of a word that no dimension has are all orphans, as are
     rows without a key. Only where a word lacks some keys are the rows of those
-    keys counted, by a second look at the fact that finds nothing to do, and isn't
-    taken, in a sound load.
+    keys counted, by a second look at the facts that finds nothing to do, and isn't
+    taken, in a sound load. ``few`` says that the dimensions are measured and small
+    enough to broadcast; there are no more words than keys.
     """
-    references = [fk for fk in contract.foreign_keys if fk.column in columns]
-    names = [fk.column for fk in references]
-    whole = fact.select(*[F.col(n).cast("long").alias(n) for n in names])
-    pairs = long_form(whole, names, "fact_column", "_ref")
+    labels = [r.label for r in references]
+    parts = []
+    for fact in dict.fromkeys(r.fact for r in references):
+        own = [r for r in references if r.fact == fact]
+        whole = tables(fact).selectExpr(*[f"CAST({quoted(r.column)} AS BIGINT) AS {quoted(r.label)}" for r in own])
+        parts.append(long_form(whole, [quoted(r.label) for r in own], "_name", "_ref"))
+    pairs = reduce(DataFrame.unionByName, parts)
     known = reduce(
-        DataFrame.union,
+        DataFrame.unionByName,
         [
-            dims(fk.ref_table).selectExpr(
-                f"{text_literal(fk.column)} AS fact_column", f"CAST({quoted(fk.ref_column)} AS BIGINT) AS _ref"
-            )
-            for fk in references
+            tables(table).selectExpr(f"{text_literal(table)} AS _name", f"CAST({quoted(column)} AS BIGINT) AS _ref")
+            for table, column in dict.fromkeys((r.ref_table, r.ref_column) for r in references)
         ],
     )
+    # The words of a dimension go out under the label of every reference to it.
+    asking = ", ".join(
+        f"{text_literal(table)}, array({', '.join(text_literal(r.label) for r in references if r.ref_table == table)})"
+        for table in dict.fromkeys(r.ref_table for r in references)
+    )
     held = key_words(known.where("_ref IS NOT NULL")).select(
-        F.col("fact_column").alias("_column"), F.col("_word").alias("_held"), F.col("_bits").alias("_known")
+        F.explode(F.expr(f"map({asking})[_name]")).alias("_of"), F.col("_word").alias("_held"), F.col("_bits").alias("_known")
     )
-    words = key_words(pairs).join(held, F.expr("fact_column = _column AND _word = _held"), "left")
+    words = key_words(pairs).join(held, F.expr("_name = _of AND _word = _held"), "left")
     # Both look at bits and rows, so that they read one and the same shuffle.
-    lost = words.where("_known IS NULL AND (_bits IS NULL OR _bits != 0)").select("fact_column", "_rows")
+    lost = words.where("_known IS NULL AND (_bits IS NULL OR _bits != 0)").select("_name", "_rows")
     partly = words.where("_bits & ~_known != 0 AND _rows > 0").select(
-        F.col("fact_column").alias("_column"), F.col("_word").alias("_lacking"), F.expr("_bits & ~_known").alias("_missing")
+        F.col("_name").alias("_label"), F.col("_word").alias("_lacking"), F.expr("_bits & ~_known").alias("_missing")
     )
-    # There are no more such words than there are keys.
-    if known.count() * WORD_BYTES <= BROADCAST_BYTES:
+    if few:
         partly = F.broadcast(partly)
     missing = pairs.join(
         partly,
         F.expr(
-            "fact_column = _column AND shiftright(_ref, 6) = _lacking"
+            "_name = _label AND shiftright(_ref, 6) = _lacking"
             f" AND _missing & shiftleft(1L, CAST(_ref & {WORD_BITS - 1} AS INT)) != 0"
         ),
     )
-    rows = lost.unionByName(missing.groupBy("fact_column").agg(F.count(F.lit(1)).alias("_rows")))
-    # A conditional sum per column keeps a row for every key, also over no fact rows.
+    rows = lost.unionByName(missing.groupBy("_name").agg(F.count(F.lit(1)).alias("_rows")))
+    # A conditional sum per label keeps a row for every key, also over no fact rows.
     sums = rows.agg(
         *[
-            F.expr(f"coalesce(sum(CASE WHEN fact_column = {text_literal(n)} THEN _rows END), 0) AS {quoted(n)}")
-            for n in names
+            F.expr(f"coalesce(sum(CASE WHEN _name = {text_literal(n)} THEN _rows END), 0) AS {quoted(n)}")
+            for n in labels
         ]
     )
-    return long_form(sums, names, "fact_column", "bad_rows")
+    return long_form(sums, [quoted(n) for n in labels], "fact_column", "bad_rows")

@@ -27,14 +27,15 @@ BUCKET_KEYS = {t: "DeliveryID" for t in ("staging_sales", "staging_deliveries",
 CONCURRENT_LOADS = 4
 
 
-def sized_for_lookup(dimension: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Mark a stored dimension for broadcast if its measured size is within ``limit`` bytes.
+def sized_for_lookup(dimension: DataFrame, limit: int = BROADCAST_BYTES, measured: int | None = None) -> DataFrame:
+    """Mark a stored dimension for broadcast if its ``measured`` bytes are within ``limit``.
 
     Sending that to every executor is far cheaper than shuffling a fact. A larger
     dimension, be it by rows or by long values, is joined by shuffle, with skewed
     partitions split at run time.
     """
-    return F.broadcast(dimension) if estimated_bytes(dimension) <= limit else dimension
+    measured = estimated_bytes(dimension) if measured is None else measured
+    return F.broadcast(dimension) if measured <= limit else dimension
 
 
 def concurrently(work: Callable[[str], object], names: Iterable[str]) -> dict[str, object]:
@@ -73,6 +74,7 @@ class Layers:
         self.buckets = int(workspace.spark.conf.get("spark.sql.shuffle.partitions"))
         self._tables: dict[str, DataFrame] = {}
         self._parts: dict[str, list[DataFrame]] = {}
+        self._bytes: dict[str, int] = {}
         self._locks: dict[str, threading.RLock] = {}
         self._guard = threading.Lock()
 
@@ -94,8 +96,7 @@ class Layers:
         if name in FACT_PLANS:
             return self._stored(name, FACT_PLANS[name](self, self, self.load_ts))
         if name.startswith("dim_"):
-            stored = self._stored(name, build_dimension(name, self, self.workspace))
-            return sized_for_lookup(stored)
+            return self._sized(name, self._stored(name, build_dimension(name, self, self.workspace)))
         return self._stored(name, self.staging(name))
 
     def parts(self, name: str) -> list[DataFrame]:
@@ -122,9 +123,17 @@ class Layers:
         """Take over a table that is already stored."""
         self.paths[name] = path
         stored = self._read(name, contract(name).schema())
-        self._tables[name] = (
-            sized_for_lookup(stored) if name.startswith("dim_") else stored
-        )
+        self._tables[name] = self._sized(name, stored) if name.startswith("dim_") else stored
+
+    def _sized(self, name: str, dimension: DataFrame) -> DataFrame:
+        self._bytes[name] = estimated_bytes(dimension)
+        return sized_for_lookup(dimension, measured=self._bytes[name])
+
+    def measured(self, names: Iterable[str]) -> int:
+        """Bytes in memory of several dimensions."""
+        for name in names:
+            self(name)
+        return sum(self._bytes[name] for name in names)
 
     def load(self, names: Iterable[str]) -> None:
         """Store several tables that do not depend on each other."""

@@ -40,6 +40,10 @@ def _order_region(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     ).drop("o_custkey", "c_custkey")
 
 
+# Every so many exceptions are open: more than the share of nulls that makes a column critical.
+OPEN_EVERY = 3
+
+
 def sales_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = scan(spark, sf_dir, "lineitem").select(
         "l_orderkey",
@@ -115,7 +119,7 @@ def exceptions_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").alias("DeliveryID"),
         F.col("event_type").alias("ExceptionType"),
         reported.alias("DateReported"),
-        F.when(F.col("event_id") % 7 != 0, resolved).alias("ResolvedDate"),
+        F.when(F.col("event_id") % OPEN_EVERY != 0, resolved).alias("ResolvedDate"),
         hours.alias("ResolutionTimeHours"),
         (F.col("event_id") % 2 == 1).alias("PriorityFlag"),
         "Region",
@@ -173,12 +177,13 @@ def _copies(feed: DataFrame, table: str, nth: int) -> DataFrame:
 
 
 def with_odd_rows(feed: DataFrame, table: str) -> DataFrame:
-    """The feed and rows under keys of their own that break rules of the gates: empty, zero or late values."""
+    """The feed and rows under keys of their own that break rules of the gates: empty, zero or late values, no delivery."""
     changed: list[dict] = {
         "staging_sales": [
             {"UnitsSold": F.lit(0)},
             {"DateKey": F.lit(LATE_DATE).cast("date")},
             {"SalesAmount": F.lit(None).cast("decimal(10,2)")},
+            {"DeliveryID": -F.col("DeliveryID")},
         ],
         "staging_deliveries": [
             {"RouteID": F.lit(None).cast("string")},
@@ -191,6 +196,7 @@ def with_odd_rows(feed: DataFrame, table: str) -> DataFrame:
         ],
         "staging_exceptions": [
             {"DateReported": F.lit(None).cast("date")},
+            {"DeliveryID": -F.col("DeliveryID")},
         ],
     }[table]
     key = {

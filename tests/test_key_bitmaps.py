@@ -9,18 +9,18 @@ import pytest
 from pyspark.sql import functions as F
 
 from haulmart.contracts import contract
-from haulmart.operators.integrity import key_words, reference_orphans
+from haulmart.operators.integrity import Reference, key_words, reference_orphans
 
 FACT = contract("fact_routes")
 COLUMNS = [fk.column for fk in FACT.foreign_keys]
+REFERENCES = [Reference(fk.column, "f", fk.column, fk.ref_table, fk.ref_column) for fk in FACT.foreign_keys]
 
 
 def orphans(spark, rows, dims):
-    fact = spark.createDataFrame(rows, ", ".join(f"{c} bigint" for c in COLUMNS)).repartition(3)
-    refs = {fk.ref_table: (fk.ref_column, keys) for fk, keys in zip(FACT.foreign_keys, dims)}
-    found = reference_orphans(
-        fact, FACT, COLUMNS, lambda t: spark.createDataFrame([(k,) for k in refs[t][1]], f"{refs[t][0]} bigint")
-    )
+    tables = {"f": spark.createDataFrame(rows, ", ".join(f"{c} bigint" for c in COLUMNS)).repartition(3)}
+    for fk, keys in zip(FACT.foreign_keys, dims):
+        tables[fk.ref_table] = spark.createDataFrame([(k,) for k in keys], f"{fk.ref_column} bigint")
+    found = reference_orphans(REFERENCES, tables.__getitem__)
     return {r.fact_column: r.bad_rows for r in found.collect()}
 
 
@@ -54,8 +54,8 @@ def test_one_key_for_a_third_of_the_rows(spark):
 
 
 def test_far_keys_are_words_of_their_own(spark):
-    pairs = spark.range(0, 128).select(F.lit("c").alias("fact_column"), F.col("id").alias("_ref"))
-    far = spark.createDataFrame([("c", 10**17), ("c", 10**17 + 1), ("c", -5)], "fact_column string, _ref bigint")
+    pairs = spark.range(0, 128).select(F.lit("c").alias("_name"), F.col("id").alias("_ref"))
+    far = spark.createDataFrame([("c", 10**17), ("c", 10**17 + 1), ("c", -5)], "_name string, _ref bigint")
     words = {r._word: (bin(r._bits & (2**64 - 1)).count("1"), r._rows) for r in key_words(pairs.union(far)).collect()}
     assert Counter(words.values()) == {(64, 64): 2, (2, 2): 1, (1, 1): 1}
 
@@ -64,7 +64,7 @@ def test_sound_load_reads_the_fact_once(spark):
     """The second look at the fact is dropped at run time when no word lacks a key."""
     fact = spark.range(1, 400).select(*[F.col("id").alias(c) for c in COLUMNS])
     dims = {fk.ref_table: spark.range(1, 400).select(F.col("id").alias(fk.ref_column)) for fk in FACT.foreign_keys}
-    found = reference_orphans(fact, FACT, COLUMNS, dims.__getitem__)
+    found = reference_orphans(REFERENCES, ({"f": fact} | dims).__getitem__, few=True)
     assert {r.bad_rows for r in found.collect()} == {0}
     # Of the final plan, what ran.
     plan = found._jdf.queryExecution().executedPlan().toString()
