@@ -6,7 +6,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmart.sources.workspace import Workspace
+from haulmart.sources.workspace import Workspace, remove
 
 BATCH_BYTES = 32 << 20
 
@@ -22,8 +22,36 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
-def workspace(df: DataFrame) -> Workspace:
-    return Workspace(df.sparkSession)
+class Tables(Workspace):
+    """Working tables of one operator; a table goes after its last reader."""
+
+    def __init__(self, spark: SparkSession):
+        super().__init__(spark)
+        self.paths: dict[str, list[str]] = {}
+
+    def store(self, df: DataFrame, name: str) -> str:
+        path = super().store(df, name)
+        self.paths.setdefault(name, []).append(path)
+        return path
+
+    def drop(self, *names: str) -> None:
+        """Remove all tables stored under these names; what reads them must have been written."""
+        for name in names:
+            for path in self.paths.pop(name, []):
+                remove(self.spark, path)
+
+
+def workspace(df: DataFrame) -> Tables:
+    return Tables(df.sparkSession)
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Names for working columns that no column of ``df`` has, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    mark = "_"
+    while any(f"{mark}{name}" in taken for name in names):
+        mark += "_"
+    return [f"{mark}{name}" for name in names]
 
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:

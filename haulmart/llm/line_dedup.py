@@ -1,67 +1,78 @@
 """Line dedup across a corpus: equal lines and lines within a few edits of an earlier one.
 
 A segment-partition edit join in DataFrame functions. For a threshold of t edits
-a line has t+1 segments, of a size that its length class fixes. Of two lines
-within t edits one segment, with at most as many edits on its left as its
-number and the rest on its right, is untouched; so the first segments are looked
-up at their place from the start, the last at theirs from the end, and those
-between at a few places around. Every distinct line is looked up once, whatever
-the number of its copies. Lines that share a segment with another line, few, are
-fetched; pairs are verified by a banded bit-parallel automaton. Lines below
-``LEAST_CHARS`` code points have no segments: of those that have a word only
+a line has t+2 segments, of a size that its length class fixes, half of them
+counted from its start and half from its end. Each edit touches one segment at
+most, so two lines within t edits have at least two segments in common: the pairs
+of segments are the keys. Of the first two, the last two, or the first and the
+last nothing is outside, so they are at their own places; with two edits an inner
+segment of another pair has one edit outside and is looked up at one place around,
+too. Every distinct line is looked up once, whatever the number of its copies.
+Lines that share a pair meet if their lengths, and the characters that come an odd
+number of times, allow so few edits; a banded bit-parallel automaton decides. Lines
+below ``LEAST_CHARS`` code points have no segments: of those that have a word only
 equal ones are repeats.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulmart.llm.frames import workspace
+from haulmart.llm.frames import free_names, workspace
 
-# Shorter lines are near to equal ones only. Length classes double from here on.
+# Shorter lines are near to equal ones only. A length class has so many lengths.
 LEAST_CHARS = 20
+CLASS_CHARS = 10
 WORD = r"[^\x20\x09-\x0D]"
 # Edits up to which lines are near, by the shorter line's class: one below 40 code points, else two.
 SHORT_EDITS, LONG_EDITS = 1, 2
 LONG_CHARS = 2 * LEAST_CHARS
-BROADCAST_LINES = 500_000
 
 
-def segment_keys(edits: int, low: str, line: str, length: str) -> tuple[list[str], list[str]]:
-    """SQL of the keys of a line in the class that begins at ``low``: at its segments' own places, and around."""
+def pair_keys(edits: int, low: str) -> tuple[list[str], list[str]]:
+    """SQL of a line's keys in the class that begins at ``low``: pairs of segments at their own places, and around."""
+    size = f"({low} div {edits + 2})"
+
+    def from_start(i: int, n: int = 1, shift: int = 0) -> str:
+        return f"substring(line, {i} * {size} + 1 + {shift}, {n} * {size})"
+
+    def from_end(i: int, n: int = 1, shift: int = 0) -> str:
+        return f"substring(line, len - {i} * {size} + 1 + {shift}, {n} * {size})"
+
+    # The first two, the last two, the first and the last: nothing is on the far side of them.
+    parts = [(from_start(0, 2), "''", 0), (from_end(2, 2), "''", 0), (from_start(0), from_end(1), 0)]
+    if edits == 2:
+        # One edit is outside each inner segment.
+        for a in (-1, 0, 1):
+            parts += [(from_start(0), from_end(2, 1, a), a), (from_start(1, 1, a), from_end(1), a)]
+            parts += [(from_start(1, 1, a), from_end(2, 1, b), a or b) for b in (-1, 0, 1)]
+    # Keys of one kind have one number, whatever the place.
+    kinds = [0, 1, 2] + [3, 4, 5, 5, 5] * 3
     own, around = [], []
-    size = f"({low} div {edits + 1})"
-    for i in range(edits + 1):
-        from_start = i <= edits - i
-        reach = min(i, edits - i)
-        for shift in range(-reach, reach + 1):
-            place = f"{i} * {size} + 1 + {shift}" if from_start else f"{length} - {edits + 1 - i} * {size} + 1 + {shift}"
-            key = f"xxhash64(CAST({low} AS BIGINT), {i}, substring({line}, {place}, {size}))"
-            (around if shift else own).append(key)
+    for kind, (first, second, shift) in zip(kinds, parts):
+        (around if shift else own).append(f"xxhash64(CAST({low} AS BIGINT), {kind}, {first}, {second})")
     return own, around
 
 
 def keys_of_line() -> tuple[Column, Column]:
     """Keys in the line's own class and, if it is barely too long for it, in the class below."""
+    low = f"(len - len % {CLASS_CHARS})"
     columns = []
-    low = f"shiftleft({LEAST_CHARS}, length(bin(len div {LEAST_CHARS})) - 1)"
     for which in (0, 1):
-        short = segment_keys(SHORT_EDITS, "low", "line", "len")[which]
-        long = segment_keys(LONG_EDITS, "low", "line", "len")[which]
-        below_short = segment_keys(SHORT_EDITS, "(low div 2)", "line", "len")[which]
-        below_long = segment_keys(LONG_EDITS, "(low div 2)", "line", "len")[which]
 
-        def listed(keys: list[str]) -> str:
+        def listed(edits: int, begin: str) -> str:
+            keys = pair_keys(edits, begin)[which]
             return f"array({', '.join(keys)})" if keys else "cast(array() as array<bigint>)"
 
+        below = f"({low} - {CLASS_CHARS})"
         columns.append(
-            f"if(len < {LEAST_CHARS}, cast(array() as array<bigint>), concat(if(low < {LONG_CHARS}, {listed(short)}, {listed(long)}),"
-            f" case when low = {LONG_CHARS} and len < low + {SHORT_EDITS} then {listed(below_short)}"
-            f" when low > {LONG_CHARS} and len < low + {LONG_EDITS} then {listed(below_long)}"
-            " else cast(array() as array<bigint>) end))"
+            f"concat(if(len < {LONG_CHARS}, {listed(SHORT_EDITS, low)}, {listed(LONG_EDITS, low)}),"
+            f" case when {low} > {LEAST_CHARS} and {low} <= {LONG_CHARS} and len - {low} < {SHORT_EDITS} then {listed(SHORT_EDITS, below)}"
+            f" when {low} > {LONG_CHARS} and len - {low} < {LONG_EDITS} then {listed(LONG_EDITS, below)}"
+            " else cast(array() as array<bigint>) end)"
         )
-    return tuple(F.expr(c.replace("low", low)) for c in columns)
+    return tuple(F.expr(c) for c in columns)
 
 
 def within(edits: int, a: str, b: str) -> str:
@@ -97,112 +108,103 @@ def rows_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"))
 
 
-def counts(line: Column, short_lines: bool) -> Column:
-    """Whether a line can be a repeat: a long one or, if asked for, a short one with a word."""
-    long = F.char_length(line) >= LEAST_CHARS
-    return long | line.rlike(WORD) if short_lines else long
+def counts(line: Column) -> Column:
+    """Whether a line can be a repeat: it has a word, or ``LEAST_CHARS`` code points."""
+    return (F.char_length(line) >= LEAST_CHARS) | line.rlike(WORD)
 
 
-def lines_of(rows: DataFrame, short_lines: bool) -> DataFrame:
-    """Lines that count; ``line_id`` is their MD5."""
-    return (
-        rows.select("doc_id", "row", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-        .withColumn("len", F.char_length("line"))
-        .where(counts(F.col("line"), short_lines))
-        .withColumn("line_id", F.unhex(F.md5("line")))
+def first_lines(rows: DataFrame) -> DataFrame:
+    """Each distinct line, by its MD5, at its first place; with its text if it can be near to others."""
+    lines = rows.select("doc_id", "row", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).where(counts(F.col("line")))
+    keyed = lines.select(
+        F.unhex(F.md5("line")).alias("line_id"),
+        F.struct("doc_id", "row", "line_no").alias("place"),
+        F.when(F.char_length("line") >= LEAST_CHARS, F.col("line")).alias("line"),
     )
+    return keyed.groupBy("line_id").agg(F.min("place").alias("place"), F.any_value("line").alias("line"))
 
 
-def first_lines(rows: DataFrame, short_lines: bool) -> DataFrame:
-    """Each distinct line at its first place, with its segment keys, none for a short line."""
+def near_lines(firsts: DataFrame, place) -> DataFrame:
+    """``n`` of the distinct lines that are within a few edits of one whose first place is earlier."""
     own, around = keys_of_line()
-    keyed = lines_of(rows, short_lines).select(
-        "line_id", "len", F.struct("doc_id", "row", "line_no").alias("place"), own.alias("own"), around.alias("around")
-    )
-    return keyed.groupBy("line_id").agg(
-        F.min("place").alias("place"), F.any_value("len").alias("len"), F.any_value("own").alias("own"), F.any_value("around").alias("around")
-    )
-
-
-def near_lines(rows: DataFrame, firsts: DataFrame, place) -> DataFrame:
-    """``line_id`` of the distinct lines that are within a few edits of one whose first place is earlier."""
-    keyed = firsts.select("line_id", F.explode("own").alias("key"), F.lit(True).alias("own")).unionByName(
-        firsts.select("line_id", F.explode("around").alias("key"), F.lit(False).alias("own"))
-    )
-    together = Window.partitionBy("key")
-    # A segment matters if two lines have it, one of them at its own place.
-    shared = (
-        keyed.withColumn("n", F.count("*").over(together))
-        .withColumn("indexed", F.max("own").over(together))
-        .where((F.col("n") > 1) & F.col("indexed"))
-        .select("key", "line_id", "own")
-    )
-    shared = place.materialize(shared, "shared_segments")
-    wanted = place.materialize(shared.select("line_id").distinct(), "candidate_lines")
-    few = wanted.count() <= BROADCAST_LINES
-    ids = wanted.withColumnRenamed("line_id", "wanted")
-    text = (
-        lines_of(rows, False)
-        .select("line_id", "line", "len")
-        .join(F.broadcast(ids) if few else ids, F.col("line_id") == F.col("wanted"), "left_semi")
-        .dropDuplicates(["line_id"])
+    long = firsts.where("line IS NOT NULL").select("n", "line", F.char_length("line").alias("len"))
+    keyed = long.select("n", own.alias("own"), around.alias("around"))
+    keyed = keyed.select("n", F.explode("own").alias("key"), F.lit(True).alias("own")).unionByName(
+        keyed.select("n", F.explode("around").alias("key"), F.lit(False).alias("own"))
     )
+    keyed = place.materialize(keyed.distinct(), "segment_pairs")
+    # A pair of segments matters if two lines have it, one of them at its own place.
+    met = keyed.groupBy("key").agg(F.count("*").alias("rows"), F.bool_or("own").alias("indexed"))
+    met = met.where("rows > 1 AND indexed").select(F.col("key").alias("_key"))
+    shared = place.materialize(keyed.join(met, F.col("key") == F.col("_key"), "left_semi"), "shared_pairs")
+    place.drop("segment_pairs")
+
+    # Which characters come an odd number of times: an edit changes two of the bits at most.
+    odd = F.expr("aggregate(split(line, ''), 0L, (x, c) -> x ^ shiftleft(1L, ascii(c) & 63))")
+    known = firsts.where("line IS NOT NULL").select("n", "place", F.char_length("line").alias("len"), "line")
+    wanted = shared.select(F.col("n").alias("wanted")).distinct()
     known = place.materialize(
-        text.join(firsts.select(F.col("line_id").alias("_id"), "place"), F.col("line_id") == F.col("_id")).drop("_id"),
-        "candidate_texts",
+        known.join(wanted, F.col("n") == F.col("wanted"), "left_semi").withColumn("odd", odd), "candidate_lines"
     )
-    sided = shared.join(known, "line_id")
+    sided = shared.join(known.drop("line"), "n")
     a = sided.select([F.col(c).alias(f"a_{c}") for c in sided.columns])
     b = sided.select([F.col(c).alias(f"b_{c}") for c in sided.columns])
     allowed = edits_for("least(a_len, b_len)")
-    # Spark's own banded distance in the condition: a frequent segment makes no pairs of lines far apart.
-    near = F.expr(
-        "a_key = b_key and a_place < b_place and (a_own or b_own)"
-        f" and abs(a_len - b_len) <= {allowed} and coalesce(nullif(levenshtein(a_line, b_line, {LONG_EDITS}), -1), {LONG_EDITS + 1}) <= {allowed}"
+    met = a.join(
+        b,
+        F.expr(
+            f"a_key = b_key and a_place < b_place and (a_own or b_own) and abs(a_len - b_len) <= {allowed}"
+            f" and bit_count(a_odd ^ b_odd) <= 2 * {allowed}"
+        ),
+    )
+    pairs = place.materialize(met.select("a_n", "b_n").distinct(), "line_pairs")
+    texts = known.select("n", "line")
+    read = pairs.join(texts.select(F.col("n").alias("a_n"), F.col("line").alias("a_line")), "a_n").join(
+        texts.select(F.col("n").alias("b_n"), F.col("line").alias("b_line")), "b_n"
     )
-    pairs = a.join(b, near).select("a_line", "b_line", "a_len", "b_len", "b_line_id").distinct()
     # The characters are bound as lambda variables: as columns they would be split anew at each of their uses.
-    near = f"if(least(a_len, b_len) < {LONG_CHARS}, {within(SHORT_EDITS, 'x', 'y')}, {within(LONG_EDITS, 'x', 'y')})"
+    near = f"if(least(char_length(a_line), char_length(b_line)) < {LONG_CHARS}, {within(SHORT_EDITS, 'x', 'y')}, {within(LONG_EDITS, 'x', 'y')})"
     verified = F.expr(
         f"get(transform(array(split(a_line, '')), x -> get(transform(array(split(b_line, '')), y -> {near}), 0)), 0)"
     )
-    return pairs.where(verified).select(F.col("b_line_id").alias("line_id")).distinct()
+    return read.where(verified).select(F.col("b_n").alias("n")).distinct()
 
 
-def kept_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short_lines: bool = False) -> DataFrame:
+def kept_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, row, kept``: for each document the numbers of its lines that count and stay."""
     place = workspace(docs)
     rows = rows_of(docs, id_col, text_col)
-    firsts = place.materialize(first_lines(rows, short_lines), "first_lines")
-    near = near_lines(rows, firsts, place)
-    stay = firsts.join(near, "line_id", "left_anti")
+    firsts = place.materialize(first_lines(rows).withColumn("n", F.monotonically_increasing_id()), "first_lines")
+    near = place.materialize(near_lines(firsts, place), "near_lines")
+    for name in ("shared_pairs", "candidate_lines", "line_pairs"):
+        place.drop(name)
+    stay = firsts.select("n", "place").join(near, "n", "left_anti")
     return stay.groupBy(F.col("place.doc_id").alias("doc_id"), F.col("place.row").alias("row")).agg(
         F.collect_list("place.line_no").alias("kept")
     )
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short_lines: bool = False) -> DataFrame:
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every line taken out that equals, or is within a few edits of, an earlier one.
 
     Lines come in the order of document id (null first), a hash of the text for rows
     with equal ids, and place in the text; the first of equal lines stays unless
-    it is near an earlier line. Lines below ``LEAST_CHARS`` code points stay unless
-    ``short_lines`` is set; then those with a word go if they equal an earlier
-    line, and only lines without a word stay. A document that loses all lines keeps its row, with an empty text; a null text
-    becomes empty. Rows equal in id and text lose the same lines. All other
-    columns are kept as they are.
+    it is near an earlier line. Of lines below ``LEAST_CHARS`` code points, those
+    with a word go if they equal an earlier line, and those without one stay. A
+    document that loses all lines keeps its row, with an empty text; a null text
+    becomes empty. Rows equal in id and text lose the same lines. An empty table
+    gives no rows. All other columns are kept as they are, whatever their names.
     """
-    taken = {"_id", "_row", "_kept", "_lines"} & set(docs.columns)
-    if taken:
-        raise ValueError(f"columns are taken: {sorted(taken)}")
-    kept = kept_places(docs, id_col, text_col, short_lines).select(
-        F.col("doc_id").alias("_id"), F.col("row").alias("_row"), F.col("kept").alias("_kept")
+    own_id, own_row, kept, lines = free_names(docs, "id", "row", "kept", "lines")
+    stay = kept_places(docs, id_col, text_col).select(
+        F.col("doc_id").alias(own_id), F.col("row").alias(own_row), F.col("kept").alias(kept)
     )
-    text = F.coalesce(docs[text_col], F.lit(""))
-    joined = docs.join(
-        kept, docs[id_col].cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_row")), "left"
-    ).withColumn("_lines", F.split(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), "\n"))
-    others = F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), lambda i: ~counts(F.get("_lines", i), short_lines))
-    places = F.array_sort(F.concat(F.coalesce("_kept", F.expr("cast(array() as array<int>)")), others))
-    clean = F.array_join(F.transform(places, lambda i: F.get("_lines", i)), "\n")
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    split = docs.withColumn(lines, F.split(text, "\n"))
+    joined = split.join(
+        stay, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(own_id)) & (F.xxhash64(text) == F.col(own_row)), "left"
+    )
+    others = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: ~counts(F.get(lines, i)))
+    places = F.array_sort(F.concat(F.coalesce(kept, F.expr("cast(array() as array<int>)")), others))
+    clean = F.array_join(F.transform(places, lambda i: F.get(lines, i)), "\n")
     return joined.select(*[clean.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])

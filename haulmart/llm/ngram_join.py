@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haulmart.llm.frames import partitions, texts, workspace
+from haulmart.llm.frames import free_names, partitions, texts, workspace
 from haulmart.llm.text import arange_each, distinct_each, shingles, slices
 
 WORDS = 5
@@ -618,5 +618,6 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     named = similar_documents(docs, id_col, text_col)
     gone = named.where(F.col("component_id").isNotNull() & ~F.col("component_id").eqNullSafe(F.col("doc_id")))
-    gone = gone.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col].cast("long").eqNullSafe(F.col("_gone")), "left_anti")
+    (own,) = free_names(docs, "gone")
+    gone = gone.select(F.col("doc_id").alias(own)).distinct()
+    return docs.join(gone, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(own)), "left_anti")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from haulmart.llm.frames import bounded_batches, workspace
+from haulmart.llm.frames import bounded_batches, free_names, workspace
 from haulmart.llm.text import WORD_SPACE, plain, slices, words
 
 # Base rules, as the contract states them.
@@ -182,10 +182,12 @@ def verdict(prefix: str = "") -> Column:
 def with_thresholds(frame: DataFrame, limits: DataFrame, groups: int, lang: Column, source: Column) -> DataFrame:
     """Join by language and source, null being a value; broadcast up to ``BROADCAST_GROUPS`` groups."""
     names = [c for c in limits.columns if c not in ("lang", "source")]
-    right = limits.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), *names)
+    own_lang, own_source = free_names(frame, "lang", "source")
+    right = limits.select(F.col("lang").alias(own_lang), F.col("source").alias(own_source), *names)
     if groups <= BROADCAST_GROUPS:
         right = F.broadcast(right)
-    return frame.join(right, lang.eqNullSafe(F.col("_lang")) & source.eqNullSafe(F.col("_source")), "left").drop("_lang", "_source")
+    joined = frame.join(right, lang.eqNullSafe(F.col(own_lang)) & source.eqNullSafe(F.col(own_source)), "left")
+    return joined.drop(own_lang, own_source)
 
 
 def judged(
@@ -223,12 +225,14 @@ def kept_documents(
     """
     place = workspace(docs)
     bounded_batches(docs.sparkSession)
+    columns = [f"`{c}`" for c in docs.columns]
+    # The input's columns have numbers for names meanwhile, so that no name clashes.
+    given = docs
+    docs = given.select(*[F.col(c).alias(f"c{k}") for k, c in enumerate(columns)])
+    text_col, lang_col, source_col = (f"c{given.columns.index(c)}" for c in (text_col, lang_col, source_col))
     prefix = "_quality_"
     kept = list(docs.columns)
-    schema_of = docs.select(*[F.col(f"`{c}`") for c in kept]).schema
-    for name in (f"{prefix}text", *[prefix + c for c in COUNTS]):
-        if name in kept:
-            raise ValueError(f"column {name} is taken")
+    schema_of = docs.schema
     groups = docs.select(
         docs[lang_col].alias("lang"), docs[source_col].alias("source"), F.coalesce(docs[text_col], F.lit("")).alias("text")
     ).mapInArrow(
@@ -242,4 +246,4 @@ def kept_documents(
         lambda b: count_batches(b, kept, prefix), schema
     )
     joined = with_thresholds(again, limits, limits.count(), again[lang_col], again[source_col])
-    return joined.where(verdict(prefix)).select(*kept)
+    return joined.where(verdict(prefix)).select(*[F.col(c).alias(name) for c, name in zip(kept, given.columns)])

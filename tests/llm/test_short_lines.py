@@ -4,28 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from haulmart.llm import line_dedup, queries
-from tests.llm.conftest import WORD
-from tests.llm.test_text_operators import distance, line_rows
-
-
-def deduplicated(rows):
-    """Lines with a word lose equal ones, those of 20 code points or more also near ones."""
-    lines = {}
-    for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
-        for k, line in enumerate((text or "").split("\n")):
-            if WORD.search(line):
-                lines.setdefault(line, (str(doc_id), k))
-    known = [x for x in lines if len(x) >= 20]
-    near = {
-        b
-        for n, b in enumerate(known)
-        if any(abs(len(a) - len(b)) <= 2 and distance(a, b) <= (1 if min(len(a), len(b)) < 40 else 2) for a in known[:n])
-    }
-    stay = {place for line, place in lines.items() if line not in near}
-    return sorted(
-        (str(i), "\n".join(x for k, x in enumerate((t or "").split("\n")) if not WORD.search(x) or (str(i), k) in stay))
-        for i, t in rows
-    )
+from tests.llm.test_text_operators import deduplicated, line_rows
 
 
 def short_rows():
@@ -36,13 +15,13 @@ def short_rows():
 
 def test_short_lines_lose_equal_ones(docs_of):
     rows = short_rows()
-    clean = line_dedup.without_repeats(docs_of(rows).drop("_id").repartition(4), short_lines=True)
+    clean = line_dedup.without_repeats(docs_of(rows).repartition(4))
     assert sorted((str(r.doc_id), r.text) for r in clean.collect()) == deduplicated(rows)
 
 
 def test_query_and_stage_take_short_lines(spark, docs_of, tmp_path):
     rows = [(i, t) for i, t in short_rows() if i is not None]
-    frame = docs_of(rows).drop("_id")
+    frame = docs_of(rows)
     expected = dict(deduplicated(rows))
     stage = corpus_pipeline.line_repeats(spark, frame, "")
     assert {str(r.doc_id): r.text for r in stage.collect()} == expected

@@ -61,6 +61,15 @@ def test_kept_documents_are_the_judged_ones(docs_of):
     assert {r.doc_id for r in left.collect()} == kept
 
 
+def test_clashing_columns_pass_the_filter(docs_of):
+    names = ("_lang", "_source", "most_symbols", "_quality_text", "_quality_n_words", "c0", "a.b", "n_words")
+    frame = docs_of(corpus()).select("*", *[F.lit(name).alias(name) for name in names])
+    left = quality.kept_documents(frame)
+    assert left.columns == frame.columns
+    assert all(r[name] == name for r in left.collect() for name in names)
+    assert sorted(r.doc_id for r in left.collect()) == sorted(r.doc_id for r in quality.kept_documents(docs_of(corpus())).collect())
+
+
 def test_quantiles_do_not_depend_on_the_partitions(docs_of):
     frame = docs_of(corpus())
     few, many = (sorted(map(str, quality.judged(frame.repartition(n)).collect())) for n in (1, 7))
@@ -77,22 +86,22 @@ def distance(a, b):
 
 
 def deduplicated(rows):
+    """Lines with a word lose equal ones, those of 20 code points or more also near ones."""
     lines = {}
-    order = sorted((r for r in rows), key=lambda r: (r[0] is not None, r[0] or 0))
-    for doc_id, text in order:
+    for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
         for k, line in enumerate((text or "").split("\n")):
-            if len(line) >= 20:
+            if WORD.search(line):
                 lines.setdefault(line, (str(doc_id), k))
-    known = list(lines)
-    stay = {
-        lines[b]
+    known = [x for x in lines if len(x) >= 20]
+    near = {
+        b
         for n, b in enumerate(known)
-        if not any(
-            abs(len(a) - len(b)) <= 2 and distance(a, b) <= (1 if min(len(a), len(b)) < 40 else 2) for a in known[:n]
-        )
+        if any(abs(len(a) - len(b)) <= 2 and distance(a, b) <= (1 if min(len(a), len(b)) < 40 else 2) for a in known[:n])
     }
+    stay = {place for line, place in lines.items() if line not in near}
     return sorted(
-        (str(i), "\n".join(x for k, x in enumerate((t or "").split("\n")) if len(x) < 20 or (str(i), k) in stay)) for i, t in rows
+        (str(i), "\n".join(x for k, x in enumerate((t or "").split("\n")) if not WORD.search(x) or (str(i), k) in stay))
+        for i, t in rows
     )
 
 
@@ -113,16 +122,34 @@ def line_rows():
 
 
 def test_line_dedup(docs_of):
+    """Extra columns keep their values, also those named like working columns."""
     rows = line_rows()
-    frame = docs_of(rows)
-    clean = line_dedup.without_repeats(frame.drop("_id").repartition(4))
-    assert clean.columns == frame.drop("_id").columns
-    assert sorted((str(r.doc_id), r.text) for r in clean.collect()) == deduplicated(rows)
-
-
-def test_line_dedup_refuses_its_own_column_names(docs_of):
-    with pytest.raises(ValueError):
-        line_dedup.without_repeats(docs_of(line_rows()))
+    names = ("_row", "_kept", "_lines", "__id", "a.b")
+    frame = docs_of(rows).select("*", *[F.lit(name).alias(name) for name in names])
+    clean = line_dedup.without_repeats(frame.repartition(4))
+    assert clean.columns == frame.columns
+    found = clean.collect()
+    assert sorted((str(r.doc_id), r.text) for r in found) == deduplicated(rows)
+    assert all(r[name] == name for r in found for name in names) and {r._id for r in found} == {"x"}
+
+
+@pytest.mark.parametrize("length", [20, 30, 39, 40, 51])
+def test_every_pair_of_near_lines_is_found(docs_of, length):
+    """Edits at every place, at the lengths where classes and thresholds change."""
+    rng = __import__("random").Random(length)
+    line = "".join(rng.choice("abcdefgh ") for _ in range(length - 1)) + "z"
+    rows = []
+    for k in range(60):
+        # A letter of each document's own makes lines of different documents differ, but for the two of a pair.
+        own = "".join(rng.choice("ijklmnopqrstuv") if rng.random() < 0.5 else c for c in line)
+        changed = list(own)
+        for _ in range(1 if length < 40 else 2):
+            at = rng.randrange(len(changed) + 1)
+            kind = rng.choice(["in", "out", "change"])
+            changed[at : at + (kind != "in")] = [] if kind == "out" else [rng.choice("äöü")]
+        rows += [(2 * k, own), (2 * k + 1, "".join(changed))]
+    found = {(str(r.doc_id), r.text) for r in line_dedup.without_repeats(docs_of(rows)).collect()}
+    assert found == set(deduplicated(rows))
 
 
 def test_bit_parallel_distance(spark):
@@ -143,7 +170,7 @@ def test_no_rows(docs_of, spark):
     empty = docs_of([])
     assert quality.judged(empty).count() == 0
     assert quality.kept_documents(empty).count() == 0
-    assert line_dedup.without_repeats(empty.drop("_id")).count() == 0
+    assert line_dedup.without_repeats(empty).count() == 0
     templates = spark.createDataFrame(licenses.TEMPLATES, "template string, text string")
     assert licenses.scan_licenses(empty, templates).count() == 0
     assert licenses.scan_licenses(docs_of(odd_documents()), templates.limit(0)).count() == 0
