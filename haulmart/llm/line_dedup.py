@@ -1,15 +1,15 @@
 """Line dedup across a corpus: equal lines and lines within a few edits of an earlier one.
 
 A segment-partition edit join in DataFrame functions. For a threshold of t edits
-a line has t+2 segments, of a size that its length class fixes, half of them
-counted from its start and half from its end. Each edit touches one segment at
-most, so two lines within t edits have at least two segments in common: the pairs
-of segments are the keys. Of the first two, the last two, or the first and the
-last nothing is outside, so they are at their own places; with two edits an inner
-segment of another pair has one edit outside and is looked up at one place around,
-too. Every distinct line is looked up once, whatever the number of its copies.
-Lines that share a pair meet if their lengths, and the characters that come an odd
-number of times, allow so few edits; a banded bit-parallel automaton decides. Lines
+a line has t+1 segments, of a size that its length class fixes. Of two lines
+within t edits one segment, with at most as many edits on its left as its
+number and the rest on its right, is untouched; so the first segments are looked
+up at their place from the start, the last at theirs from the end, and those
+between at a few places around. Classes are narrow, so that the segments are
+nearly a whole part of the line each. Every distinct line is looked up once,
+whatever the number of its copies. Lines that share a segment meet if their
+lengths, and the characters that come an odd number of times, allow so few edits;
+a banded bit-parallel automaton decides. Lines
 below ``LEAST_CHARS`` code points have no segments: of those that have a word only
 equal ones are repeats.
 """
@@ -30,49 +30,33 @@ SHORT_EDITS, LONG_EDITS = 1, 2
 LONG_CHARS = 2 * LEAST_CHARS
 
 
-def pair_keys(edits: int, low: str) -> tuple[list[str], list[str]]:
-    """SQL of a line's keys in the class that begins at ``low``: pairs of segments at their own places, and around."""
-    size = f"({low} div {edits + 2})"
+def segment_keys(edits: int, low: str) -> list[str]:
+    """SQL of a line's keys in the class that begins at ``low``: of its segments at their own places, and around."""
+    keys = []
+    size = f"({low} div {edits + 1})"
+    for i in range(edits + 1):
+        reach = min(i, edits - i)
+        for shift in range(-reach, reach + 1):
+            first = f"{i} * {size} + 1 + {shift}" if i <= edits - i else f"len - {edits + 1 - i} * {size} + 1 + {shift}"
+            key = f"xxhash64(CAST({low} AS BIGINT), {i}, substring(line, {first}, {size}))"
+            keys.append(f"named_struct('key', {key}, 'own', {'false' if shift else 'true'})")
+    return keys
 
-    def from_start(i: int, n: int = 1, shift: int = 0) -> str:
-        return f"substring(line, {i} * {size} + 1 + {shift}, {n} * {size})"
 
-    def from_end(i: int, n: int = 1, shift: int = 0) -> str:
-        return f"substring(line, len - {i} * {size} + 1 + {shift}, {n} * {size})"
-
-    # The first two, the last two, the first and the last: nothing is on the far side of them.
-    parts = [(from_start(0, 2), "''", 0), (from_end(2, 2), "''", 0), (from_start(0), from_end(1), 0)]
-    if edits == 2:
-        # One edit is outside each inner segment.
-        for a in (-1, 0, 1):
-            parts += [(from_start(0), from_end(2, 1, a), a), (from_start(1, 1, a), from_end(1), a)]
-            parts += [(from_start(1, 1, a), from_end(2, 1, b), a or b) for b in (-1, 0, 1)]
-    # Keys of one kind have one number, whatever the place.
-    kinds = [0, 1, 2] + [3, 4, 5, 5, 5] * 3
-    own, around = [], []
-    for kind, (first, second, shift) in zip(kinds, parts):
-        (around if shift else own).append(f"xxhash64(CAST({low} AS BIGINT), {kind}, {first}, {second})")
-    return own, around
-
-
-def keys_of_line() -> tuple[Column, Column]:
+def keys_of_line() -> str:
     """Keys in the line's own class and, if it is barely too long for it, in the class below."""
     low = f"(len - len % {CLASS_CHARS})"
-    columns = []
-    for which in (0, 1):
+    below = f"({low} - {CLASS_CHARS})"
 
-        def listed(edits: int, begin: str) -> str:
-            keys = pair_keys(edits, begin)[which]
-            return f"array({', '.join(keys)})" if keys else "cast(array() as array<bigint>)"
+    def listed(edits: int, begin: str) -> str:
+        return f"array({', '.join(segment_keys(edits, begin))})"
 
-        below = f"({low} - {CLASS_CHARS})"
-        columns.append(
-            f"concat(if(len < {LONG_CHARS}, {listed(SHORT_EDITS, low)}, {listed(LONG_EDITS, low)}),"
-            f" case when {low} > {LEAST_CHARS} and {low} <= {LONG_CHARS} and len - {low} < {SHORT_EDITS} then {listed(SHORT_EDITS, below)}"
-            f" when {low} > {LONG_CHARS} and len - {low} < {LONG_EDITS} then {listed(LONG_EDITS, below)}"
-            " else cast(array() as array<bigint>) end)"
-        )
-    return tuple(F.expr(c) for c in columns)
+    return (
+        f"concat(if(len < {LONG_CHARS}, {listed(SHORT_EDITS, low)}, {listed(LONG_EDITS, low)}),"
+        f" case when {low} > {LEAST_CHARS} and {low} <= {LONG_CHARS} and len - {low} < {SHORT_EDITS} then {listed(SHORT_EDITS, below)}"
+        f" when {low} > {LONG_CHARS} and len - {low} < {LONG_EDITS} then {listed(LONG_EDITS, below)}"
+        " else cast(array() as array<struct<key:bigint,own:boolean>>) end)"
+    )
 
 
 def within(edits: int, a: str, b: str) -> str:
@@ -126,18 +110,13 @@ def first_lines(rows: DataFrame) -> DataFrame:
 
 def near_lines(firsts: DataFrame, place) -> DataFrame:
     """``n`` of the distinct lines that are within a few edits of one whose first place is earlier."""
-    own, around = keys_of_line()
     long = firsts.where("line IS NOT NULL").select("n", "line", F.char_length("line").alias("len"))
-    keyed = long.select("n", own.alias("own"), around.alias("around"))
-    keyed = keyed.select("n", F.explode("own").alias("key"), F.lit(True).alias("own")).unionByName(
-        keyed.select("n", F.explode("around").alias("key"), F.lit(False).alias("own"))
-    )
-    keyed = place.materialize(keyed.distinct(), "segment_pairs")
-    # A pair of segments matters if two lines have it, one of them at its own place.
+    keyed = place.materialize(long.selectExpr("n", f"inline({keys_of_line()})"), "segments")
+    # A segment matters if two lines have it, one of them at its own place.
     met = keyed.groupBy("key").agg(F.count("*").alias("rows"), F.bool_or("own").alias("indexed"))
     met = met.where("rows > 1 AND indexed").select(F.col("key").alias("_key"))
-    shared = place.materialize(keyed.join(met, F.col("key") == F.col("_key"), "left_semi"), "shared_pairs")
-    place.drop("segment_pairs")
+    shared = place.materialize(keyed.join(met, F.col("key") == F.col("_key"), "left_semi"), "shared_segments")
+    place.drop("segments")
 
     # Which characters come an odd number of times: an edit changes two of the bits at most.
     odd = F.expr("aggregate(split(line, ''), 0L, (x, c) -> x ^ shiftleft(1L, ascii(c) & 63))")
@@ -176,7 +155,7 @@ def kept_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = rows_of(docs, id_col, text_col)
     firsts = place.materialize(first_lines(rows).withColumn("n", F.monotonically_increasing_id()), "first_lines")
     near = place.materialize(near_lines(firsts, place), "near_lines")
-    for name in ("shared_pairs", "candidate_lines", "line_pairs"):
+    for name in ("shared_segments", "candidate_lines", "line_pairs"):
         place.drop(name)
     stay = firsts.select("n", "place").join(near, "n", "left_anti")
     return stay.groupBy(F.col("place.doc_id").alias("doc_id"), F.col("place.row").alias("row")).agg(
