@@ -24,39 +24,47 @@ from haulmart.llm.frames import free_names, workspace
 # Shorter lines are near to equal ones only. A length class has so many lengths.
 LEAST_CHARS = 20
 CLASS_CHARS = 10
+# Keys and lines, of less than 100 bytes each, up to which they are broadcast.
+BROADCAST_KEYS, BROADCAST_LINES = 2_000_000, 500_000
 WORD = r"[^\x20\x09-\x0D]"
 # Edits up to which lines are near, by the shorter line's class: one below 40 code points, else two.
 SHORT_EDITS, LONG_EDITS = 1, 2
 LONG_CHARS = 2 * LEAST_CHARS
 
 
-def segment_keys(edits: int, low: str) -> list[str]:
+def segment_keys(edits: int, low: str) -> tuple[list[str], list[str]]:
     """SQL of a line's keys in the class that begins at ``low``: of its segments at their own places, and around."""
-    keys = []
+    own, around = [], []
     size = f"({low} div {edits + 1})"
     for i in range(edits + 1):
         reach = min(i, edits - i)
         for shift in range(-reach, reach + 1):
             first = f"{i} * {size} + 1 + {shift}" if i <= edits - i else f"len - {edits + 1 - i} * {size} + 1 + {shift}"
             key = f"xxhash64(CAST({low} AS BIGINT), {i}, substring(line, {first}, {size}))"
-            keys.append(f"named_struct('key', {key}, 'own', {'false' if shift else 'true'})")
-    return keys
+            (around if shift else own).append(key)
+    return own, around
 
 
-def keys_of_line() -> str:
-    """Keys in the line's own class and, if it is barely too long for it, in the class below."""
+def keys_of_line() -> tuple[Column, Column]:
+    """Keys in the line's own class and, if it is barely too long for it, in the class below; none of a short line."""
     low = f"(len - len % {CLASS_CHARS})"
     below = f"({low} - {CLASS_CHARS})"
+    none = "cast(array() as array<bigint>)"
+    columns = []
+    for which in (0, 1):
 
-    def listed(edits: int, begin: str) -> str:
-        return f"array({', '.join(segment_keys(edits, begin))})"
+        def listed(edits: int, begin: str) -> str:
+            keys = segment_keys(edits, begin)[which]
+            return f"array({', '.join(keys)})" if keys else none
 
-    return (
-        f"concat(if(len < {LONG_CHARS}, {listed(SHORT_EDITS, low)}, {listed(LONG_EDITS, low)}),"
-        f" case when {low} > {LEAST_CHARS} and {low} <= {LONG_CHARS} and len - {low} < {SHORT_EDITS} then {listed(SHORT_EDITS, below)}"
-        f" when {low} > {LONG_CHARS} and len - {low} < {LONG_EDITS} then {listed(LONG_EDITS, below)}"
-        " else cast(array() as array<struct<key:bigint,own:boolean>>) end)"
-    )
+        columns.append(
+            f"concat(case when len < {LEAST_CHARS} then {none} when len < {LONG_CHARS} then {listed(SHORT_EDITS, low)}"
+            f" else {listed(LONG_EDITS, low)} end,"
+            f" case when {low} > {LEAST_CHARS} and {low} <= {LONG_CHARS} and len - {low} < {SHORT_EDITS} then {listed(SHORT_EDITS, below)}"
+            f" when {low} > {LONG_CHARS} and len - {low} < {LONG_EDITS} then {listed(LONG_EDITS, below)}"
+            f" else {none} end)"
+        )
+    return tuple(F.expr(c) for c in columns)
 
 
 def within(edits: int, a: str, b: str) -> str:
@@ -97,34 +105,45 @@ def counts(line: Column) -> Column:
     return (F.char_length(line) >= LEAST_CHARS) | line.rlike(WORD)
 
 
-def first_lines(rows: DataFrame) -> DataFrame:
-    """Each distinct line, by its MD5, at its first place; with its text if it can be near to others."""
+def lines_of(rows: DataFrame) -> DataFrame:
+    """Lines that count; ``line_id`` is their MD5."""
     lines = rows.select("doc_id", "row", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).where(counts(F.col("line")))
-    keyed = lines.select(
-        F.unhex(F.md5("line")).alias("line_id"),
-        F.struct("doc_id", "row", "line_no").alias("place"),
-        F.when(F.char_length("line") >= LEAST_CHARS, F.col("line")).alias("line"),
+    return lines.withColumns({"len": F.char_length("line"), "line_id": F.unhex(F.md5("line"))})
+
+
+def first_lines(rows: DataFrame) -> DataFrame:
+    """Each distinct line, by its MD5, at its first place, with its segments' keys; texts aren't shuffled."""
+    own, around = keys_of_line()
+    keyed = lines_of(rows).select("line_id", F.struct("doc_id", "row", "line_no").alias("place"), own.alias("own"), around.alias("around"))
+    return keyed.groupBy("line_id").agg(
+        F.min("place").alias("place"), F.any_value("own").alias("own"), F.any_value("around").alias("around")
     )
-    return keyed.groupBy("line_id").agg(F.min("place").alias("place"), F.any_value("line").alias("line"))
 
 
-def near_lines(firsts: DataFrame, place) -> DataFrame:
+def near_lines(rows: DataFrame, firsts: DataFrame, place) -> DataFrame:
     """``n`` of the distinct lines that are within a few edits of one whose first place is earlier."""
-    long = firsts.where("line IS NOT NULL").select("n", "line", F.char_length("line").alias("len"))
-    keyed = place.materialize(long.selectExpr("n", f"inline({keys_of_line()})"), "segments")
+    keyed = firsts.select("n", F.explode("own").alias("key"), F.lit(True).alias("own")).unionByName(
+        firsts.select("n", F.explode("around").alias("key"), F.lit(False).alias("own"))
+    )
     # A segment matters if two lines have it, one of them at its own place.
     met = keyed.groupBy("key").agg(F.count("*").alias("rows"), F.bool_or("own").alias("indexed"))
-    met = met.where("rows > 1 AND indexed").select(F.col("key").alias("_key"))
-    shared = place.materialize(keyed.join(met, F.col("key") == F.col("_key"), "left_semi"), "shared_segments")
-    place.drop("segments")
+    met = place.materialize(met.where("rows > 1 AND indexed").select(F.col("key").alias("_key")), "met_segments")
+    few = met.count() <= BROADCAST_KEYS
+    shared = place.materialize(
+        keyed.join(F.broadcast(met) if few else met, F.col("key") == F.col("_key"), "left_semi"), "shared_segments"
+    )
 
     # Which characters come an odd number of times: an edit changes two of the bits at most.
     odd = F.expr("aggregate(split(line, ''), 0L, (x, c) -> x ^ shiftleft(1L, ascii(c) & 63))")
-    known = firsts.where("line IS NOT NULL").select("n", "place", F.char_length("line").alias("len"), "line")
     wanted = shared.select(F.col("n").alias("wanted")).distinct()
-    known = place.materialize(
-        known.join(wanted, F.col("n") == F.col("wanted"), "left_semi").withColumn("odd", odd), "candidate_lines"
-    )
+    asked = firsts.select("n", "place", F.col("line_id").alias("asked"))
+    asked = place.materialize(asked.join(wanted, F.col("n") == F.col("wanted"), "left_semi"), "asked_lines")
+    few = asked.count() <= BROADCAST_LINES
+    text = lines_of(rows).select("line_id", "line", "len", "doc_id", "row", "line_no")
+    # A line is taken from its first place, once but for rows that are equal.
+    first = F.expr("line_id = asked AND place <=> named_struct('doc_id', doc_id, 'row', row, 'line_no', line_no)")
+    known = text.join(F.broadcast(asked) if few else asked, first).select("n", "place", "len", "line")
+    known = place.materialize(known.dropDuplicates(["n"]).withColumn("odd", odd), "candidate_lines")
     sided = shared.join(known.drop("line"), "n")
     a = sided.select([F.col(c).alias(f"a_{c}") for c in sided.columns])
     b = sided.select([F.col(c).alias(f"b_{c}") for c in sided.columns])
@@ -154,8 +173,8 @@ def kept_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     place = workspace(docs)
     rows = rows_of(docs, id_col, text_col)
     firsts = place.materialize(first_lines(rows).withColumn("n", F.monotonically_increasing_id()), "first_lines")
-    near = place.materialize(near_lines(firsts, place), "near_lines")
-    for name in ("shared_segments", "candidate_lines", "line_pairs"):
+    near = place.materialize(near_lines(rows, firsts, place), "near_lines")
+    for name in ("met_segments", "shared_segments", "asked_lines", "candidate_lines", "line_pairs"):
         place.drop(name)
     stay = firsts.select("n", "place").join(near, "n", "left_anti")
     return stay.groupBy(F.col("place.doc_id").alias("doc_id"), F.col("place.row").alias("row")).agg(
