@@ -259,9 +259,11 @@ def named_nodes(join: Join) -> DataFrame:
     least = named.groupBy("component").agg(F.min("doc_id").alias("group_id"), F.count("*").alias("rows")).where("rows > 1")
     least = least.select(F.col("component").alias("_component"), "group_id")
     named = named.select(F.col("node").alias("_node"), "component").distinct()
-    return join.place.materialize(
+    groups = join.place.materialize(
         named.join(least, F.col("component") == F.col("_component")).select("_node", "group_id"), "groups"
     )
+    join.place.drop("bands", "shared_bands", "labelled_bands", "components")
+    return groups
 
 
 def with_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:

@@ -438,7 +438,10 @@ def components(edges: DataFrame, place) -> DataFrame:
             break
         state = now
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("component"))
-    return place.materialize(current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots).distinct(), "components")
+    named = current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots).distinct()
+    named = place.materialize(named, "components")
+    place.drop("edges", "large_star", "small_star")
+    return named
 
 
 class Join:
@@ -489,7 +492,9 @@ class Join:
             packed.select(F.col("node").alias("b"), F.col("packed").alias("packed_b")), "b"
         )
         links = sided.select("a", "b", "packed_a", "packed_b").mapInArrow(verify_batches, "a long, b long")
-        return self.place.materialize(links, f"links_{name}")
+        links = self.place.materialize(links, f"links_{name}")
+        self.place.drop(f"pairs_{name}", f"wanted_{name}", f"texts_{name}")
+        return links
 
     def linked(self) -> DataFrame:
         """``node, component`` of every node that links with another."""
@@ -518,10 +523,12 @@ class Join:
         for nearest in (True, False):
             # Runs that have become one component are done with for good.
             runs = self.crossing(runs, found)
+            self.place.drop("runs")
             fresh = self.verified(self.candidates(runs, points, nearest), "nearest" if nearest else "all")
             if not fresh.isEmpty():
                 edges = found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(fresh)
                 found = components(edges, self.place)
+        self.place.drop("signatures", "crossing_runs", "long_runs")
         return found
 
     def within_bound(self, pairs: DataFrame, points: DataFrame) -> DataFrame:
@@ -600,6 +607,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     members = join.members.join(found, F.col("node") == F.col("_node"), "left")
     members = members.withColumn("component", F.coalesce("component", "node"))
     members = join.place.materialize(members.select("doc_id", "n", "component"), "members")
+    join.place.drop("profiles", "components", *[name for name in join.place.paths if name.startswith("links_")])
     least = members.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
     least = least.withColumnRenamed("component", "_component")
     named = members.join(least, F.col("component") == F.col("_component"), "left")
