@@ -40,6 +40,8 @@ STEP = 0.05
 LARGE = 1.05
 # Times that what rounding leaves over is solved once more.
 AGAIN = 3
+# Bytes of text that are tokenized at once; ids, pieces and their orders take many times as much.
+SLICE = 4 << 20
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, "
 
 
@@ -193,7 +195,7 @@ def cut_batches(batches, vocabulary, end_id: int, capacity: int, with_ids: bool)
     seen = np.zeros(capacity + 1, np.int64)
     width = 2 if vocabulary.value.size() <= 2**16 > end_id else 4
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", SLICE):
             ids, counts = encoder(part.column("text"))
             joined = np.insert(ids, np.cumsum(counts), end_id).astype("<u4")
             counts = counts + 1
