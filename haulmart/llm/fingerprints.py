@@ -4,9 +4,9 @@ A fingerprint has ``PERMUTATIONS`` components, each the lowest value that one
 universal hash function (multiply, add, in 32 bits) takes over the distinct
 five-word shingles of the text, of which 16 bits are kept. The share of equal
 components estimates the Jaccard similarity of two texts. For near duplicates,
-bands of components are joined in Spark and the pairs verified on whole texts:
-first those with the smallest node of each band, then all pairs of a band whose
-nodes are in different components still.
+texts with a band of components in common meet and are verified on whole texts:
+each with the one that leads most of its bands, then, of the bands whose texts are
+in different components still, all that the group counts of their shingles let through.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulmart.llm.frames import id_buckets, partitions, texts, with_bucket
-from haulmart.llm.ngram_join import LINK_PERCENT, Join, components, group_counts, node_ids
+from haulmart.llm.ngram_join import Join, group_counts, node_ids
 from haulmart.llm.text import distinct_each, shingles, slices
 
 WORDS = 5
@@ -30,8 +30,6 @@ PERMUTATIONS = 128
 SEED = 20240229
 # Four components a band: a pair of similarity 0.75 shares a band of 32 but for 5 in a million.
 BAND = 4
-# Nodes of a band that are paired in one block; larger bands are cut into several.
-BAND_BLOCK = 512
 BROADCAST_NODES = 500_000
 # Shingles hashed at once, so that a block of all permutations stays in the cache.
 BLOCK = 1024
@@ -161,7 +159,7 @@ def _edited(read: DataFrame, seed: int | None) -> DataFrame:
 
 
 def band_batches(batches, seed: int):
-    """``node, n, keys, counts`` of each node of a task: a key per band and its group counts."""
+    """``node, n, tokens, counts`` of each node of a task: a token per band and its group counts."""
     done: set[int] = set()
     for batch in batches:
         for part in slices(batch, "text"):
@@ -183,67 +181,15 @@ def band_batches(batches, seed: int):
                 pa.array(np.arange(len(n) + 1) * many, pa.int32()), pa.array(np.array(keys, np.uint64).ravel().view(np.int64))
             )
             yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes), pa.array(n), listed, group_counts(hashes, n)], ["node", "n", "keys", "counts"]
+                [pa.array(nodes), pa.array(n), listed, group_counts(hashes, n)], ["node", "n", "tokens", "counts"]
             )
 
 
-def block_pairs(rows: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of nodes of one key and different components, of sizes that allow a link.
-
-    ``rows`` has ``key, node, n, component, many``, the last the number of rows of the
-    key. Its rows are dealt to blocks, and each two blocks of a key are joined by themselves.
-    """
-    blocks = F.ceil(F.col("many") / BAND_BLOCK).cast("int")
-    placed = rows.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("last", blocks - 1)
-    left = placed.select(
-        "key", F.col("block").alias("i"), F.explode(F.sequence("block", "last")).alias("j"),
-        F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("component").alias("component_x"),
-    )
-    right = placed.select(
-        F.col("key").alias("key_y"), F.explode(F.sequence(F.lit(0), "block")).alias("i_y"), F.col("block").alias("j_y"),
-        F.col("node").alias("y"), F.col("n").alias("n_y"), F.col("component").alias("component_y"),
-    )
-    met = left.join(
-        right,
-        F.expr(
-            "key = key_y and i = i_y and j = j_y and component_x != component_y and (i < j or x < y)"
-            f" and 100 * least(n_x, n_y) >= {LINK_PERCENT} * greatest(n_x, n_y)"
-        ),
-    )
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-
-
 def near_nodes(join: Join) -> DataFrame:
     """``node, component`` of every node that verified pairs of a shared band connect with another."""
     seed = join.seed
-    schema = "node long, n long, keys array<long>, counts binary"
-    prints = join.place.materialize(join.docs.mapInArrow(lambda b: band_batches(b, seed), schema), "bands")
-    bands = prints.select(F.explode("keys").alias("key"), "node", "n")
-    leads = bands.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("last"))
-    leads = leads.where("lead != last").select(F.col("key").alias("_key"), "lead")
-    shared = join.place.materialize(
-        bands.join(leads, F.col("key") == F.col("_key")).where("node != lead").select("key", "node", "n", "lead"), "shared_bands"
-    )
-    points = prints.select("node", "n", "counts").dropDuplicates(["node"])
-    # The lead itself has been held against every node of its band.
-    led = join.within_bound(shared.select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(), points)
-    found = components(join.verified(led, "leads"), join.place)
-
-    label = found.select(F.col("node").alias("_node"), "component")
-    labelled = shared.select("key", "node", "n").join(label, F.col("node") == F.col("_node"), "left")
-    labelled = join.place.materialize(
-        labelled.select("key", "node", "n", F.coalesce("component", "node").alias("component")).distinct(), "labelled_bands"
-    )
-    crossing = labelled.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("many")
-    )
-    crossing = crossing.where("low != high").select(F.col("key").alias("_key"), "many")
-    rows = labelled.join(crossing, F.col("key") == F.col("_key")).drop("_key")
-    fresh = join.verified(join.within_bound(block_pairs(rows), points), "bands")
-    if fresh.isEmpty():
-        return found
-    edges = found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(fresh)
-    return components(edges, join.place)
+    schema = "node long, n long, tokens array<long>, counts binary"
+    return join.linked(join.place.materialize(join.docs.mapInArrow(lambda b: band_batches(b, seed), schema), "signatures"))
 
 
 def joined_texts(docs: DataFrame, id_col: str, text_col: str) -> Join:
@@ -262,7 +208,7 @@ def named_nodes(join: Join) -> DataFrame:
     groups = join.place.materialize(
         named.join(least, F.col("component") == F.col("_component")).select("_node", "group_id"), "groups"
     )
-    join.place.drop("bands", "shared_bands", "labelled_bands", "components")
+    join.place.drop("components", *[name for name in join.place.paths if name.startswith("links_")])
     return groups
 
 
@@ -277,17 +223,19 @@ def with_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
 def grouped_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``edited_fingerprints`` and each one's ``group_id`` of ``near_duplicates``."""
     join = joined_texts(docs, id_col, text_col)
-    return with_groups(_edited(texts(docs, id_col, text_col), join.seed), named_nodes(join))
+    groups = named_nodes(join)
+    join.place.drop("profiles")
+    return with_groups(_edited(texts(docs, id_col, text_col), join.seed), groups)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, group_id``: groups of documents that verified pairs of a shared band connect.
 
-    Each node is verified against the first node of each of its bands; then, of the
-    bands whose nodes are in several components still, all pairs of different
-    components are, in blocks of bounded size. Pairs whose sizes or group counts
-    exclude a link are not read. ``group_id`` is the smallest id of the group; a
-    document without words is its own group.
+    Bands of few nodes are paired at once; of longer ones each node is verified
+    against the node that leads most of its bands, then those whose nodes are in
+    several components still are searched in blocks of bounded size. Pairs whose
+    sizes or group counts exclude a link are not read. ``group_id`` is the smallest
+    id of the group; a document without words is its own group.
     """
     join = joined_texts(docs, id_col, text_col)
     return with_groups(join.members.select("doc_id", "node"), named_nodes(join))

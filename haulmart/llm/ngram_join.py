@@ -496,9 +496,12 @@ class Join:
         self.place.drop(f"pairs_{name}", f"wanted_{name}", f"texts_{name}")
         return links
 
-    def linked(self) -> DataFrame:
-        """``node, component`` of every node that links with another."""
-        signatures = self.signatures()
+    def linked(self, signatures: DataFrame) -> DataFrame:
+        """``node, component`` of every node that links with another.
+
+        Nodes meet where they have one of their ``tokens`` in common; of ``self.signatures()``
+        any two that link have, of other ``node, n, tokens, counts`` those of the caller's choice.
+        """
         points = signatures.select("node", "n", "counts").dropDuplicates(["node"])
         rows = signatures.select(F.explode("tokens").alias("token"), "node", "n")
         sorted_rows = rows.repartition(partitions(self.spark), "token").sortWithinPartitions("token", "node")
@@ -603,7 +606,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     low = F.translate(docs[text_col], "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     join = Join(docs.select(docs[id_col].alias("doc_id"), low.alias("text")))
-    found = join.linked().select(F.col("node").alias("_node"), "component")
+    found = join.linked(join.signatures()).select(F.col("node").alias("_node"), "component")
     members = join.members.join(found, F.col("node") == F.col("_node"), "left")
     members = members.withColumn("component", F.coalesce("component", "node"))
     members = join.place.materialize(members.select("doc_id", "n", "component"), "members")

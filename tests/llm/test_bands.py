@@ -6,7 +6,7 @@ import random
 
 import pytest
 
-from haulmart.llm import fingerprints, queries
+from haulmart.llm import fingerprints, ngram_join, queries
 from tests.llm.conftest import odd_documents, prose
 from tests.llm.test_pairs import components_of
 
@@ -26,9 +26,10 @@ def family(members=60):
     return rows
 
 
-@pytest.mark.parametrize("block", [512, 7])
-def test_family_of_a_template(docs_of, monkeypatch, block):
-    monkeypatch.setattr(fingerprints, "BAND_BLOCK", block, raising=False)
+@pytest.mark.parametrize(("leaf", "block"), [(ngram_join.LEAF_RUN, ngram_join.RUN_BLOCK), (2, 2048), (1, 7)])
+def test_family_of_a_template(docs_of, monkeypatch, leaf, block):
+    monkeypatch.setattr(ngram_join, "LEAF_RUN", leaf)
+    monkeypatch.setattr(ngram_join, "RUN_BLOCK", block)
     rows = family()
     groups = sorted((r.doc_id, r.group_id) for r in fingerprints.near_duplicates(docs_of(rows).repartition(3)).collect())
     assert groups == sorted((int(i), int(c)) for i, _, c in components_of(rows))
