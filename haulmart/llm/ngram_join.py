@@ -43,13 +43,15 @@ LINK_PERCENT = 75
 OFTEN_IN_SLICE = 2
 FREQUENT_FROM = 24
 FREQUENT_TOKENS = 1 << 17
-LEAF_RUN = 24
+LEAF_RUN = 8
 LEAF, FANOUT = 16, 8
 # Points of one R-tree, about; a longer run is dealt to several. Points that are looked up at once.
 RUN_BLOCK, ASKED_AT_ONCE = 2048, 1024
 # Rows of runs that are paired at once.
 PAIRED_ROWS = 100_000
 LEAST_GROUPS, MOST_GROUPS = 16, 4096
+# Hashes of a group on average, at most.
+GROUP_COUNT = 1 << 14
 # First tokens that a point carries, to meet another one in few of the runs they share.
 FIRST_TOKENS = 4
 BROADCAST_NODES = 500_000
@@ -68,7 +70,9 @@ def prefix_size(n: np.ndarray) -> np.ndarray:
 def groups_of(n: np.ndarray) -> np.ndarray:
     """Binary logarithm of the number of groups: about a quarter of the set's size."""
     wanted = np.ceil(np.log2(np.maximum(n, 4) / 4)).astype(np.int64)
-    return np.clip(wanted, LEAST_GROUPS.bit_length() - 1, MOST_GROUPS.bit_length() - 1)
+    # Beyond the usual most, so many that a group's count stays far below 16 bits.
+    needed = np.ceil(np.log2(np.maximum(n, 1) / GROUP_COUNT)).astype(np.int64)
+    return np.maximum(np.clip(wanted, LEAST_GROUPS.bit_length() - 1, MOST_GROUPS.bit_length() - 1), needed)
 
 
 def node_ids(hashes: np.ndarray, counts: np.ndarray, seed: int) -> np.ndarray:
