@@ -506,11 +506,12 @@ class Join:
         Nodes meet where they have one of their ``tokens`` in common; of ``self.signatures()``
         any two that link have, of other ``node, n, tokens, counts`` those of the caller's choice.
         """
-        points = signatures.select("node", "n", "counts").dropDuplicates(["node"])
+        points = self.place.materialize(signatures.select("node", "n", "counts").dropDuplicates(["node"]), "points")
         rows = signatures.select(F.explode("tokens").alias("token"), "node", "n")
         sorted_rows = rows.repartition(partitions(self.spark), "token").sortWithinPartitions("token", "node")
         schema = "a long, b long, token long, node long, n long, lead long, lead_n long"
         runs = self.place.materialize(sorted_rows.mapInArrow(run_batches, schema), "runs")
+        self.place.drop("signatures")
 
         pairs = self.within_bound(runs.where("a is not null").select("a", "b").distinct(), points)
         links = self.verified(pairs, "short_runs")
@@ -535,7 +536,7 @@ class Join:
             if not fresh.isEmpty():
                 edges = found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(fresh)
                 found = components(edges, self.place)
-        self.place.drop("signatures", "crossing_runs", "long_runs")
+        self.place.drop("points", "crossing_runs", "long_runs")
         return found
 
     def within_bound(self, pairs: DataFrame, points: DataFrame) -> DataFrame:
