@@ -118,10 +118,12 @@ class Pipeline:
     def _load_into(
         self, run_id: str, feeds: Mapping[str, str], workspace: Workspace
     ) -> LoadResult:
+        # Of loads that run at once the first to publish goes on, the others stop.
+        seen = {layer: self.snapshots.last_entry(layer) for layer in ("staging", "dw")}
         ingested = self._stage(run_id, feeds, workspace)
         layers = Layers(workspace, lambda table: ingested[table].good, utc_now())
         staged = self._load_tables(run_id, layers, STAGING)
-        self.snapshots.publish("staging", run_id, staged)
+        self.snapshots.publish("staging", run_id, staged, after=seen["staging"])
 
         result = LoadResult(run_id, layers)
         options = self.gate_options
@@ -135,7 +137,7 @@ class Pipeline:
         loaded |= self._load_tables(run_id, layers, FACTS)
         # Checked before it is published: readers never see a bad load.
         self._gate(result, "Warehouse gate", WAREHOUSE_FAILED, gate_warehouse(layers, **options))
-        self.snapshots.publish("dw", run_id, loaded)
+        self.snapshots.publish("dw", run_id, loaded, after=seen["dw"])
         started = utc_now()
         views = publish_views(layers)
         self.log.log_step(run_id, "Publish views", started, len(views))

@@ -12,6 +12,7 @@ import tempfile
 import uuid
 from collections.abc import Collection
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -52,6 +53,24 @@ def remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file unless one of that name exists; of several writers one succeeds."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(target.getParent())
+    try:
+        out = system.create(target, False)
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return True
+
+
 class Workspace:
     """A private folder for the working tables of one run."""
 

@@ -12,7 +12,8 @@ from haulmart.plans import catalog, measures
 from haulmart.plans.pipeline import Pipeline, publish_views, published
 from haulmart.runlog import RunLog, utc_now
 from haulmart.sources.feeds import RejectedRows
-from haulmart.sources.snapshots import Published, SnapshotStore, reload_table
+from haulmart.sources import snapshots
+from haulmart.sources.snapshots import PublishConflict, Published, SnapshotStore, reload_table
 
 from tests.conftest import dec
 
@@ -157,6 +158,58 @@ def test_snapshots(spark, tmp_path):
     assert store.manifest().count() == 4
 
 
+def test_order_of_publications_is_not_the_clock(spark, tmp_path, monkeypatch):
+    class Earlier(snapshots.datetime):
+        @classmethod
+        def now(cls, tz=None):
+            return super().now(tz) - timedelta(days=1)
+
+    one, other = (SnapshotStore(spark, str(tmp_path)) for _ in range(2))
+    assert one.publish("dw", "a", {"t": Published("path-a", 1)}) == 1
+    monkeypatch.setattr(snapshots, "datetime", Earlier)
+    assert other.publish("dw", "b", {"t": Published("path-b", 2)}) == 2
+    assert one.newest_runs("dw", 2) == ["b", "a"]
+    at = {r.run_id: r.published_at for r in one.manifest().collect()}
+    assert at["b"] < at["a"]
+
+
+def test_second_publisher_is_told(spark, tmp_path):
+    one, other = (SnapshotStore(spark, str(tmp_path)) for _ in range(2))
+    seen = one.last_entry("dw"), other.last_entry("dw")
+    one.publish("dw", "a", {"t": Published("path-a", 1)}, after=seen[0])
+    with pytest.raises(PublishConflict, match="run b: entry 1 of layer dw"):
+        other.publish("dw", "b", {"t": Published("path-b", 2)}, after=seen[1])
+    assert other.newest_runs("dw", 9) == ["a"]
+    assert other.publish("dw", "b", {"t": Published("path-b", 2)}) == 2
+
+
+def test_unfinished_entry_is_not_read(spark, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path))
+    store.publish("dw", "a", {"t": Published("path-a", 1)})
+    whole = (tmp_path / "manifest/dw/000000000001.json").read_text()
+    (tmp_path / "manifest/dw/000000000002.json").write_text(whole[: len(whole) // 2].replace('"a"', '"b"'))
+    (tmp_path / "manifest/dw/000000000003.json").write_text("")
+    assert store.newest_runs("dw", 9) == ["a"]
+    assert store.publish("dw", "c", {"t": Published("path-c", 3)}) == 4
+    assert store.newest_run("dw") == "c"
+
+
+def test_load_stops_if_another_has_published(spark, tmp_path, monkeypatch):
+    load = Pipeline(spark, str(tmp_path))
+    theirs = {"t": Published("theirs", 1)}
+
+    def staged(run_id, feeds, workspace):
+        load.snapshots.publish("staging", "another", theirs)
+        return {}
+
+    monkeypatch.setattr(load, "_stage", staged)
+    monkeypatch.setattr(load, "_load_tables", lambda *_: {"t": Published("ours", 1)})
+    with pytest.raises(PublishConflict):
+        load.run({})
+    assert load.snapshots.current("staging") == theirs
+    assert load.log.runs().first().Status == "FAILED"
+
+
 def test_reload_replaces_rows(spark, tmp_path):
     path = str(tmp_path / "t")
     reload_table(spark.range(5), path)
