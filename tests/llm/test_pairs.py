@@ -129,3 +129,13 @@ def test_near_duplicates_by_bands(docs_of):
     rows = planted(5, 4)
     groups = sorted((r.doc_id, r.group_id) for r in fingerprints.near_duplicates(docs_of(rows)).collect())
     assert groups == sorted((int(i), int(c)) for i, _, c in components_of(rows))
+
+
+def test_group_counts_of_giant_sets_fit_16_bits():
+    sizes = np.array([1, 64, 10**6, 2**26, 2**28, 2**34])
+    groups = 1 << ngram_join.groups_of(sizes)
+    assert (sizes / groups <= 65535 / 2).all()
+    # Sets that may link are of one class or of neighbouring ones.
+    for n in sizes.tolist():
+        smaller = np.array([-(-75 * n // 100), n])
+        assert np.ptp(ngram_join.groups_of(smaller)) <= 1
