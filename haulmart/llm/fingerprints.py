@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulmart.llm.frames import id_buckets, partitions, texts, with_bucket
-from haulmart.llm.ngram_join import Join, group_counts, node_ids
+from haulmart.llm.ngram_join import Join, group_counts, node_ids, odd_groups
 from haulmart.llm.text import distinct_each, shingles, slices
 
 WORDS = 5
@@ -159,7 +159,7 @@ def _edited(read: DataFrame, seed: int | None) -> DataFrame:
 
 
 def band_batches(batches, seed: int):
-    """``node, n, tokens, counts`` of each node of a task: a token per band and its group counts."""
+    """``node, n, tokens, counts, odd`` of each node of a task: a token per band, its group counts and odd groups."""
     done: set[int] = set()
     for batch in batches:
         for part in slices(batch, "text"):
@@ -181,14 +181,15 @@ def band_batches(batches, seed: int):
                 pa.array(np.arange(len(n) + 1) * many, pa.int32()), pa.array(np.array(keys, np.uint64).ravel().view(np.int64))
             )
             yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes), pa.array(n), listed, group_counts(hashes, n)], ["node", "n", "tokens", "counts"]
+                [pa.array(nodes), pa.array(n), listed, group_counts(hashes, n), odd_groups(hashes, n)],
+                ["node", "n", "tokens", "counts", "odd"],
             )
 
 
 def near_nodes(join: Join) -> DataFrame:
     """``node, component`` of every node that verified pairs of a shared band connect with another."""
     seed = join.seed
-    schema = "node long, n long, tokens array<long>, counts binary"
+    schema = "node long, n long, tokens array<long>, counts binary, odd binary"
     return join.linked(join.place.materialize(join.docs.mapInArrow(lambda b: band_batches(b, seed), schema), "signatures"))
 
 
@@ -234,7 +235,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Bands of few nodes are paired at once; of longer ones each node is verified
     against the node that leads most of its bands, then those whose nodes are in
     several components still are searched in blocks of bounded size. Pairs whose
-    sizes or group counts exclude a link are not read. ``group_id`` is the smallest
+    sizes, group counts or odd groups exclude a link are not read. ``group_id`` is the smallest
     id of the group; a document without words is its own group.
     """
     join = joined_texts(docs, id_col, text_col)

@@ -8,9 +8,11 @@ most frequent tokens last. Nodes that share such a token stand in one *run*.
 Linking needs one path between any two nodes of a component, not all pairs:
 
 1. Tokens are hashed into groups; the counts of the groups are a node's point,
-   and the sum of the coordinates' minima bounds the overlap of two nodes. A run
-   of at most ``LEAF_RUN`` nodes is one leaf: its pairs, a bounded number per node,
-   meet once however many runs they share, and those within the bound are verified.
+   and the sum of the coordinates' minima bounds the overlap of two nodes. So does
+   the number of finer groups in which one node has an odd count and the other an
+   even one, for each of these takes a token that only one has. A run of at most
+   ``LEAF_RUN`` nodes is one leaf: its pairs, a bounded number per node, meet once
+   however many runs they share, and those within the bounds are verified.
 2. In a longer run each node is held against the node that leads most of its
    runs, and what is verified is joined into components. Runs within one component
    are done with. Of the others R-trees are made, one for each block of
@@ -52,6 +54,10 @@ PAIRED_ROWS = 100_000
 LEAST_GROUPS, MOST_GROUPS = 16, 4096
 # Hashes of a group on average, at most.
 GROUP_COUNT = 1 << 14
+# Groups whose odd counts are marked, per group that is counted, and their least number. Bytes of marks that
+# are compared at once.
+ODD_PER_GROUP, LEAST_ODD = 4, 512
+COMPARED_AT_ONCE = 16 << 20
 # First tokens that a point carries, to meet another one in few of the runs they share.
 FIRST_TOKENS = 4
 BROADCAST_NODES = 500_000
@@ -116,8 +122,33 @@ def group_counts(hashes: np.ndarray, n: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(bounds), pa.py_buffer(counts)])
 
 
+def odd_bits(level: np.ndarray) -> np.ndarray:
+    """The number of groups whose odd counts are marked, a power of two as the number of counted ones, 1 << level."""
+    return np.maximum(ODD_PER_GROUP << level, LEAST_ODD)
+
+
+def odd_groups(hashes: np.ndarray, n: np.ndarray) -> pa.Array:
+    """Each set's groups with an odd number of hashes, as bits."""
+    row = np.repeat(np.arange(len(n)), n)
+    bits = odd_bits(groups_of(n))
+    base = np.cumsum(bits) - bits
+    place = base[row] + (hashes & (bits[row] - 1).astype(np.uint64)).astype(np.int64)
+    odd = (np.bincount(place, minlength=int(bits.sum())) & 1).astype(np.uint8)
+    bounds = np.concatenate([[0], np.cumsum(bits) // 8]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(bounds), pa.py_buffer(np.packbits(odd, bitorder="little"))])
+
+
+def may_link(odd_a: np.ndarray, odd_b: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether sets of sizes a and b with these odd groups, in words of 64, can link.
+
+    A group that is odd in one set and even in the other has a hash that only one of them has.
+    """
+    apart = np.bitwise_count(odd_a ^ odd_b).sum(axis=1, dtype=np.int64)
+    return apart <= a + b - 2 * least_overlap(a, b)
+
+
 def signature_batches(batches, seed: int, frequent):
-    """``node, n, tokens, counts`` of each node of a task: its first tokens and its group counts."""
+    """``node, n, tokens, counts, odd`` of each node of a task: its first tokens, group counts and odd groups."""
     last = frequent.value
     done: set[int] = set()
     for batch in batches:
@@ -146,8 +177,9 @@ def signature_batches(batches, seed: int, frequent):
                     pa.array(n),
                     pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(chosen)),
                     group_counts(hashes, n),
+                    odd_groups(hashes, n),
                 ],
-                ["node", "n", "tokens", "counts"],
+                ["node", "n", "tokens", "counts", "odd"],
             )
 
 
@@ -240,7 +272,7 @@ def distinct_rows(pairs: np.ndarray) -> np.ndarray:
 
 
 def bound_batches(batches):
-    """The pairs of points whose sum of minima reaches the least overlap."""
+    """The pairs of points whose sum of minima reaches the least overlap, and whose odd groups allow it."""
     for batch in batches:
         n_a, n_b = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
         need = least_overlap(n_a, n_b)
@@ -250,6 +282,12 @@ def bound_batches(batches):
             groups = min(len(x), len(y))
             x, y = folded(x[None], groups)[0], folded(y[None], groups)[0]
             fits[k] = np.minimum(x, y).sum() >= need[k]
+        at = np.flatnonzero(fits)
+        odd_a, odd_b = (batch.column(c).take(pa.array(at)).to_pylist() for c in ("odd_a", "odd_b"))
+        for k, x, y in zip(at.tolist(), odd_a, odd_b):
+            groups = min(len(x), len(y)) // 8
+            x, y = folded_odd(x, groups)[None], folded_odd(y, groups)[None]
+            fits[k] = may_link(x, y, n_a[k : k + 1], n_b[k : k + 1])[0]
         yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(fits)) for c in ("a", "b")], ["a", "b"])
 
 
@@ -258,6 +296,11 @@ def folded(counts: np.ndarray, groups: int) -> np.ndarray:
     return counts.reshape(len(counts), -1, groups).sum(axis=1)
 
 
+def folded_odd(odd: bytes, words: int) -> np.ndarray:
+    """The same for marks of odd groups, in words of 64."""
+    return np.bitwise_xor.reduce(np.frombuffer(odd, "<u8").reshape(-1, words), axis=0)
+
+
 class RTree:
     """Points packed by size and then by their largest coordinates; each node has the maxima and sizes of its points."""
 
@@ -326,11 +369,12 @@ def tree_batches(batches, nearest: bool):
         points = np.stack([folded(np.frombuffer(c, "<u2").astype(np.int32)[None], 1 << level)[0] for c in rows["counts"].to_pylist()])
         # Tokens are compared by their upper 63 bits, so that -1 can stand for none.
         firsts = np.array([f + [-1] * (FIRST_TOKENS - len(f)) for f in rows["firsts"].to_pylist()], np.int64)
-        return points, *(rows[c].to_numpy() for c in ("n", "node", "component")), firsts
+        odd = np.stack([folded_odd(o, int(odd_bits(level)) // 64) for o in rows["odd"].to_pylist()])
+        return points, *(rows[c].to_numpy() for c in ("n", "node", "component")), firsts, odd
 
     def asked(tree: RTree, known, rows, of_tree: bool, token: int) -> pa.RecordBatch:
-        points, n, node, component, firsts = rows
-        _, known_n, known_node, known_component, known_firsts = known
+        points, n, node, component, firsts, odd = rows
+        _, known_n, known_node, known_component, known_firsts, known_odd = known
         query, point, bound = tree.search(points, n)
         fits = component[query] != known_component[point]
         if of_tree and not nearest:
@@ -339,6 +383,12 @@ def tree_batches(batches, nearest: bool):
         query, point, bound = query[fits], point[fits], bound[fits]
         fits = meets_here((token & (2**64 - 1)) >> 1, firsts[query], known_firsts[point])
         query, point, bound = query[fits], point[fits], bound[fits]
+        step = max(1, COMPARED_AT_ONCE // odd[:1].nbytes)
+        fits = np.zeros(len(query), bool)
+        for at in range(0, len(query), step):
+            q, p = query[at : at + step], point[at : at + step]
+            fits[at : at + step] = may_link(odd[q], known_odd[p], n[q], known_n[p])
+        query, point, bound = query[fits], point[fits], bound[fits]
         if nearest and len(query):
             order = np.lexsort((known_node[point], -bound / (n[query] + known_n[point]), query))
             query, point = query[order], point[order]
@@ -474,7 +524,7 @@ class Join:
         found = np.array([row.token for row in most.select("token").collect()], np.int64).view(np.uint64)
         frequent = self.spark.sparkContext.broadcast(np.sort(found))
         seed = self.seed
-        schema = "node long, n long, tokens array<long>, counts binary"
+        schema = "node long, n long, tokens array<long>, counts binary, odd binary"
         return self.place.materialize(self.docs.mapInArrow(lambda b: signature_batches(b, seed, frequent), schema), "signatures")
 
     def verified(self, pairs: DataFrame, name: str) -> DataFrame:
@@ -504,9 +554,9 @@ class Join:
         """``node, component`` of every node that links with another.
 
         Nodes meet where they have one of their ``tokens`` in common; of ``self.signatures()``
-        any two that link have, of other ``node, n, tokens, counts`` those of the caller's choice.
+        any two that link have, of other ``node, n, tokens, counts, odd`` those of the caller's choice.
         """
-        points = self.place.materialize(signatures.select("node", "n", "counts").dropDuplicates(["node"]), "points")
+        points = self.place.materialize(signatures.select("node", "n", "counts", "odd").dropDuplicates(["node"]), "points")
         rows = signatures.select(F.explode("tokens").alias("token"), "node", "n")
         sorted_rows = rows.repartition(partitions(self.spark), "token").sortWithinPartitions("token", "node")
         schema = "a long, b long, token long, node long, n long, lead long, lead_n long"
@@ -542,9 +592,9 @@ class Join:
     def within_bound(self, pairs: DataFrame, points: DataFrame) -> DataFrame:
         sided = pairs
         for side in ("a", "b"):
-            own = points.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("counts").alias(f"counts_{side}"))
+            own = points.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", "counts", "odd")])
             sided = sided.join(own, side)
-        columns = sided.select("a", "b", "n_a", "n_b", "counts_a", "counts_b")
+        columns = sided.select("a", "b", "n_a", "n_b", "counts_a", "counts_b", "odd_a", "odd_b")
         return columns.mapInArrow(bound_batches, "a long, b long")
 
     def crossing(self, runs: DataFrame, found: DataFrame) -> DataFrame:
@@ -564,8 +614,8 @@ class Join:
         firsts = crossing.groupBy("node").agg(
             F.slice(F.array_sort(F.collect_set(upper)), 1, FIRST_TOKENS).alias("firsts")
         )
-        classed = points.select("node", "counts", level.alias("level"))
-        lengths = crossing.join(classed, "node").groupBy("token", "level").agg(F.count("*").alias("many"))
+        classed = points.select("node", "counts", "odd", level.alias("level"))
+        lengths = crossing.join(classed.select("node", "level"), "node").groupBy("token", "level").agg(F.count("*").alias("many"))
         long = self.place.materialize(
             lengths.where(F.col("many") > RUN_BLOCK).select(F.col("token").alias("_token"), F.col("level").alias("_level"), "many"),
             "long_runs",
@@ -579,7 +629,7 @@ class Join:
             " array(struct(level, true as own)))"
         )
         spread = placed.withColumn("role", F.explode(roles)).select(
-            "token", F.col("role.level").alias("level"), F.col("role.own").alias("own"), "node", "n", "component", "counts", "firsts"
+            "token", F.col("role.level").alias("level"), F.col("role.own").alias("own"), "node", "n", "component", "counts", "odd", "firsts"
         )
         dealt = spread.join(
             F.broadcast(long) if few else long, (F.col("token") == F.col("_token")) & (F.col("level") == F.col("_level")), "left"
@@ -589,7 +639,7 @@ class Join:
         # Of two blocks of a run the lower one's points ask the higher one; for the nearest ones all ask all.
         asked = f"filter(sequence(0, last), x -> x >= home or {'true' if nearest else 'false'})"
         return dealt.withColumn("block", F.explode(F.expr(asked))).select(
-            "token", "level", "block", (F.col("block") == F.col("home")).alias("own"), "node", "n", "component", "counts", "firsts"
+            "token", "level", "block", (F.col("block") == F.col("home")).alias("own"), "node", "n", "component", "counts", "odd", "firsts"
         )
 
     def candidates(self, crossing: DataFrame, points: DataFrame, nearest: bool) -> DataFrame:

@@ -139,3 +139,39 @@ def test_group_counts_of_giant_sets_fit_16_bits():
     for n in sizes.tolist():
         smaller = np.array([-(-75 * n // 100), n])
         assert np.ptp(ngram_join.groups_of(smaller)) <= 1
+
+
+def test_odd_groups_keep_every_link_and_part_near_misses():
+    rng = np.random.default_rng(5)
+    for size in (6, 40, 300, 5000):
+        ours = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+        for kept in (0.3, 0.6, 0.86, 0.95):
+            theirs = np.unique(np.append(ours[: int(size * kept)], rng.integers(0, 2**63, size - int(size * kept)).astype(np.uint64)))
+            n = np.array([len(ours), len(theirs)])
+            odd = ngram_join.odd_groups(np.concatenate([ours, theirs]), n).to_pylist()
+            words = min(map(len, odd)) // 8
+            a, b = (ngram_join.folded_odd(o, words)[None] for o in odd)
+            common = len(np.intersect1d(ours, theirs))
+            passes = bool(ngram_join.may_link(a, b, n[:1], n[1:])[0])
+            if 100 * common >= 75 * (n.sum() - common):
+                assert passes
+            # The sums of minima of the counts let through what has half of its shingles in common.
+            elif size >= 40:
+                assert not passes
+
+
+def test_near_misses_of_a_family_are_not_paired(docs_of, monkeypatch):
+    """Texts of one template, 0.6 alike or so, share runs; pairs of all of them grew with the square of the family."""
+    template = prose(77, 400, 4000).split()
+    rows = []
+    for k in range(40):
+        words = list(template)
+        for place in range(k, 396, 40):
+            words[place] = f"v{k}x{place}"
+        rows.append((k, " ".join(words)))
+    paired = []
+    verified = ngram_join.Join.verified
+    monkeypatch.setattr(ngram_join.Join, "verified", lambda self, pairs, name: paired.append((name, pairs.count())) or verified(self, pairs, name))
+    named = ngram_join.similar_documents(docs_of(rows)).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in named) == components_of(rows)
+    assert dict(paired)["all"] <= len(rows)
