@@ -12,10 +12,13 @@ Linking needs one path between any two nodes of a component, not all pairs:
    the number of finer groups in which one node has an odd count and the other an
    even one, for each of these takes a token that only one has. A run of at most
    ``LEAF_RUN`` nodes is one leaf: its pairs, a bounded number per node, meet once
-   however many runs they share, and those within the bounds are verified.
-2. In a longer run each node is held against the node that leads most of its
-   runs, and what is verified is joined into components. Runs within one component
-   are done with. Of the others R-trees are made, one for each block of
+   however many runs they share, and those within the bounds are verified. In a
+   longer run so is each node with the node that leads most of its runs. What is
+   verified is joined into components.
+2. Runs within one component are done with. Of the others a node stays in a run
+   only if a node of another component has enough left from the shared token on and
+   shares none of the first ones before it: a pair that links does so in the run of
+   its first common token. Of what stays R-trees are made, one for each block of
    ``RUN_BLOCK`` nodes or so, in which the maxima of a subtree's points bound the
    overlap with all of them. One turn looks for each point's nearest one of another
    component in a block, the last for all that may still link.
@@ -60,6 +63,9 @@ ODD_PER_GROUP, LEAST_ODD = 4, 512
 COMPARED_AT_ONCE = 16 << 20
 # First tokens that a point carries, to meet another one in few of the runs they share.
 FIRST_TOKENS = 4
+# Nodes of a run whose pairs are looked at to leave out those that cannot link; in a longer run, or one of
+# more than a block, all stay. Pairs looked at at once.
+PRUNED_RUN, PRUNED_AT_ONCE = 1024, 500_000
 BROADCAST_NODES = 500_000
 VERIFIED_AT_ONCE = 1000
 
@@ -219,7 +225,7 @@ def run_batches(batches):
                     leads[: lengths[0]], lead_ns[: lengths[0]] = lead
                 of_long = np.repeat(is_long, lengths)
                 empty = pa.nulls(int(of_long.sum()), pa.int64())
-                long_rows = [rows[of_long, c] for c in range(3)]
+                long_rows = [rows[of_long, c] for c in range(4)]
                 out.append([empty, empty, *map(pa.array, [*long_rows, leads[of_long], lead_ns[of_long]])])
             if is_long[-1]:
                 if rows[begins[-1], 0] != long_token:
@@ -227,11 +233,11 @@ def run_batches(batches):
                 long_token = int(rows[begins[-1], 0])
             pairs = short_pairs(rows, begins[~is_long], lengths[~is_long])
             empty = pa.nulls(len(pairs), pa.int64())
-            out.append([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy()), *[empty] * 5])
+            out.append([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy()), *[empty] * 6])
         return rest, [pa.RecordBatch.from_arrays(columns, schema=RUN_SCHEMA) for columns in out]
 
     for batch in batches:
-        kept.append(np.column_stack([batch.column(c).to_numpy() for c in ("token", "node", "n")]))
+        kept.append(np.column_stack([batch.column(c).to_numpy() for c in ("token", "node", "n", "rest")]))
         size += batch.num_rows
         if size >= PAIRED_ROWS:
             rest, found = given(np.concatenate(kept), False)
@@ -241,11 +247,11 @@ def run_batches(batches):
         yield from given(np.concatenate(kept), True)[1]
 
 
-RUN_SCHEMA = pa.schema([(c, pa.int64()) for c in ("a", "b", "token", "node", "n", "lead", "lead_n")])
+RUN_SCHEMA = pa.schema([(c, pa.int64()) for c in ("a", "b", "token", "node", "n", "rest", "lead", "lead_n")])
 
 
 def short_pairs(rows: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Distinct pairs of nodes of one run whose sizes allow a link."""
+    """Distinct pairs of nodes of one run whose sizes, and what they have left from its token on, allow a link."""
     found = [np.zeros((0, 2), np.int64)]
     for length in np.unique(lengths[lengths > 1]).tolist():
         own = begins[lengths == length]
@@ -255,8 +261,7 @@ def short_pairs(rows: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> np
         for start in range(0, len(own), step):
             first = own[start : start + step, None]
             i, j = (first + left).ravel(), (first + right).ravel()
-            a, b = rows[i, 2], rows[j, 2]
-            fits = 100 * np.minimum(a, b) >= LINK_PERCENT * np.maximum(a, b)
+            fits = np.minimum(rows[i, 3], rows[j, 3]) >= least_overlap(rows[i, 2], rows[j, 2])
             i, j = i[fits], j[fits]
             pairs = np.column_stack([np.minimum(rows[i, 1], rows[j, 1]), np.maximum(rows[i, 1], rows[j, 1])])
             found.append(distinct_rows(pairs))
@@ -271,6 +276,71 @@ def distinct_rows(pairs: np.ndarray) -> np.ndarray:
     return pairs[fresh]
 
 
+def upper_bits(tokens: np.ndarray) -> np.ndarray:
+    """Tokens are compared by their upper 63 bits, so that -1 can stand for none."""
+    return (tokens.view(np.uint64) >> np.uint64(1)).view(np.int64)
+
+
+def first_tokens(rows: pa.Table) -> np.ndarray:
+    return rows["firsts"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, FIRST_TOKENS)
+
+
+def meets_here(upper, firsts: np.ndarray, other_firsts: np.ndarray) -> np.ndarray:
+    """Two points meet in the run of their first common token; if none is known, in every run."""
+    known = np.full(len(firsts), -1)
+    for k in range(FIRST_TOKENS):
+        own = firsts[:, k]
+        same = (own[:, None] == other_firsts).any(axis=1) & (own >= 0)
+        known = np.where((known < 0) & same, own, known)
+    return (known < 0) | (known == upper)
+
+
+def needed_batches(batches):
+    """Whole runs sorted by token in. Out: the rows that may link with a row of their run and another component.
+
+    ``asks`` tells whether one of those is of the class of sizes below.
+    """
+
+    def needed(rows: pa.Table) -> pa.Table:
+        token, n, rest, component = (rows[c].to_numpy() for c in ("token", "n", "rest", "component"))
+        firsts, level, upper = first_tokens(rows), groups_of(n), upper_bits(token)
+        stays, asks = np.zeros(len(n), bool), np.zeros(len(n), bool)
+        begins = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+        lengths = np.diff(np.append(begins, len(token)))
+        for length in np.unique(lengths[lengths > 1]).tolist():
+            own = begins[lengths == length]
+            left, right = np.triu_indices(length, 1)
+            step = max(1, PRUNED_AT_ONCE // len(left))
+            for start in range(0, len(own), step):
+                first = own[start : start + step, None]
+                i, j = (first + left).ravel(), (first + right).ravel()
+                fits = (component[i] != component[j]) & (np.minimum(rest[i], rest[j]) >= least_overlap(n[i], n[j]))
+                i, j = i[fits], j[fits]
+                fits = meets_here(upper[i], firsts[i], firsts[j])
+                i, j = i[fits], j[fits]
+                stays[i] = stays[j] = True
+                asks[i[level[i] > level[j]]] = True
+                asks[j[level[j] > level[i]]] = True
+        rows = rows.select([c for c in rows.column_names if c != "asks"]).append_column("asks", pa.array(asks))
+        return rows.filter(pa.array(stays))
+
+    kept, size = [], 0
+    for batch in batches:
+        kept.append(pa.Table.from_batches([batch]))
+        size += batch.num_rows
+        if size >= PAIRED_ROWS:
+            rows = pa.concat_tables(kept)
+            tokens = rows["token"].to_numpy()
+            # The last run may go on.
+            before = np.flatnonzero(tokens != tokens[-1])
+            stop = int(before[-1]) + 1 if len(before) else 0
+            if stop:
+                yield from needed(rows.slice(0, stop)).to_batches()
+            kept, size = [rows.slice(stop)], len(tokens) - stop
+    if size:
+        yield from needed(pa.concat_tables(kept)).to_batches()
+
+
 def bound_batches(batches):
     """The pairs of points whose sum of minima reaches the least overlap, and whose odd groups allow it."""
     for batch in batches:
@@ -356,31 +426,22 @@ def tree_batches(batches, nearest: bool):
     """Blocks of runs sorted by token, group class and block, those of the tree first, in; pairs of different components out."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def meets_here(token: int, firsts: np.ndarray, other_firsts: np.ndarray) -> np.ndarray:
-        """Two points meet in the run of their first common token; if none is known, in every run."""
-        known = np.full(len(firsts), np.iinfo(np.int64).max)
-        for k in range(FIRST_TOKENS):
-            own = firsts[:, k]
-            same = (own[:, None] == other_firsts).any(axis=1) & (own >= 0)
-            known = np.where(same, np.minimum(known, own), known)
-        return (known == np.iinfo(np.int64).max) | (known == token)
-
     def columns_of(rows: pa.Table, level: int):
         points = np.stack([folded(np.frombuffer(c, "<u2").astype(np.int32)[None], 1 << level)[0] for c in rows["counts"].to_pylist()])
-        # Tokens are compared by their upper 63 bits, so that -1 can stand for none.
-        firsts = np.array([f + [-1] * (FIRST_TOKENS - len(f)) for f in rows["firsts"].to_pylist()], np.int64)
         odd = np.stack([folded_odd(o, int(odd_bits(level)) // 64) for o in rows["odd"].to_pylist()])
-        return points, *(rows[c].to_numpy() for c in ("n", "node", "component")), firsts, odd
+        return points, *(rows[c].to_numpy() for c in ("n", "node", "component", "rest")), first_tokens(rows), odd
 
     def asked(tree: RTree, known, rows, of_tree: bool, token: int) -> pa.RecordBatch:
-        points, n, node, component, firsts, odd = rows
-        _, known_n, known_node, known_component, known_firsts, known_odd = known
+        points, n, node, component, rest, firsts, odd = rows
+        _, known_n, known_node, known_component, known_rest, known_firsts, known_odd = known
         query, point, bound = tree.search(points, n)
         fits = component[query] != known_component[point]
         if of_tree and not nearest:
             # Two points of the tree would meet twice.
             fits &= node[query] < known_node[point]
         query, point, bound = query[fits], point[fits], bound[fits]
+        fits = np.minimum(rest[query], known_rest[point]) >= least_overlap(n[query], known_n[point])
+        query, point, bound = query[fits], point[fits], bound[fits]
         fits = meets_here((token & (2**64 - 1)) >> 1, firsts[query], known_firsts[point])
         query, point, bound = query[fits], point[fits], bound[fits]
         step = max(1, COMPARED_AT_ONCE // odd[:1].nbytes)
@@ -550,21 +611,23 @@ class Join:
         self.place.drop(f"pairs_{name}", f"wanted_{name}", f"texts_{name}")
         return links
 
-    def linked(self, signatures: DataFrame) -> DataFrame:
+    def linked(self, signatures: DataFrame, ordered: bool = False) -> DataFrame:
         """``node, component`` of every node that links with another.
 
         Nodes meet where they have one of their ``tokens`` in common; of ``self.signatures()``
         any two that link have, of other ``node, n, tokens, counts, odd`` those of the caller's choice.
+        ``ordered``: the tokens are the first ones of the set in an order that all nodes follow, so two
+        nodes have nothing in common before the first token that they share.
         """
         points = self.place.materialize(signatures.select("node", "n", "counts", "odd").dropDuplicates(["node"]), "points")
-        rows = signatures.select(F.explode("tokens").alias("token"), "node", "n")
+        rows = signatures.select(F.posexplode("tokens").alias("place", "token"), "node", "n")
+        rows = rows.select("token", "node", "n", (F.col("n") - F.col("place") if ordered else F.col("n")).alias("rest"))
         sorted_rows = rows.repartition(partitions(self.spark), "token").sortWithinPartitions("token", "node")
-        schema = "a long, b long, token long, node long, n long, lead long, lead_n long"
+        schema = "a long, b long, token long, node long, n long, rest long, lead long, lead_n long"
         runs = self.place.materialize(sorted_rows.mapInArrow(run_batches, schema), "runs")
         self.place.drop("signatures")
 
-        pairs = self.within_bound(runs.where("a is not null").select("a", "b").distinct(), points)
-        links = self.verified(pairs, "short_runs")
+        short = runs.where("a is not null").select("a", "b")
         runs = runs.where("token is not null")
         votes = (
             runs.where(
@@ -576,12 +639,14 @@ class Join:
             .groupBy("node")
             .agg(F.max_by("lead", F.struct("count", "lead")).alias("lead"))
         )
-        led = self.verified(votes.select(F.col("node").alias("a"), F.col("lead").alias("b")), "leads")
-        found = components(links.unionByName(led), self.place)
+        led = votes.select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b"))
+        pairs = self.place.materialize(short.unionByName(led).distinct(), "met")
+        found = components(self.verified(self.within_bound(pairs, points), "met_in_bound"), self.place)
+        self.place.drop("met")
         for nearest in (True, False):
             # Runs that have become one component are done with for good.
             runs = self.crossing(runs, found)
-            self.place.drop("runs")
+            self.place.drop("runs", "all_crossing")
             fresh = self.verified(self.candidates(runs, points, nearest), "nearest" if nearest else "all")
             if not fresh.isEmpty():
                 edges = found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(fresh)
@@ -590,6 +655,9 @@ class Join:
         return found
 
     def within_bound(self, pairs: DataFrame, points: DataFrame) -> DataFrame:
+        nodes = pairs.select(F.col("a").alias("_node")).unionByName(pairs.select(F.col("b").alias("_node"))).distinct()
+        if nodes.count() <= BROADCAST_NODES:
+            points = points.join(F.broadcast(nodes), F.col("node") == F.col("_node"), "left_semi")
         sided = pairs
         for side in ("a", "b"):
             own = points.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", "counts", "odd")])
@@ -598,22 +666,36 @@ class Join:
         return columns.mapInArrow(bound_batches, "a long, b long")
 
     def crossing(self, runs: DataFrame, found: DataFrame) -> DataFrame:
-        """The runs whose nodes are of two components or more, with the component of each node."""
+        """The rows of runs that may link with one of another component, with the component of each node.
+
+        ``firsts`` are the node's first tokens of these runs, ``asks`` tells whether it may link
+        with a node of the class of sizes below.
+        """
         label = found.select(F.col("node").alias("_node"), "component")
-        labelled = runs.select("token", "node", "n").join(label, F.col("node") == F.col("_node"), "left")
+        labelled = runs.select("token", "node", "n", "rest").join(label, F.col("node") == F.col("_node"), "left")
         labelled = labelled.withColumn("component", F.coalesce("component", "node")).drop("_node")
-        spans = labelled.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        spans = spans.where("low != high").select(F.col("token").alias("_token"))
-        crossing = labelled.join(spans, F.col("token") == F.col("_token"), "left_semi").select("token", "node", "n", "component")
-        return self.place.materialize(crossing, "crossing_runs")
+        spans = labelled.groupBy("token").agg(
+            F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("many")
+        )
+        spans = spans.where("low != high").select(F.col("token").alias("_token"), "many")
+        crossing = self.place.materialize(
+            labelled.join(spans, F.col("token") == F.col("_token")).drop("_token"), "all_crossing"
+        )
+        # The more is left from a token on, the earlier it comes.
+        tokens = F.array_sort(F.collect_list(F.struct((-F.col("rest")).alias("late"), F.shiftrightunsigned("token", 1).alias("upper"))))
+        none = F.array_repeat(F.lit(-1).cast("long"), FIRST_TOKENS)
+        firsts = F.slice(F.concat(F.slice(tokens, 1, FIRST_TOKENS)["upper"], none), 1, FIRST_TOKENS)
+        crossing = crossing.join(crossing.groupBy("node").agg(firsts.alias("firsts")), "node")
+        crossing = crossing.select("token", "node", "n", "rest", "component", "firsts", F.lit(True).alias("asks"), "many")
+        short = F.col("many") <= min(PRUNED_RUN, RUN_BLOCK)
+        whole = crossing.where(short).drop("many").repartition(partitions(self.spark), "token").sortWithinPartitions("token")
+        schema = "token long, node long, n long, rest long, component long, firsts array<long>, asks boolean"
+        needed = whole.mapInArrow(needed_batches, schema).unionByName(crossing.where(~short).drop("many"))
+        return self.place.materialize(needed, "crossing_runs")
 
     def blocks(self, crossing: DataFrame, points: DataFrame, nearest: bool) -> DataFrame:
         """The runs' rows by block: ``own`` ones make its R-tree, the others are looked up in it."""
         level = F.round(F.log2(F.length("counts") / 2)).cast("int")
-        upper = F.shiftrightunsigned("token", 1)
-        firsts = crossing.groupBy("node").agg(
-            F.slice(F.array_sort(F.collect_set(upper)), 1, FIRST_TOKENS).alias("firsts")
-        )
         classed = points.select("node", "counts", "odd", level.alias("level"))
         lengths = crossing.join(classed.select("node", "level"), "node").groupBy("token", "level").agg(F.count("*").alias("many"))
         long = self.place.materialize(
@@ -621,15 +703,15 @@ class Join:
             "long_runs",
         )
         few = long.count() <= BROADCAST_NODES
-        placed = crossing.join(classed, "node").join(firsts, "node")
-        # A set links with sets of its own class or of a neighbouring one; it also asks the class below.
+        placed = crossing.join(classed, "node")
+        # A set links with sets of its own class or of a neighbouring one; it also asks the class below, if it may link there.
         lowest = LEAST_GROUPS.bit_length() - 1
         roles = F.expr(
-            f"if(level > {lowest}, array(struct(level, true as own), struct(level - 1 as level, false as own)),"
+            f"if(asks and level > {lowest}, array(struct(level, true as own), struct(level - 1 as level, false as own)),"
             " array(struct(level, true as own)))"
         )
         spread = placed.withColumn("role", F.explode(roles)).select(
-            "token", F.col("role.level").alias("level"), F.col("role.own").alias("own"), "node", "n", "component", "counts", "odd", "firsts"
+            "token", F.col("role.level").alias("level"), F.col("role.own").alias("own"), "node", "n", "component", "rest", "counts", "odd", "firsts"
         )
         dealt = spread.join(
             F.broadcast(long) if few else long, (F.col("token") == F.col("_token")) & (F.col("level") == F.col("_level")), "left"
@@ -639,7 +721,7 @@ class Join:
         # Of two blocks of a run the lower one's points ask the higher one; for the nearest ones all ask all.
         asked = f"filter(sequence(0, last), x -> x >= home or {'true' if nearest else 'false'})"
         return dealt.withColumn("block", F.explode(F.expr(asked))).select(
-            "token", "level", "block", (F.col("block") == F.col("home")).alias("own"), "node", "n", "component", "counts", "odd", "firsts"
+            "token", "level", "block", (F.col("block") == F.col("home")).alias("own"), "node", "n", "component", "rest", "counts", "odd", "firsts"
         )
 
     def candidates(self, crossing: DataFrame, points: DataFrame, nearest: bool) -> DataFrame:
@@ -661,7 +743,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     low = F.translate(docs[text_col], "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     join = Join(docs.select(docs[id_col].alias("doc_id"), low.alias("text")))
-    found = join.linked(join.signatures()).select(F.col("node").alias("_node"), "component")
+    found = join.linked(join.signatures(), ordered=True).select(F.col("node").alias("_node"), "component")
     members = join.members.join(found, F.col("node") == F.col("_node"), "left")
     members = members.withColumn("component", F.coalesce("component", "node"))
     members = join.place.materialize(members.select("doc_id", "n", "component"), "members")

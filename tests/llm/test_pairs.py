@@ -176,3 +176,16 @@ def test_near_misses_of_a_family_are_not_paired(docs_of, monkeypatch):
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in named) == components_of(rows)
     # Of 780 pairs those whose changed places are neighbours remain.
     assert dict(paired)["all"] <= 3 * len(rows)
+
+
+def test_texts_of_a_shared_passage_meet_in_few_runs(docs_of, monkeypatch):
+    """Texts with one passage in common share many runs; R-trees need a row of each in that of the first common token."""
+    passage = prose(5, 40, 4000)
+    rows = [(k, f"{passage} " + " ".join(f"v{k}x{i}" for i in range(300))) for k in range(12)]
+    rows += [(20 + k, rows[k][1].replace(f"v{k}x7 ", "copied ")) for k in range(2)]
+    searched = []
+    candidates = ngram_join.Join.candidates
+    watched = lambda self, crossing, points, nearest: searched.append(crossing.count()) or candidates(self, crossing, points, nearest)
+    monkeypatch.setattr(ngram_join.Join, "candidates", watched)
+    assert found(ngram_join.similar_documents(docs_of(rows))) == components_of(rows)
+    assert max(searched) <= 2 * len(rows)
